@@ -72,7 +72,7 @@ def bm25_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT
 
     ``candidates`` (``query_id, doc_id``) restricts the documents (J5).
     """
-    qt = query_terms(queries, index.profile).select("query_id", "word")
+    qt = query_terms(queries, index.profile).select("query_id", "word").cache()
     n = qt.count()
     qt = bounded_broadcast(qt, n, params.broadcast_max_rows)
     index = index.restrict(qt.select("word"), n)
@@ -101,7 +101,7 @@ def tfidf_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAUL
     """R4 without the top-k: cosine of query vector and the doc vector restricted
     to the query's words (doc norm over matched words; query norm over all
     query words incl. OOV). Zero norm -> NULL score."""
-    qterms = query_terms(queries, index.profile)
+    qterms = query_terms(queries, index.profile).cache()
     n = qterms.count()
     index = index.restrict(qterms.select("word"), n)
     qw = query_weights(qterms, index)

@@ -69,7 +69,10 @@ def corpus_stats(lengths: DataFrame) -> DataFrame:
 
 def term_df(terms: DataFrame) -> DataFrame:
     """A2: ``word, num_docs`` (one row per (doc, word) in ``terms``)."""
-    return terms.groupBy("word").agg(F.count(F.lit(1)).alias("num_docs"))
+    # Counting rows with tf > 0 (all of them) keeps ``tf`` referenced, so the
+    # (doc, word) aggregate below stays identical to the one the postings use
+    # and Spark reuses that exchange instead of tokenising the corpus again.
+    return terms.groupBy("word").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("num_docs"))
 
 
 def idf(dfs: DataFrame, stats: DataFrame) -> DataFrame:
@@ -96,21 +99,14 @@ def sparse_vectors(terms: DataFrame, idf_df: DataFrame, stats: DataFrame,
         bm25_expr("tf", "idf", "doc_len", "avg_doc_len", params.k1, params.b).alias("bm25"))
 
 
-DOC_MARKER = ""  # word of the one marker row per document (real words have length > 1)
-
-
 class SparseIndex:
     """The corpus-level tables of the sparse model, built lazily from docs.
 
     ``vocabulary`` (a ``word`` column) restricts the term rows to those words
     before the ``(doc, word)`` aggregate: tf and df of a word depend only on
     that word's rows, so a search over raw documents shuffles only the rows
-    of its query words.
-
-    Each document also emits one marker row (word ``""``) carrying its
-    length; the corpus statistics are read from those rows, so statistics and
-    postings come out of the same shuffle (Spark reuses the exchange) and the
-    text is tokenised once.
+    of its query words. Document lengths and corpus statistics always cover
+    the whole corpus (a map-only pass plus a one-row aggregate).
     """
 
     def __init__(self, docs: DataFrame, profile: str = "basic", params: Params = DEFAULT,
@@ -125,17 +121,15 @@ class SparseIndex:
         keys = [c for c in tk.columns if c != "tokens"]
         self.keys = keys
         rows = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"),
-                         F.explode(F.concat(F.array(F.lit(DOC_MARKER)), F.col("tokens"))).alias("word"))
+                         F.explode("tokens").alias("word"))
         if vocabulary is not None:
             from quarry.plans.util import bounded_broadcast, checked_broadcast
-            voc = vocabulary.select("word").union(
-                vocabulary.sparkSession.range(1).select(F.lit(DOC_MARKER).alias("word"))).distinct()
-            voc = (bounded_broadcast(voc, vocabulary_rows + 1, params.broadcast_max_rows)
+            voc = vocabulary.select("word").distinct()
+            voc = (bounded_broadcast(voc, vocabulary_rows, params.broadcast_max_rows)
                    if vocabulary_rows is not None else checked_broadcast(voc, params.broadcast_max_rows))
             rows = rows.join(voc, "word", "left_semi")
-        counted = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf"))
-        self.terms = counted.filter(F.col("word") != DOC_MARKER)
-        self.lengths = counted.filter(F.col("word") == DOC_MARKER).select(*keys, "doc_len")
+        self.terms = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf"))
+        self.lengths = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"))
         self.stats = corpus_stats(self.lengths)
         self.df = term_df(self.terms)
         self.idf = idf(self.df, self.stats)
