@@ -108,7 +108,7 @@ def lines(c) -> Column:
 # First line that is not blank (unstripped); '' if none.
 def title(c) -> Column:
     ls = F.filter(lines(c), lambda x: F.trim(x) != "")
-    return F.coalesce(F.element_at(ls, 1), F.lit(""))
+    return F.coalesce(F.try_element_at(ls, F.lit(1)), F.lit(""))
 
 
 STRIP_WS = "^[ \\t\\n\\r\\x0b\\x0c]+|[ \\t\\n\\r\\x0b\\x0c]+$"
@@ -126,7 +126,7 @@ def first_paragraph(text, title_col) -> Column:
     pos = F.array_position(ls, t)  # 1-based, 0 if absent
     after = F.slice(ls, F.greatest(pos + 1, F.lit(1)), F.greatest(F.size(ls), F.lit(1)))
     cands = F.filter(F.transform(after, strip), lambda x: (x != "") & (x != t))
-    return F.coalesce(F.element_at(cands, 1), t)
+    return F.coalesce(F.try_element_at(cands, F.lit(1)), t)
 
 
 # Remove {{...}} and <...> (non-greedy, not across lines).
