@@ -1,0 +1,139 @@
+"""Porter (1980) suffix-stripping stemmer, from the published algorithm.
+
+Plain Python on one word; it runs inside the vocabulary-level pandas UDF, so
+it is evaluated once per distinct token of the corpus, never per occurrence.
+Includes the three step-2 rules of the author's own reference version
+("bli" -> "ble", "logi" -> "log", "alli" -> "al" in place of "abli").
+"""
+
+from __future__ import annotations
+
+_VOWELS = frozenset("aeiou")
+
+
+def _is_cons(w: str, i: int) -> bool:
+    ch = w[i]
+    if ch in _VOWELS:
+        return False
+    if ch == "y":
+        return i == 0 or not _is_cons(w, i - 1)
+    return True
+
+
+def _measure(stem: str) -> int:
+    """m in [C](VC)^m[V]."""
+    m, i, n = 0, 0, len(stem)
+    while i < n and _is_cons(stem, i):
+        i += 1
+    while i < n:
+        while i < n and not _is_cons(stem, i):
+            i += 1
+        if i >= n:
+            break
+        m += 1
+        while i < n and _is_cons(stem, i):
+            i += 1
+    return m
+
+
+def _has_vowel(stem: str) -> bool:
+    return any(not _is_cons(stem, i) for i in range(len(stem)))
+
+
+def _double_cons(w: str) -> bool:
+    return len(w) >= 2 and w[-1] == w[-2] and _is_cons(w, len(w) - 1)
+
+
+def _cvc(w: str) -> bool:
+    if len(w) < 3:
+        return False
+    return (_is_cons(w, len(w) - 3) and not _is_cons(w, len(w) - 2)
+            and _is_cons(w, len(w) - 1) and w[-1] not in "wxy")
+
+
+# Suffix rules per step, tried in this order; the first suffix that matches
+# decides (its condition on m may then leave the word unchanged).
+_STEP2 = (
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
+    ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
+    ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
+    ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
+    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("logi", "log"),
+)
+_STEP3 = (
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
+    ("ful", ""), ("ness", ""),
+)
+_STEP4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
+    "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
+)
+
+
+def _longest(word: str, rules):
+    best = None
+    for r in rules:
+        suf = r[0] if isinstance(r, tuple) else r
+        if word.endswith(suf) and (best is None or len(suf) > len(best[0] if isinstance(best, tuple) else best)):
+            best = r
+    return best
+
+
+def stem(word: str) -> str:
+    w = word
+    if len(w) <= 2:
+        return w
+    # step 1a
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith("ies"):
+        w = w[:-2]
+    elif w.endswith("ss"):
+        pass
+    elif w.endswith("s"):
+        w = w[:-1]
+    # step 1b
+    if w.endswith("eed"):
+        if _measure(w[:-3]) > 0:
+            w = w[:-1]
+    else:
+        cut = None
+        if w.endswith("ed") and _has_vowel(w[:-2]):
+            cut = w[:-2]
+        elif w.endswith("ing") and _has_vowel(w[:-3]):
+            cut = w[:-3]
+        if cut is not None:
+            w = cut
+            if w.endswith(("at", "bl", "iz")):
+                w += "e"
+            elif _double_cons(w) and w[-1] not in "lsz":
+                w = w[:-1]
+            elif _measure(w) == 1 and _cvc(w):
+                w += "e"
+    # step 1c
+    if w.endswith("y") and _has_vowel(w[:-1]):
+        w = w[:-1] + "i"
+    # step 2
+    r = _longest(w, _STEP2)
+    if r and _measure(w[:-len(r[0])]) > 0:
+        w = w[:-len(r[0])] + r[1]
+    # step 3
+    r = _longest(w, _STEP3)
+    if r and _measure(w[:-len(r[0])]) > 0:
+        w = w[:-len(r[0])] + r[1]
+    # step 4
+    r = _longest(w, _STEP4)
+    if r:
+        base = w[:-len(r)]
+        if _measure(base) > 1 and (r != "ion" or base.endswith(("s", "t"))):
+            w = base
+    # step 5a
+    if w.endswith("e"):
+        base = w[:-1]
+        m = _measure(base)
+        if m > 1 or (m == 1 and not _cvc(base)):
+            w = base
+    # step 5b
+    if w.endswith("ll") and _measure(w) > 1:
+        w = w[:-1]
+    return w

@@ -116,6 +116,9 @@ class SparseIndex:
         self.profile = profile
         self.docs = docs
         self.vocabulary = vocabulary
+        if profile == "full":
+            self._init_full(docs, params, vocabulary)
+            return
         tk = _tokens if _tokens is not None else tokens(docs.select("doc_id", "text"), profile)
         self._tok = tk
         keys = [c for c in tk.columns if c != "tokens"]
@@ -123,19 +126,44 @@ class SparseIndex:
         rows = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"),
                          F.explode("tokens").alias("word"))
         if vocabulary is not None:
-            from quarry.plans.util import bounded_broadcast, checked_broadcast
-            voc = vocabulary.select("word").distinct()
-            voc = (bounded_broadcast(voc, vocabulary_rows, params.broadcast_max_rows)
-                   if vocabulary_rows is not None else checked_broadcast(voc, params.broadcast_max_rows))
-            rows = rows.join(voc, "word", "left_semi")
+            rows = rows.join(self._vocab(vocabulary, vocabulary_rows), "word", "left_semi")
         self.terms = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf"))
         self.lengths = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"))
+        self._finish()
+
+    def _vocab(self, vocabulary, vocabulary_rows):
+        from quarry.plans.util import bounded_broadcast, checked_broadcast
+        voc = vocabulary.select("word").distinct()
+        mx = self.params.broadcast_max_rows
+        return (bounded_broadcast(voc, vocabulary_rows, mx) if vocabulary_rows is not None
+                else checked_broadcast(voc, mx))
+
+    def _init_full(self, docs, params, vocabulary):
+        # Full profile: JVM front, Python once per distinct raw token, joins.
+        from quarry.functions.vocab import full_terms
+        self._tok = None
+        self.keys = ["doc_id"]
+        raw = docs.select("doc_id", T.raw_tokens(F.col("text")).alias("raw"))
+        t = full_terms(raw, ["doc_id"], "raw")
+        per_doc = t.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
+        self.lengths = (docs.select("doc_id").join(per_doc, "doc_id", "left")
+                            .select("doc_id", F.coalesce("doc_len", F.lit(0)).cast("long").alias("doc_len")))
+        terms = t.join(per_doc, "doc_id").select("doc_id", F.col("doc_len").cast("long"), "word",
+                                                  F.col("tf").cast("long"))
+        if vocabulary is not None:
+            terms = terms.join(self._vocab(vocabulary, None), "word", "left_semi")
+        self.terms = terms
+        self._finish()
+
+    def _finish(self):
         self.stats = corpus_stats(self.lengths)
         self.df = term_df(self.terms)
         self.idf = idf(self.df, self.stats)
 
     def restrict(self, vocabulary: DataFrame, vocabulary_rows: int | None = None) -> "SparseIndex":
         """Same corpus, term rows limited to ``vocabulary`` words."""
+        if self.profile != "basic":
+            return self
         return SparseIndex(self.docs, self.profile, self.params, vocabulary, vocabulary_rows,
                            _tokens=self._tok)
 
