@@ -109,8 +109,13 @@ ENCLOSED_NUMBER_RUNS = (
 MISSING_ARTICLE_TEXT = "ERROR: COULD NOT LOCATE ARTICLE {id} in {path}"
 
 # Weight multiplier for boilerplate paragraphs in paragraph sampling, and the
-# markers that flag a paragraph as boilerplate (tables, citations, lists).
+# notice that marks a paragraph as boilerplate (present in every article of
+# the encyclopedia dumps the sampler was written for).
 BOILERPLATE_WEIGHT = 0.01
+BOILERPLATE_MARKERS = (
+    "This article is issued from Wikipedia. The text is available under Creative Commons "
+    "Attribution-Share Alike 4.0 unless otherwise noted. Additional terms may apply for the media files.",
+)
 
 
 def enclosed_number_map() -> dict:

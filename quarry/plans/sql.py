@@ -99,3 +99,52 @@ def top_k_sql(k: int, score_order: str = "score DESC NULLS LAST", key: str = "do
 SELECT {cols} FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY {score_order}, {key}) AS BIGINT) AS rank
   FROM {scores}) WHERE rank <= {k}"""
+
+
+def bm25_scores_cte(name: str, k1: float, b: float, qterms: str = "qterms") -> str:
+    """``name(query_id, doc_id, score)``; needs the corpus CTEs and ``qterms``."""
+    return f"""
+{name} AS (
+  SELECT q.query_id, t.doc_id,
+         round(sum({bm25('t.tf', 'i.idf', 't.doc_len', 's.avg_doc_len', k1, b)}), 6) AS score
+  FROM {qterms} q JOIN terms t ON t.word = q.word JOIN idf i ON i.word = q.word CROSS JOIN stats s
+  GROUP BY q.query_id, t.doc_id)"""
+
+
+def tfidf_scores_cte(name: str, qterms: str = "qterms") -> str:
+    return f"""
+{name}_qw AS (
+  SELECT q.query_id, q.word, q.qtf * coalesce(i.idf, ln(2 * s.corpus_size + 1)) AS qw
+  FROM {qterms} q LEFT JOIN idf i ON i.word = q.word CROSS JOIN stats s),
+{name}_qn AS (SELECT query_id, sqrt(sum(qw * qw)) AS qnorm FROM {name}_qw GROUP BY query_id),
+{name}_agg AS (
+  SELECT q.query_id, t.doc_id, sum(q.qw * t.tf * i.idf) AS dot,
+         sum((t.tf * i.idf) * (t.tf * i.idf)) AS dnorm2
+  FROM {name}_qw q JOIN terms t ON t.word = q.word JOIN idf i ON i.word = q.word
+  GROUP BY q.query_id, t.doc_id),
+{name} AS (
+  SELECT a.query_id, a.doc_id,
+         round(CASE WHEN n.qnorm * sqrt(a.dnorm2) > 0 THEN a.dot / (n.qnorm * sqrt(a.dnorm2)) END, 6) AS score
+  FROM {name}_agg a JOIN {name}_qn n USING (query_id))"""
+
+
+def top_k_cte(name: str, scores: str, k: int, order: str = "score DESC NULLS LAST, doc_id") -> str:
+    return f"""
+{name} AS (SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY {order}) AS BIGINT) AS rank
+  FROM {scores}) WHERE rank <= {k})"""
+
+
+def qterms_cte(name: str, source_sql: str) -> str:
+    """``name(query_id, word, qtf)`` from ``source_sql`` with columns query_id, query."""
+    return f"""
+{name}_toks AS (SELECT query_id, {basic_tokens('query')} AS tokens FROM ({source_sql})),
+{name} AS (
+  SELECT query_id, word, CAST(count(*) AS BIGINT) AS qtf
+  FROM (SELECT query_id, unnest(tokens) AS word FROM {name}_toks) GROUP BY query_id, word)"""
+
+
+def uniform_sql(*parts: str) -> str:
+    """Hashed uniform in (0, 1) from md5 of the ':'-joined parts."""
+    key = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"((CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) + 0.5) / 4294967296.0)"
