@@ -35,7 +35,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, Entry]:
     # import order = registration order
     from quarry.plans import q_text, q_terms, q_search  # noqa: F401
-    for mod in ("q_index", "q_chunk", "q_dense", "q_graph", "q_eval", "q_storage"):
+    for mod in ("q_index", "q_chunk", "q_dense", "q_graph", "q_eval", "q_misc", "q_storage"):
         try:
             __import__(f"quarry.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet
