@@ -81,7 +81,8 @@ def bm25_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT
     if candidates is not None:
         j = j.join(checked_broadcast(candidates.select("query_id", "doc_id"), params.broadcast_max_rows),
                    ["query_id", "doc_id"], "left_semi")
-    j = (j.join(index.idf, "word")
+    # restricted idf has at most one row per query word
+    j = (j.join(bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word")
           .crossJoin(F.broadcast(index.stats.select("avg_doc_len"))))
     contrib = bm25_expr("tf", "idf", "doc_len", "avg_doc_len", params.k1, params.b)
     return (j.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("score"))
@@ -112,7 +113,8 @@ def tfidf_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAUL
     if candidates is not None:
         j = j.join(checked_broadcast(candidates.select("query_id", "doc_id"), params.broadcast_max_rows),
                    ["query_id", "doc_id"], "left_semi")
-    j = j.join(index.idf, "word").withColumn("tf_idf", F.col("tf") * F.col("idf"))
+    j = j.join(bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word") \
+         .withColumn("tf_idf", F.col("tf") * F.col("idf"))
     agg = j.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("qw") * F.col("tf_idf")).alias("dot"),
         F.sum(F.col("tf_idf") * F.col("tf_idf")).alias("dnorm2"))
