@@ -24,3 +24,27 @@ def r5_bm25_search(spark, sf_dir):
 @register("r4_tfidf_search", tfidf_scores_sql() + top_k_sql(P.top_k))
 def r4_tfidf_search(spark, sf_dir):
     return S.search_tfidf(tables.benchmark_queries(spark, sf_dir), _index(spark, sf_dir), P)
+
+
+@register("r5_bm25_stored_index", bm25_scores_sql(P.k1, P.b) + top_k_sql(P.top_k))
+def r5_bm25_stored_index(spark, sf_dir):
+    """Build the word-sharded index from the documents, then search it."""
+    import uuid
+
+    from quarry.operators import stored
+    from quarry.session import scratch_path
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    stored.build(_index(spark, sf_dir), path, n_shards=16)
+    idx = stored.StoredIndex(spark, path, P)
+    return S.search_bm25(tables.benchmark_queries(spark, sf_dir), idx, P)
+
+
+@register("r4_tfidf_stored_index", tfidf_scores_sql() + top_k_sql(P.top_k))
+def r4_tfidf_stored_index(spark, sf_dir):
+    import uuid
+
+    from quarry.operators import stored
+    from quarry.session import scratch_path
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    stored.build(_index(spark, sf_dir), path, n_shards=16)
+    return S.search_tfidf(tables.benchmark_queries(spark, sf_dir), stored.StoredIndex(spark, path, P), P)
