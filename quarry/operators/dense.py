@@ -129,3 +129,47 @@ def knn_candidates(pairs: DataFrame, k: int, qvec: str = "qvec", ivec: str = "ve
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), *[F.col(c).asc() for c in key])
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k) \
                  .withColumn("rank", F.col("rank").cast("long"))
+
+
+def lsh_keys(df: DataFrame, key: str, vec: str, dims: int, n_tables: int = 8, n_proj: int = 4,
+             width: float = 4.0, seed: int = 17) -> DataFrame:
+    """Bucketed random projections (p-stable LSH for L2): per table, the key
+    is a hash of ``floor((a.v + b) / width)`` over ``n_proj`` projections.
+    Output ``key, table, bucket`` (one row per table)."""
+    rng = np.random.default_rng(seed)
+    a = rng.standard_normal((dims, n_tables * n_proj))
+    b = rng.uniform(0, width, n_tables * n_proj)
+    mix = rng.integers(1, 2 ** 31 - 1, size=n_proj, dtype=np.int64)
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
+            h = np.floor((x @ a + b) / width).astype(np.int64).reshape(len(pdf), n_tables, n_proj)
+            bucket = (h * mix).sum(axis=2)
+            ids = np.repeat(pdf[key].to_numpy(), n_tables)
+            yield pd.DataFrame({key: ids, "table": np.tile(np.arange(n_tables, dtype=np.int32), len(pdf)),
+                                "bucket": bucket.reshape(-1)})
+
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, table int, bucket long"
+    return df.select(key, vec).mapInPandas(part, schema)
+
+
+def knn_lsh(items: DataFrame, queries: DataFrame, k: int, params: Params = DEFAULT,
+            item_key: str = "item_id", vec: str = "vector", n_tables: int = 8, n_proj: int = 4,
+            width: float = 4.0, seed: int = 17) -> DataFrame:
+    """Approximate kNN: candidates share an LSH bucket with the query in at
+    least one table; candidates are then scored exactly (squared L2) and the
+    k best kept. Opt-in: recall is measured against ``knn_exact``."""
+    dims = params.dims
+    nq = queries.count()
+    from quarry.plans.util import bounded_broadcast
+    qk = lsh_keys(queries, "query_id", vec, dims, n_tables, n_proj, width, seed)
+    ik = lsh_keys(items, item_key, vec, dims, n_tables, n_proj, width, seed)
+    cand = (ik.join(bounded_broadcast(qk, nq * n_tables, params.broadcast_max_rows), ["table", "bucket"])
+              .select("query_id", item_key).distinct())
+    qv = bounded_broadcast(queries.select("query_id", F.col(vec).alias("qvec")), nq, params.broadcast_max_rows)
+    pairs = cand.join(items.select(item_key, vec), item_key).join(qv, "query_id")
+    top = knn_candidates(pairs, k, qvec="qvec", ivec=vec, key=(item_key,))
+    return top.select("query_id", "rank", item_key, "distance")

@@ -78,3 +78,24 @@ def r12_rerank(spark, sf_dir):
     docs = tables.documents(spark, sf_dir)
     idx = TM.SparseIndex(docs, "basic", P)
     return RR.rerank(tables.benchmark_queries(spark, sf_dir), docs, idx, P.with_(top_k=K))
+
+
+def _items(spark, sf_dir):
+    return tables.embeddings(spark, sf_dir).select("vec_id", F.col("embedding").alias("vector"))
+
+
+@register("r9_knn_lsh")
+def r9_knn_lsh(spark, sf_dir):
+    """Approximate kNN of the label centroids through LSH buckets."""
+    return D.knn_lsh(_items(spark, sf_dir), centroids(spark, sf_dir), K, P, item_key="vec_id")
+
+
+@register("r9_lsh_recall")
+def r9_lsh_recall(spark, sf_dir):
+    """Recall@K of the LSH result against the exact one, per query."""
+    c = centroids(spark, sf_dir).cache()
+    exact = D.knn_exact(_items(spark, sf_dir), c, K, P, item_key="vec_id").select("query_id", "vec_id")
+    approx = D.knn_lsh(_items(spark, sf_dir), c, K, P, item_key="vec_id").select("query_id", "vec_id")
+    hit = exact.join(approx, ["query_id", "vec_id"], "left_semi").groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"))
+    return (exact.select("query_id").distinct().join(hit, "query_id", "left")
+                 .select("query_id", (F.coalesce("hits", F.lit(0)) / K).alias("recall_at_k")))
