@@ -20,6 +20,7 @@ from quarry.config import DEFAULT, Params
 from quarry.operators import index as IX
 from quarry.operators import search as S
 from quarry.operators.terms import SparseIndex
+from quarry.plans.util import bounded_broadcast
 
 STRATEGIES = ("inverted_index", "trie", "weighted_doc_idf", "word_idf_filter")
 
@@ -28,21 +29,28 @@ def candidates(queries: DataFrame, index: SparseIndex, strategy: str = "inverted
                params: Params = DEFAULT, chunk_words: int | None = None) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; one of {STRATEGIES}")
-    qt = S.query_terms(queries, index.profile)
-    qw = qt.select("query_id", "word")
-    post = index.terms.select("doc_id", "word")
+    qt = S.query_terms(queries, index.profile).cache()
+    n = qt.count()
+    qw = bounded_broadcast(qt.select("query_id", "word"), n, params.broadcast_max_rows)
+    # postings of the batch's words only (tf/df of a word need only its rows)
+    small = index.restrict(qt.select("word"), n)
+    post = small.terms.select("doc_id", "word")
     if strategy == "inverted_index":
         return qw.join(post, "word").select("query_id", "doc_id").distinct()
     if strategy == "trie":
         short = qw.filter(F.length("word") <= params.max_word_len)
+        # chunk boundaries come from the whole vocabulary (the stored shard map)
         chunks = IX.vocab_chunks(index.df, chunk_words or params.vocab_chunk_words)
         located = IX.words_to_chunks(short, chunks).select("query_id", "word")
-        return located.join(post, "word").select("query_id", "doc_id").distinct()
+        return bounded_broadcast(located, n, params.broadcast_max_rows).join(post, "word") \
+            .select("query_id", "doc_id").distinct()
     if strategy == "weighted_doc_idf":
         short = qw.filter(F.length("word") <= params.max_word_len)
-        mass = (short.join(post, "word").join(index.idf, "word")
+        idf = bounded_broadcast(small.idf, n, params.broadcast_max_rows)
+        mass = (short.join(post, "word").join(idf, "word")
                      .groupBy("query_id", "doc_id").agg(F.sum("idf").alias("idf_mass")))
         return mass.filter(F.col("idf_mass") > params.doc_idf_mass_min).select("query_id", "doc_id")
-    weights = S.query_weights(qt, index)
+    weights = S.query_weights(qt, small, bound_rows=n, params=params)
     common = weights.filter(F.col("idf") < params.word_idf_max).select("query_id", "word")
-    return common.join(post, "word").select("query_id", "doc_id").distinct()
+    return bounded_broadcast(common, n, params.broadcast_max_rows).join(post, "word") \
+        .select("query_id", "doc_id").distinct()

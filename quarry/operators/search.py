@@ -29,10 +29,15 @@ def query_terms(queries: DataFrame, profile: str = "basic") -> DataFrame:
             .select(F.col("doc_id").alias("query_id"), "word", F.col("tf").alias("qtf")))
 
 
-def query_weights(qterms: DataFrame, index: SparseIndex) -> DataFrame:
-    """J6 + R2: ``query_id, word, qtf, idf, qw``; OOV idf = ln(2N + 1)."""
+def query_weights(qterms: DataFrame, index: SparseIndex, bound_rows: int | None = None,
+                  params: Params = DEFAULT) -> DataFrame:
+    """J6 + R2: ``query_id, word, qtf, idf, qw``; OOV idf = ln(2N + 1).
+    ``bound_rows`` bounds the idf side (an index restricted to the batch's
+    words), which is then broadcast."""
     stats = F.broadcast(index.stats.select("corpus_size"))
-    j = qterms.join(index.idf, "word", "left").crossJoin(stats)
+    idf = (bounded_broadcast(index.idf, bound_rows, params.broadcast_max_rows)
+           if bound_rows is not None else index.idf)
+    j = qterms.join(idf, "word", "left").crossJoin(stats)
     idf_c = F.coalesce(F.col("idf"), F.log(2 * F.col("corpus_size") + 1))
     return j.select("query_id", "word", "qtf", idf_c.alias("idf"),
                     (F.col("qtf") * idf_c).alias("qw"))
@@ -105,7 +110,7 @@ def tfidf_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAUL
     qterms = query_terms(queries, index.profile).cache()
     n = qterms.count()
     index = index.restrict(qterms.select("word"), n)
-    qw = query_weights(qterms, index)
+    qw = query_weights(qterms, index, n, params)
     qw = bounded_broadcast(qw.select("query_id", "word", "qw"), n, params.broadcast_max_rows)
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
     post = index.terms.select("doc_id", "word", "tf")
