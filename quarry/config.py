@@ -42,6 +42,8 @@ class Params:
     recall_at: tuple = (5, 10, 25)
     # Rows a side may have to be broadcast explicitly (size check).
     broadcast_max_rows: int = 2_000_000
+    # Query vectors shipped to every kNN task at once; larger batches run in blocks.
+    knn_query_block: int = 50_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -83,11 +83,28 @@ def cosine(a: Column, b: Column) -> Column:
 def knn_exact(items: DataFrame, queries: DataFrame, k: int, params: Params = DEFAULT,
               item_key: str = "item_id", vec: str = "vector", digits: int | None = 6) -> DataFrame:
     """R9 + W2: ``query_id, rank, item_id, distance`` (squared L2, ascending;
-    ties by item key). ``queries``: ``query_id, vector`` (row-count checked)."""
+    ties by item key). ``queries``: ``query_id, vector``.
+
+    The query matrix goes to every task, so it is sent in blocks of at most
+    ``params.knn_query_block`` vectors (hash blocks of ``query_id``); each
+    block is one pass over the items and the results are unioned."""
     n = queries.count()
-    if n > params.broadcast_max_rows:
-        raise ValueError(f"query batch of {n} rows exceeds broadcast_max_rows; split the batch")
+    blocks = max(1, -(-n // params.knn_query_block))
+    parts = []
+    for blk in range(blocks):
+        qb = queries if blocks == 1 else queries.filter(
+            F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == blk)
+        parts.append(_knn_block(items, qb, k, item_key, vec, digits))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _knn_block(items: DataFrame, queries: DataFrame, k: int, item_key: str, vec: str,
+               digits: int | None) -> DataFrame:
     qpd = queries.select("query_id", vec).toPandas()
+    n = len(qpd)
     qids = qpd["query_id"].to_numpy()
     qmat = np.stack([np.asarray(v, dtype=np.float64) for v in qpd[vec]]) if n else np.zeros((0, 0))
     qn = (qmat ** 2).sum(axis=1) if n else qmat

@@ -71,14 +71,12 @@ def vocabulary_by_df(dfs: DataFrame) -> DataFrame:
 
 def shard_by_df(dfs: DataFrame, cap: int) -> DataFrame:
     """``word, num_docs, shard``; cut the df-sorted vocabulary into shards of
-    cumulative df ``cap`` (fixed bins on the running sum). Shards are then
-    renumbered densely so none is empty."""
+    cumulative df ``cap`` (fixed bins on the running sum). A shard exists only
+    if a word falls in it, so none is empty; when one word's df spans several
+    bins the following shard number skips the bins it covered."""
     cum = running_sum(dfs, "num_docs", [F.desc("num_docs"), F.asc("word")], "cum_df")
-    raw = cum.withColumn("bin", F.floor((F.col("cum_df") - F.col("num_docs")) / cap).cast("long"))
-    # one row per shard (total df / cap + 1), so the renumbering table is broadcast
-    bins = sequential_ids(raw.select("bin").distinct(), [F.col("bin")], "shard")
-    return (raw.join(F.broadcast(bins), "bin")
-               .select("word", "num_docs", (F.col("shard") - 1).alias("shard")))
+    return cum.select("word", "num_docs",
+                      F.floor((F.col("cum_df") - F.col("num_docs")) / cap).cast("long").alias("shard"))
 
 
 def vocab_chunks(dfs: DataFrame, words_per_chunk: int, digits: bool = True) -> DataFrame:

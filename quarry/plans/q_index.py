@@ -45,8 +45,7 @@ SHARDS_CTE = f"""
 cum AS (SELECT word, num_docs,
                sum(num_docs) OVER (ORDER BY num_docs DESC, word ROWS UNBOUNDED PRECEDING) AS cum_df
         FROM dfs),
-binned AS (SELECT word, num_docs, CAST(floor((cum_df - num_docs) / {SHARD_CAP}) AS BIGINT) AS bin FROM cum),
-shards AS (SELECT word, num_docs, CAST(dense_rank() OVER (ORDER BY bin) - 1 AS BIGINT) AS shard FROM binned)"""
+shards AS (SELECT word, num_docs, CAST(floor((cum_df - num_docs) / {SHARD_CAP}) AS BIGINT) AS shard FROM cum)"""
 
 CHUNKS_CTE = f"""
 bucketed AS (SELECT word, {BUCKET_SQL} AS bucket FROM dfs),
