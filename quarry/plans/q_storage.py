@@ -80,7 +80,7 @@ def s11_shard_sink(spark, sf_dir):
     path = _fresh(spark, "shards")
     ST.write_shards(post, path)
     ST.write_shards(post.limit(0), path)   # N3: existing output is kept
-    return spark.read.parquet(path).select("shard", "word", "doc_int")
+    return spark.read.parquet(path).select(F.col("shard").cast("long"), "word", "doc_int")
 
 
 CHUNK_KEYS_SQL = _sql("c1_direct_split").split("SELECT doc_id, piece_no, win_no, text_idx")[0] + """
