@@ -27,8 +27,13 @@ def _ordered(df: DataFrame, order: list[Column]) -> DataFrame:
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
     s = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     mono = F.monotonically_increasing_id()
-    return s.withColumn("_pid", F.shiftright(mono, _POS_BITS)) \
-            .withColumn("_pos", mono - F.shiftleft(F.shiftright(mono, _POS_BITS), _POS_BITS))
+    s = s.withColumn("_pid", F.shiftright(mono, _POS_BITS)) \
+         .withColumn("_pos", mono - F.shiftleft(F.shiftright(mono, _POS_BITS), _POS_BITS))
+    # The partition boundaries come from sampling rows whose order inside a
+    # partition is not fixed, so two evaluations (or a recomputation after a
+    # lost executor) could cut differently. Positions and per-partition counts
+    # must come from the same rows: materialise once in the checkpoint folder.
+    return s.checkpoint(eager=True)
 
 
 def sequential_ids(df: DataFrame, order: list[Column], name: str = "seq") -> DataFrame:

@@ -127,27 +127,22 @@ class SparseIndex:
         self._tok = tk
         keys = [c for c in tk.columns if c != "tokens"]
         self.keys = keys
-        if vocabulary is None:
-            rows = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"),
-                             F.explode("tokens").alias("word"))
-            self.terms = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf"))
-            self.lengths = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"))
-        else:
-            # One pass over the text for a query batch: each document emits its
-            # rows for the batch's words plus one marker row (word "") carrying
-            # its length. The result (postings of the batch's words + one row
-            # per document) is persisted, so postings, df and corpus
-            # statistics all read it instead of tokenising the text three
-            # times; it is recomputed from lineage if an executor is lost.
+        # One pass over the text: each document emits its term rows (only the
+        # batch's words when ``vocabulary`` is given) plus one marker row
+        # (word "") carrying its length. The aggregated result is persisted
+        # (memory and disk, recomputable from lineage if an executor is lost),
+        # so postings, df and corpus statistics all read it instead of
+        # tokenising the text once per consumer.
+        rows = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"),
+                         F.explode(F.concat(F.array(F.lit(DOC_MARKER)), F.col("tokens"))).alias("word"))
+        if vocabulary is not None:
             voc = self._vocab(vocabulary, vocabulary_rows)
-            rows = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"),
-                             F.explode(F.concat(F.array(F.lit(DOC_MARKER)), F.col("tokens"))).alias("word"))
             rows = rows.join(voc.unionByName(voc.sparkSession.range(1).select(F.lit(DOC_MARKER).alias("word"))),
                              "word", "left_semi")
-            counted = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf")) \
-                          .persist(StorageLevel.MEMORY_AND_DISK)
-            self.terms = counted.filter(F.col("word") != DOC_MARKER)
-            self.lengths = counted.filter(F.col("word") == DOC_MARKER).select(*keys, "doc_len")
+        counted = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf")) \
+                      .persist(StorageLevel.MEMORY_AND_DISK)
+        self.terms = counted.filter(F.col("word") != DOC_MARKER)
+        self.lengths = counted.filter(F.col("word") == DOC_MARKER).select(*keys, "doc_len")
         self._finish()
 
     def _vocab(self, vocabulary, vocabulary_rows):
