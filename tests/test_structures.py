@@ -91,3 +91,18 @@ def test_weighted_sample_reproducible(spark):
     b = [r.doc_id for r in EV.weighted_sample(lens.repartition(7), 5, 1234).orderBy("sample_rank").collect()]
     assert a == b and len(set(a)) == 5
     assert all(x % 50 > 1 for x in a)
+
+
+def test_sequential_ids_on_unordered_shuffled_input(spark):
+    """Ids must be consistent even when the input's row order inside
+    partitions differs between evaluations (aggregated, persisted input)."""
+    from pyspark import StorageLevel
+    base = spark.range(0, 20000).select((F.col("id") % 3000).alias("k"), F.col("id"))
+    agg = base.groupBy("k").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    ids = IX.sequential_ids(agg, [F.desc("n"), F.asc("k")], "seq").collect()
+    got = {r.k: r.seq for r in ids}
+    expect = {k: i + 1 for i, (k, _) in enumerate(sorted(((r.k, r.n) for r in agg.collect()),
+                                                          key=lambda x: (-x[1], x[0])))}
+    assert got == expect
+    sums = IX.running_sum(agg, "n", [F.asc("k")], "cum").collect()
+    assert max(r.cum for r in sums) == 20000 and len({r.cum for r in sums}) == 3000
