@@ -34,11 +34,11 @@ def query_weights(qterms: DataFrame, index: SparseIndex, bound_rows: int | None
     """J6 + R2: ``query_id, word, qtf, idf, qw``; OOV idf = ln(2N + 1).
     ``bound_rows`` bounds the idf side (an index restricted to the batch's
     words), which is then broadcast."""
-    stats = F.broadcast(index.stats.select("corpus_size"))
+    n = index.stats.select("corpus_size").scalar()   # one-row scalar subquery
     idf = (bounded_broadcast(index.idf, bound_rows, params.broadcast_max_rows)
            if bound_rows is not None else index.idf)
-    j = qterms.join(idf, "word", "left").crossJoin(stats)
-    idf_c = F.coalesce(F.col("idf"), F.log(2 * F.col("corpus_size") + 1))
+    j = qterms.join(idf, "word", "left")
+    idf_c = F.coalesce(F.col("idf"), F.log(2 * n + 1))
     return j.select("query_id", "word", "qtf", idf_c.alias("idf"),
                     (F.col("qtf") * idf_c).alias("qw"))
 
@@ -87,9 +87,9 @@ def bm25_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT
         j = j.join(checked_broadcast(candidates.select("query_id", "doc_id"), params.broadcast_max_rows),
                    ["query_id", "doc_id"], "left_semi")
     # restricted idf has at most one row per query word
-    j = (j.join(bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word")
-          .crossJoin(F.broadcast(index.stats.select("avg_doc_len"))))
-    contrib = bm25_expr("tf", "idf", "doc_len", "avg_doc_len", params.k1, params.b)
+    j = j.join(bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word")
+    avg = index.stats.select("avg_doc_len").scalar()   # one-row scalar subquery
+    contrib = bm25_expr("tf", "idf", "doc_len", avg, params.k1, params.b)
     return (j.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("score"))
              .withColumn("score", _round(F.col("score"), score_digits)))
 

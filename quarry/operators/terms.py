@@ -10,8 +10,7 @@ Shuffle budget of the sparse build, per corpus:
   measured vocabulary is small, else a sort-merge join whose hot-word
   partitions AQE splits (skew join).
 
-Corpus statistics are a single-row aggregate joined as a broadcast (its size
-is one row by construction).
+Corpus statistics are a single-row aggregate used as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -78,8 +77,8 @@ def term_df(terms: DataFrame) -> DataFrame:
 
 def idf(dfs: DataFrame, stats: DataFrame) -> DataFrame:
     """``word, idf = ln(N / df)`` (no smoothing)."""
-    return (dfs.crossJoin(F.broadcast(stats.select("corpus_size")))
-               .select("word", F.log(F.col("corpus_size") / F.col("num_docs")).alias("idf")))
+    n = stats.select("corpus_size").scalar()   # one-row scalar subquery
+    return dfs.select("word", F.log(n / F.col("num_docs")).alias("idf"))
 
 
 def bm25_expr(tf, idf_c, doc_len, avg_len, k1: float, b: float):
@@ -91,13 +90,13 @@ def bm25_expr(tf, idf_c, doc_len, avg_len, k1: float, b: float):
 def sparse_vectors(terms: DataFrame, idf_df: DataFrame, stats: DataFrame,
                    params: Params = DEFAULT) -> DataFrame:
     """``doc_id, file, word, tf, doc_len, idf, tf_idf, bm25`` (J2 + arithmetic)."""
-    j = (terms.join(idf_df, "word", "left")
-              .crossJoin(F.broadcast(stats.select("avg_doc_len"))))
+    avg = stats.select("avg_doc_len").scalar()   # one-row scalar subquery
+    j = terms.join(idf_df, "word", "left")
     return j.select(
         *[c for c in terms.columns if c not in ("word", "tf", "doc_len")],
         "word", "tf", "doc_len", "idf",
         (F.col("tf") * F.col("idf")).alias("tf_idf"),
-        bm25_expr("tf", "idf", "doc_len", "avg_doc_len", params.k1, params.b).alias("bm25"))
+        bm25_expr("tf", "idf", "doc_len", avg, params.k1, params.b).alias("bm25"))
 
 
 DOC_MARKER = ""  # word of the per-document length row (real words have length > 1)

@@ -239,5 +239,5 @@ def i9_index_roundtrip(spark, sf_dir):
     stored = spark.read.parquet(path).select("word", F.explode("docs").alias("doc_int"))
     fresh = IX.postings_rows(_index(spark, sf_dir).terms, _ids(spark, sf_dir))
     missing = fresh.exceptAll(stored).agg(F.count(F.lit(1)).alias("n_missing"))
-    extra = stored.exceptAll(fresh).agg(F.count(F.lit(1)).alias("n_extra"))
-    return missing.crossJoin(extra)
+    extra = stored.exceptAll(fresh).agg(F.count(F.lit(1)).alias("n_extra")).scalar()
+    return missing.select("n_missing", extra.alias("n_extra"))

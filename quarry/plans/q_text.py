@@ -183,11 +183,11 @@ SELECT doc_id, round(CASE WHEN len(toks) > 0 THEN ln(len(toks)) END, 6) AS ln_le
 FROM (SELECT doc_id, {basic_tokens('text')} AS toks FROM documents)""")
 def t19_logs(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    n = d.agg(F.count(F.lit(1)).alias("n"))
+    n = d.agg(F.count(F.lit(1)).alias("n")).scalar()
     toks = d.select("doc_id", F.size(T.basic_tokens("text")).alias("len"))
-    return toks.crossJoin(F.broadcast(n)).select(
+    return toks.select(
         "doc_id", F.round(F.when(F.col("len") > 0, F.log("len")), 6).alias("ln_len"),
-        F.round(F.log(2 * F.col("n") + 1), 6).alias("ln_oov"))
+        F.round(F.log(2 * n + 1), 6).alias("ln_oov"))
 
 
 # ---- S3, S4 --------------------------------------------------------------------------
