@@ -95,11 +95,10 @@ def read_stats(spark: SparkSession, path: str, corpus_size: int = -1, avg_doc_le
         s = spark.read.schema(schema).json(path)
     except AnalysisException:
         s = spark.createDataFrame([], schema)
-    fallback = spark.createDataFrame([(corpus_size, avg_doc_len)], schema) \
-                    .select(F.col("corpus_size").alias("c0"), F.col("avg_doc_len").alias("a0"))
-    return (fallback.join(s, how="left")
-                    .select(F.coalesce("corpus_size", "c0").alias("corpus_size"),
-                            F.coalesce("avg_doc_len", "a0").alias("avg_doc_len")))
+    n = s.select(F.max("corpus_size")).scalar()     # NULL when no stats were stored
+    a = s.select(F.max("avg_doc_len")).scalar()
+    return spark.range(1).select(F.coalesce(n, F.lit(corpus_size)).alias("corpus_size"),
+                                 F.coalesce(a, F.lit(avg_doc_len)).alias("avg_doc_len"))
 
 
 # ---- S11 / N3 ---------------------------------------------------------------------------
