@@ -140,10 +140,16 @@ class SparseIndex:
                              "word", "left_semi")
         counted = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf")) \
                       .persist(StorageLevel.MEMORY_AND_DISK)
+        self._counted = counted
         self.terms = counted.filter(F.col("word") != DOC_MARKER)
         self.lengths = counted.filter(F.col("word") == DOC_MARKER).select(*keys, "doc_len")
         self._finish()
 
+    def unpersist(self) -> None:
+        """Release the persisted term pass (long-running sessions)."""
+        if getattr(self, "_counted", None) is not None:
+            self._counted.unpersist()
+
     def _vocab(self, vocabulary, vocabulary_rows):
         from quarry.plans.util import bounded_broadcast, checked_broadcast
         voc = vocabulary.select("word").distinct()
