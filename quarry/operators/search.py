@@ -43,6 +43,17 @@ def query_weights(qterms: DataFrame, index: SparseIndex, bound_rows: int | None
                     (F.col("qtf") * idf_c).alias("qw"))
 
 
+def _by_doc(index, post: DataFrame) -> DataFrame:
+    """Postings clustered by document before they meet the query batch.
+
+    Each posting row fans out to every query containing its word, so the
+    per-(query, doc) sums are much larger than the postings. With postings
+    already clustered by document (an index built in the same plan from the
+    key-partitioned corpus) the sums need no shuffle; postings read from a
+    word-sharded store are moved once, before the fan-out, instead."""
+    return post if getattr(index, "doc_clustered", True) else post.repartition("doc_id")
+
+
 def _round(c, digits):
     return F.round(c, digits) if digits is not None else c
 
@@ -81,7 +92,7 @@ def bm25_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT
     n = qt.count()
     qt = bounded_broadcast(qt, n, params.broadcast_max_rows)
     index = index.restrict(qt.select("word"), n)
-    post = index.terms.select("doc_id", "word", "tf", "doc_len")
+    post = _by_doc(index, index.terms.select("doc_id", "word", "tf", "doc_len"))
     j = qt.join(post, "word")
     if candidates is not None:
         j = j.join(checked_broadcast(candidates.select("query_id", "doc_id"), params.broadcast_max_rows),
@@ -113,7 +124,7 @@ def tfidf_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAUL
     qw = query_weights(qterms, index, n, params)
     qw = bounded_broadcast(qw.select("query_id", "word", "qw"), n, params.broadcast_max_rows)
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    post = index.terms.select("doc_id", "word", "tf")
+    post = _by_doc(index, index.terms.select("doc_id", "word", "tf"))
     j = qw.join(post, "word")
     if candidates is not None:
         j = j.join(checked_broadcast(candidates.select("query_id", "doc_id"), params.broadcast_max_rows),

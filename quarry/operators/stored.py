@@ -65,6 +65,7 @@ class StoredIndex:
             terms = terms.filter(F.col("shard").isin(shards)).join(voc, ["shard", "word"], "left_semi")
             df = df.filter(F.col("shard").isin(shards)).join(voc, ["shard", "word"], "left_semi")
         self.vocabulary = vocabulary
+        self.doc_clustered = False   # rows are laid out by word shard
         self.terms = terms.select("doc_id", "doc_len", "word", "tf")
         self.df = df.select("word", "num_docs")
         self.idf = idf_of(self.df, self.stats)
