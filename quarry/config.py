@@ -8,7 +8,7 @@ grouped below under FIXED VALUES.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.config import DEFAULT, Params
 from quarry.functions import html as H
 
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.config import DEFAULT, Params
 from quarry.operators.terms import first_char_bucket
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position

@@ -19,7 +19,7 @@ from quarry.plans.q_chunk import sql_hash_tokens
 from quarry.plans.q_dense import CENTROIDS_SQL, centroids
 from quarry.plans.q_graph import EDGES_SQL
 from quarry.plans.util import bounded_broadcast
-from quarry.plans.sql import (bm25, bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
+from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
                               top_k_cte)
 from quarry.sources import tables
 
@@ -263,4 +263,3 @@ def r10_candidate_restriction(spark, sf_dir):
     return top.select("query_id", "rank", "vec_id", "distance")
 
 
-_ = (bm25,)

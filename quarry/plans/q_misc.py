@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.config import DEFAULT, MISSING_ARTICLE_TEXT
+from quarry.config import DEFAULT
 from quarry.functions import html as H
 from quarry.functions import text as T
 from quarry.operators import search as S
@@ -14,7 +14,7 @@ from quarry.operators import terms as TM
 from quarry.plans.catalog import register
 from quarry.plans.q_index import CHUNK_WORDS, CHUNKS_CTE, BUCKET_SQL
 from quarry.plans.q_text import sql_html_text, sql_lines, sql_strip
-from quarry.plans.sql import (bm25, bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
+from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
                               tfidf_scores_cte, top_k_cte)
 from quarry.sources import tables
 
@@ -336,4 +336,3 @@ def r5_bm25_search_full(spark, sf_dir):
     return S.search_bm25(tables.benchmark_queries(spark, sf_dir), idx, P.with_(top_k=K))
 
 
-_ = (bm25, MISSING_ARTICLE_TEXT)
