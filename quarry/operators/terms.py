@@ -113,8 +113,7 @@ class SparseIndex:
     """
 
     def __init__(self, docs: DataFrame, profile: str = "basic", params: Params = DEFAULT,
-                 vocabulary: DataFrame | None = None, vocabulary_rows: int | None = None,
-                 _tokens: DataFrame | None = None):
+                 vocabulary: DataFrame | None = None, vocabulary_rows: int | None = None):
         self.params = params
         self.profile = profile
         self.docs = docs
@@ -122,8 +121,12 @@ class SparseIndex:
         if profile == "full":
             self._init_full(docs, params, vocabulary)
             return
-        tk = _tokens if _tokens is not None else tokens(docs.select("doc_id", "text"), profile)
-        self._tok = tk
+        base = docs.select("doc_id", "text")
+        if vocabulary is None:
+            # full build: shuffle the compact text by document once; every
+            # per-document step below is then local
+            base = base.repartition("doc_id")
+        tk = tokens(base, profile)
         keys = [c for c in tk.columns if c != "tokens"]
         self.keys = keys
         # One pass over the text: each document emits its term rows (only the
@@ -135,9 +138,12 @@ class SparseIndex:
         rows = tk.select(*keys, F.size("tokens").cast("long").alias("doc_len"),
                          F.explode(F.concat(F.array(F.lit(DOC_MARKER)), F.col("tokens"))).alias("word"))
         if vocabulary is not None:
+            # batch search: the text stays where it was read; only the rows of
+            # the batch's words (and the length rows) are moved, clustered by
+            # document so the per-(query, doc) sums downstream stay local
             voc = self._vocab(vocabulary, vocabulary_rows)
             rows = rows.join(voc.unionByName(voc.sparkSession.range(1).select(F.lit(DOC_MARKER).alias("word"))),
-                             "word", "left_semi")
+                             "word", "left_semi").repartition("doc_id")
         counted = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf")) \
                       .persist(StorageLevel.MEMORY_AND_DISK)
         self._counted = counted
@@ -183,8 +189,7 @@ class SparseIndex:
         """Same corpus, term rows limited to ``vocabulary`` words."""
         if self.profile != "basic":
             return self
-        return SparseIndex(self.docs, self.profile, self.params, vocabulary, vocabulary_rows,
-                           _tokens=self._tok)
+        return SparseIndex(self.docs, self.profile, self.params, vocabulary, vocabulary_rows)
 
     @property
     def vectors(self) -> DataFrame:

@@ -18,16 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy input at least one partition per core.
+
+    A large corpus arrives in many file splits and is left where it is (the
+    text is never shuffled just to be read); a small one (a single parquet
+    row group is a single split) is redistributed round-robin so tokenising
+    and regex work use every core.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+
+
 def by_key(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a corpus table by its document key.
-
-    Every per-document step after this (tokenising, the (doc, word) term
-    aggregate, per-(query, doc) score sums, per-doc windows) then runs where
-    the row already is: Spark sees the clustering and plans no further
-    exchange for groupings that include the key. Shuffling the compact text
-    once is cheaper than shuffling the exploded term rows and then the
-    (query, doc) partial sums, and it spreads a single-split input over all
-    cores. A table stored bucketed by the key needs no shuffle at all.
+    """Cluster rows by a document key (one hash shuffle).
+
+    Used where every row of a document must meet in one task anyway: the
+    full term build shuffles the compact text once and then tokenises and
+    aggregates per document locally, which is cheaper than shuffling the
+    exploded term rows (several times the text size).
     """
     return df.repartition(key)
 
@@ -37,7 +46,7 @@ def documents(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataF
     cols = [F.col("doc_id"), F.col("source").alias("file"), F.col("doc_id").alias("entry_id")]
     if with_text:
         cols.append(F.col("text"))
-        return by_key(table(spark, sf_dir, "documents").select(*cols), "doc_id")
+        return spread(table(spark, sf_dir, "documents").select(*cols))
     return table(spark, sf_dir, "documents").select(*cols)
 
 
@@ -49,7 +58,7 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second query batch: user turns, ``query_id = conv_id * 1000 + turn``."""
-    c = by_key(table(spark, sf_dir, "conversations"), "conv_id")
+    c = spread(table(spark, sf_dir, "conversations"))
     return (c.filter(F.col("role") == "user")
              .select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
                      F.col("text").alias("query")))
@@ -62,8 +71,8 @@ def excluded_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return by_key(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
+    return spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return by_key(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), "vec_id")
+    return spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
