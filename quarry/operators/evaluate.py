@@ -11,6 +11,7 @@ the key ``-ln(u) / w`` and the n smallest keys win; a global
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,9 +84,12 @@ def known_item_truth(items: DataFrame, docs: DataFrame, params: Params = DEFAULT
     n_tok = itok.count()
     from quarry.plans.util import bounded_broadcast
     vocab = bounded_broadcast(itok.select("token").distinct(), n_tok, params.broadcast_max_rows)
+    # one pass over the text: the (doc, token) rows of the items' tokens only,
+    # persisted because both the token df and the candidate join read them
     dtok = (docs.select("doc_id", F.explode(F.array_distinct(
                 F.filter(F.split(F.lower("text"), WS_PATTERN), lambda w: w != ""))).alias("token"))
-               .join(vocab, "token", "left_semi"))
+               .join(vocab, "token", "left_semi")
+               .persist(StorageLevel.MEMORY_AND_DISK))
     df = dtok.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     w = Window.partitionBy("query_id").orderBy(F.col("df").asc(), F.col("token").asc())
     chosen = (itok.join(df, "token").withColumn("_r", F.row_number().over(w))
