@@ -172,9 +172,27 @@ def t17_sha256(spark, sf_dir):
 
 
 @register("t18_span_slice", """
-SELECT doc_id, substring(text, 11, 40) AS span_text FROM documents""")
+WITH raw AS (
+  SELECT doc_id, text, generate_subscripts(ps, 1) - 1 AS piece_no, unnest(ps) AS piece
+  FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ps FROM documents)),
+spans AS (
+  SELECT doc_id, text, piece_no, length(piece) AS len,
+         coalesce(sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY piece_no
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM raw)
+SELECT doc_id, CAST(piece_no AS BIGINT) AS piece_no, CAST(start AS BIGINT) AS span_start,
+       CAST(start + len AS BIGINT) AS span_end, substring(text, CAST(start AS BIGINT) + 1, len) AS span_text
+FROM spans WHERE len > 0""")
 def t18_span_slice(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", T.span_slice("text", F.lit(10), F.lit(50)).alias("span_text"))
+    """Every line of every document cut out of the text by its span [s, e)."""
+    from quarry.operators.chunk import split_pieces
+    d = _docs(spark, sf_dir).select("doc_id", "text")
+    sp = split_pieces(d, "\n", true_offsets=True).select(
+        "doc_id", "piece_no", F.col("text_idx").alias("span_start"),
+        (F.col("text_idx") + F.col("text_len")).alias("span_end"))
+    j = sp.join(d, "doc_id")
+    return j.select("doc_id", "piece_no", "span_start", "span_end",
+                    T.span_slice("text", F.col("span_start"), F.col("span_end")).alias("span_text"))
 
 
 @register("t19_logs", f"""
