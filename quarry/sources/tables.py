@@ -26,8 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
     row group is a single split) is redistributed round-robin so tokenising
     and regex work use every core.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave as read
+        return df
+    return df if have >= want else df.repartition(want)
 
 
 def by_key(df: DataFrame, key: str) -> DataFrame:
