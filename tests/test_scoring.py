@@ -99,3 +99,22 @@ def test_bad_arguments(spark, index):
         S.search_bm25(q, index, DEFAULT.with_(top_k=0))
     with pytest.raises(ValueError):
         S.search_tfidf(q, index, DEFAULT.with_(srt=2.0))
+
+
+def test_stored_index_equals_in_plan(spark):
+    import uuid
+
+    from quarry.operators import stored
+    from quarry.session import scratch_path
+    from quarry.sources import tables
+    sf = "/root/testdata/sf0.001"
+    qs = tables.benchmark_queries(spark, sf)
+    for profile in ("basic", "full"):
+        idx = SparseIndex(tables.documents(spark, sf), profile, DEFAULT)
+        path = scratch_path(spark, f"t-index-{uuid.uuid4().hex}")
+        stored.build(idx, path, n_shards=8)
+        st = stored.StoredIndex(spark, path, DEFAULT)
+        p = DEFAULT.with_(top_k=10)
+        a = {(r.query_id, r.rank, r.doc_id, r.score) for r in S.search_bm25(qs, idx, p).collect()}
+        b = {(r.query_id, r.rank, r.doc_id, r.score) for r in S.search_bm25(qs, st, p).collect()}
+        assert a == b and len(a) > 0
