@@ -37,7 +37,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024)))
     for k, v in _DEFAULTS.items():
         b = b.config(k, v)
-    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
