@@ -92,15 +92,22 @@ def bm25_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT
     n = qt.count()
     qt = bounded_broadcast(qt, n, params.broadcast_max_rows)
     index = index.restrict(qt.select("word"), n)
-    post = _by_doc(index, index.terms.select("doc_id", "word", "tf", "doc_len"))
+    # An index stored with the same k1/b already holds each row's score
+    reuse = (getattr(index, "stored_k1", None) == params.k1 and getattr(index, "stored_b", None) == params.b
+             and hasattr(index, "vectors"))
+    cols = ["doc_id", "word", "bm25"] if reuse else ["doc_id", "word", "tf", "doc_len"]
+    post = _by_doc(index, (index.vectors if reuse else index.terms).select(*cols))
     j = qt.join(post, "word")
     if candidates is not None:
         j = j.join(checked_broadcast(candidates.select("query_id", "doc_id"), params.broadcast_max_rows),
                    ["query_id", "doc_id"], "left_semi")
-    # restricted idf has at most one row per query word
-    j = j.join(bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word")
-    avg = index.stats.select("avg_doc_len").scalar()   # one-row scalar subquery
-    contrib = bm25_expr("tf", "idf", "doc_len", avg, params.k1, params.b)
+    if reuse:
+        contrib = F.col("bm25")
+    else:
+        # restricted idf has at most one row per query word
+        j = j.join(bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word")
+        avg = index.stats.select("avg_doc_len").scalar()   # one-row scalar subquery
+        contrib = bm25_expr("tf", "idf", "doc_len", avg, params.k1, params.b)
     return (j.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("score"))
              .withColumn("score", _round(F.col("score"), score_digits)))
 

@@ -1,6 +1,7 @@
 """A sparse index built once and queried many times (the deployment layout).
 
-    <path>/terms   doc_id, word, tf, doc_len   partitioned by shard = hash(word) mod n
+    <path>/terms   doc_id, word, tf, doc_len, idf, tf_idf, bm25
+                                                partitioned by shard = hash(word) mod n
                                                 rows sorted by (word, doc_id) inside files
     <path>/df      word, num_docs               partitioned the same way
     <path>/stats   corpus_size, avg_doc_len     one row
@@ -31,7 +32,10 @@ def shard_of(word, n_shards: int):
 
 def build(index: SparseIndex, path: str, n_shards: int = 64) -> None:
     """Write the index; every part is a whole-table overwrite (safe to rerun)."""
-    t = index.terms.select("doc_id", "word", "tf", "doc_len").withColumn("shard", shard_of("word", n_shards))
+    # the sparse-vector rows (D10): tf, doc_len, idf, tf_idf and bm25 under
+    # the index's k1/b, so a search with the same k1/b only sums stored scores
+    t = (index.vectors.select("doc_id", "word", "tf", "doc_len", "idf", "tf_idf", "bm25")
+              .withColumn("shard", shard_of("word", n_shards)))
     (t.repartition("shard").sortWithinPartitions("word", "doc_id")
       .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/terms"))
     d = index.df.withColumn("shard", shard_of("word", n_shards))
@@ -67,6 +71,7 @@ class StoredIndex:
         self.vocabulary = vocabulary
         self.doc_clustered = False   # rows are laid out by word shard
         self.terms = terms.select("doc_id", "doc_len", "word", "tf")
+        self.vectors = terms.select("doc_id", "doc_len", "word", "tf", "idf", "tf_idf", "bm25")
         self.df = df.select("word", "num_docs")
         self.idf = idf_of(self.df, self.stats)
 

@@ -48,3 +48,25 @@ def r4_tfidf_stored_index(spark, sf_dir):
     path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
     stored.build(_index(spark, sf_dir), path, n_shards=16)
     return S.search_tfidf(tables.benchmark_queries(spark, sf_dir), stored.StoredIndex(spark, path, P), P)
+
+
+def _stored(spark, sf_dir):
+    import uuid
+
+    from quarry.operators import stored
+    from quarry.session import scratch_path
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    stored.build(_index(spark, sf_dir), path, n_shards=16)
+    return stored.StoredIndex(spark, path, P)
+
+
+@register("r6_bm25_stored_reuse", bm25_scores_sql(P.k1, P.b) + top_k_sql(P.top_k))
+def r6_bm25_stored_reuse(spark, sf_dir):
+    """Same k1/b as the stored index: the stored per-row scores are summed."""
+    return S.search_bm25(tables.benchmark_queries(spark, sf_dir), _stored(spark, sf_dir), P)
+
+
+@register("r6_bm25_stored_recompute", bm25_scores_sql(1.0, 0.0) + top_k_sql(P.top_k))
+def r6_bm25_stored_recompute(spark, sf_dir):
+    """Other k1/b than stored: scores recomputed from tf, doc_len and idf."""
+    return S.search_bm25(tables.benchmark_queries(spark, sf_dir), _stored(spark, sf_dir), P.with_(k1=1.0, b=0.0))
