@@ -14,6 +14,7 @@ materialisation), so it is read for k rows per query.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -169,3 +170,74 @@ def attach_text(results: DataFrame, docs: DataFrame, params: Params = DEFAULT,
     return out.select(*results.columns, "file", "entry_id",
                       F.lit(0).cast("long").alias("span_start"),
                       F.length("text").cast("long").alias("span_end"), "text")
+
+
+def _bm25_postings(qt_words: DataFrame, n: int, index, params: Params) -> DataFrame:
+    """``doc_id, word, c`` — each posting of the batch's words with its BM25
+    contribution, clustered by document (see ``_by_doc``)."""
+    index = index.restrict(qt_words, n)
+    reuse = (getattr(index, "stored_k1", None) == params.k1 and getattr(index, "stored_b", None) == params.b
+             and hasattr(index, "vectors"))
+    if reuse:
+        return _by_doc(index, index.vectors.select("doc_id", "word", F.col("bm25").alias("c")))
+    avg = index.stats.select("avg_doc_len").scalar()
+    post = index.terms.select("doc_id", "word", "tf", "doc_len").join(
+        bounded_broadcast(index.idf, n, params.broadcast_max_rows), "word")
+    return _by_doc(index, post.select("doc_id", "word",
+                                      bm25_expr("tf", "idf", "doc_len", avg, params.k1, params.b).alias("c")))
+
+
+def search_bm25_maxscore(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT,
+                         score_digits: int | None = 6) -> DataFrame:
+    """R5 with exact MaxScore pruning; same result as ``search_bm25``.
+
+    A word's contribution to any document is at most ``ub(word)`` (its largest
+    posting score). For each query a lower bound ``theta`` on its k-th best
+    score comes from exactly scoring the documents of its highest-``ub`` word.
+    Words whose ``ub`` values, taken from the smallest up, add up to less than
+    ``theta`` are *non-essential*: a document holding only such words scores
+    below ``theta`` and cannot enter the top k. So only the postings of the
+    essential (rare, high-idf) words fan out to the queries; frequent words
+    are read only for the surviving candidates. This removes the Zipf-head
+    fan-out that dominates large batches. A margin covers score rounding.
+    """
+    _check_k(params)
+    k = params.top_k
+    qt = query_terms(queries, index.profile).select("query_id", "word").cache()
+    n = qt.count()
+    post = _bm25_postings(qt.select("word"), n, index, params).persist(StorageLevel.MEMORY_AND_DISK)
+    ub = post.groupBy("word").agg(F.max("c").alias("ub"))                   # <= batch words
+    qub = bounded_broadcast(qt, n, params.broadcast_max_rows).join(
+        bounded_broadcast(ub, n, params.broadcast_max_rows), "word")        # query words without postings drop out
+    qub = qub.cache()
+    qw_b = bounded_broadcast(qub.select("query_id", "word"), n, params.broadcast_max_rows)
+
+    def exact(cands: DataFrame) -> DataFrame:
+        # (query, doc, word) for the query's own words, then a lookup of those
+        # postings: rows = candidates x query length, no other fan-out
+        j = cands.join(qw_b, "query_id").join(post, ["doc_id", "word"])
+        s = j.groupBy("query_id", "doc_id").agg(F.sum("c").alias("score"))
+        return s.withColumn("score", _round(F.col("score"), score_digits))
+
+    # 1. probe: documents of each query's highest-ub word, scored exactly
+    w_top = Window.partitionBy("query_id").orderBy(F.col("ub").desc(), F.col("word"))
+    top_word = qub.withColumn("_r", F.row_number().over(w_top)).filter(F.col("_r") == 1).select("query_id", "word")
+    probe = bounded_broadcast(top_word, n, params.broadcast_max_rows).join(post.select("doc_id", "word"), "word") \
+        .select("query_id", "doc_id")
+    ps = exact(probe)
+    w_s = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
+    theta = (ps.withColumn("_r", F.row_number().over(w_s)).filter(F.col("_r") <= k)
+               .groupBy("query_id").agg(F.min("score").alias("theta"), F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") >= k).select("query_id", "theta"))
+    # 2. essential words: drop the smallest-ub prefix whose sum stays below theta
+    w_up = (Window.partitionBy("query_id").orderBy(F.col("ub").asc(), F.col("word"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    margin = 10.0 ** -(score_digits or 9)
+    pref = qub.withColumn("_cum", F.sum("ub").over(w_up)).join(theta, "query_id", "left")
+    essential = pref.filter(F.col("theta").isNull() | (F.col("_cum") >= F.col("theta") - margin)) \
+                    .select("query_id", "word")
+    # 3. candidates = documents with an essential word; exact scores; top-k
+    cands = bounded_broadcast(essential, n, params.broadcast_max_rows).join(post.select("doc_id", "word"), "word") \
+        .select("query_id", "doc_id").distinct()
+    s = _threshold(exact(cands), params)
+    return top_k(s, k).select("query_id", "rank", "doc_id", "score")

@@ -70,3 +70,9 @@ def r6_bm25_stored_reuse(spark, sf_dir):
 def r6_bm25_stored_recompute(spark, sf_dir):
     """Other k1/b than stored: scores recomputed from tf, doc_len and idf."""
     return S.search_bm25(tables.benchmark_queries(spark, sf_dir), _stored(spark, sf_dir), P.with_(k1=1.0, b=0.0))
+
+
+@register("r5_bm25_maxscore", bm25_scores_sql(P.k1, P.b) + top_k_sql(P.top_k))
+def r5_bm25_maxscore(spark, sf_dir):
+    """BM25 top-k with exact MaxScore pruning (same answer as r5_bm25_search)."""
+    return S.search_bm25_maxscore(tables.benchmark_queries(spark, sf_dir), _index(spark, sf_dir), P)
