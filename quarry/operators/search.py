@@ -44,6 +44,13 @@ def query_weights(qterms: DataFrame, index: SparseIndex, bound_rows: int | None
                     (F.col("qtf") * idf_c).alias("qw"))
 
 
+def _restricted(index, words: DataFrame, n: int):
+    """The index limited to the batch's words. An index the caller already
+    restricted (to a superset of the batch's words, e.g. shared by several
+    engines over one batch) is used as it is."""
+    return index if getattr(index, "vocabulary", None) is not None else index.restrict(words, n)
+
+
 def _by_doc(index, post: DataFrame) -> DataFrame:
     """Postings clustered by document before they meet the query batch.
 
@@ -92,7 +99,7 @@ def bm25_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAULT
     qt = query_terms(queries, index.profile).select("query_id", "word").cache()
     n = qt.count()
     qt = bounded_broadcast(qt, n, params.broadcast_max_rows)
-    index = index.restrict(qt.select("word"), n)
+    index = _restricted(index, qt.select("word"), n)
     # An index stored with the same k1/b already holds each row's score
     reuse = (getattr(index, "stored_k1", None) == params.k1 and getattr(index, "stored_b", None) == params.b
              and hasattr(index, "vectors"))
@@ -128,7 +135,7 @@ def tfidf_scores(queries: DataFrame, index: SparseIndex, params: Params = DEFAUL
     query words incl. OOV). Zero norm -> NULL score."""
     qterms = query_terms(queries, index.profile).cache()
     n = qterms.count()
-    index = index.restrict(qterms.select("word"), n)
+    index = _restricted(index, qterms.select("word"), n)
     qw = query_weights(qterms, index, n, params)
     qw = bounded_broadcast(qw.select("query_id", "word", "qw"), n, params.broadcast_max_rows)
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))

@@ -57,6 +57,13 @@ def e2_sample_paragraph(spark, sf_dir):
     return EV.sample_paragraph(_docs(spark, sf_dir), SEED)
 
 
+def _shared_index(spark, sf_dir, queries):
+    """One pass over the text for both engines: the index restricted to the
+    batch's words, reused by the BM25 and the TF-IDF search."""
+    words = S.query_terms(queries).select("word").distinct().cache()
+    return _index(spark, sf_dir).restrict(words, words.count())
+
+
 TRUTH_CTE = """
 truth AS (SELECT DISTINCT b.item_id AS query_id, d.doc_id
           FROM benchmark b JOIN documents d ON contains(d.text, b.text))"""
@@ -104,7 +111,7 @@ def e4_known_item_eval(spark, sf_dir):
     """E4 on the driver's benchmark: exact passages as queries, truth = the
     documents containing them, recall@5/10/25/all for BM25 and TF-IDF."""
     q = tables.benchmark_queries(spark, sf_dir).cache()
-    idx = _index(spark, sf_dir)
+    idx = _shared_index(spark, sf_dir, q)
     truth = EV.known_item_truth(q, _docs(spark, sf_dir), P).cache()
     out = None
     for name, fn in (("bm25", S.search_bm25), ("tfidf", S.search_tfidf)):
@@ -142,7 +149,7 @@ def e4_generated_question_eval(spark, sf_dir):
     """E1 -> E2 -> U5 -> search -> E3: the sampled document is the truth."""
     q = _questions(spark, sf_dir).cache()
     truth = q.select("query_id", F.col("query_id").alias("doc_id"))
-    idx = _index(spark, sf_dir)
+    idx = _shared_index(spark, sf_dir, q)
     out = None
     for name, fn in (("bm25", S.search_bm25), ("tfidf", S.search_tfidf)):
         r = EV.recall(fn(q, idx, P), truth).select(F.lit(name).alias("engine"), "*")
