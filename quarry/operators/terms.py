@@ -2,8 +2,12 @@
 
 Shuffle budget of the sparse build, per corpus:
 
-* document length comes from the token array of each row (no shuffle);
-* ``tf`` is one hash aggregate on ``(doc_id, word)`` with map-side combine;
+* full build: the text is hash-partitioned by ``doc_id`` once; tokens, the
+  ``(doc_id, word)`` counts and the document lengths are then computed
+  locally (no further exchange);
+* batch search: the text stays where it was read; only the rows of the
+  batch's words (and one length row per document) move, clustered by
+  ``doc_id``;
 * ``df`` is a partial/final aggregate on ``word`` (one row per word and map
   task crosses the network);
 * the ``idf`` join on ``word`` is left to AQE: it becomes a broadcast when the
