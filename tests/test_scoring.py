@@ -118,3 +118,18 @@ def test_stored_index_equals_in_plan(spark):
         a = {(r.query_id, r.rank, r.doc_id, r.score) for r in S.search_bm25(qs, idx, p).collect()}
         b = {(r.query_id, r.rank, r.doc_id, r.score) for r in S.search_bm25(qs, st, p).collect()}
         assert a == b and len(a) > 0
+
+
+def test_maxscore_and_shared_index_equal_exhaustive(spark):
+    from quarry.sources import tables
+    sf = "/root/testdata/sf0.01"
+    idx = SparseIndex(tables.documents(spark, sf), "basic", DEFAULT)
+    q = tables.conversation_queries(spark, sf)
+    p = DEFAULT.with_(top_k=10)
+    full = {tuple(r) for r in S.search_bm25(q, idx, p).collect()}
+    assert {tuple(r) for r in S.search_bm25_maxscore(q, idx, p).collect()} == full
+    words = S.query_terms(q).select("word").distinct()
+    shared = idx.restrict(words, words.count())
+    assert {tuple(r) for r in S.search_bm25(q, shared, p).collect()} == full
+    t_full = {tuple(r) for r in S.search_tfidf(q, idx, p).collect()}
+    assert {tuple(r) for r in S.search_tfidf(q, shared, p).collect()} == t_full
