@@ -118,7 +118,8 @@ def suffix_array(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
     levels, step = [rank], 1
     while step < depth:
         nxt = np.zeros(n, dtype=np.int64)
-        nxt[:n - step] = rank[step:] + 1
+        if step < n:
+            nxt[:n - step] = rank[step:] + 1
         rank = np.unique(rank * (n + 2) + nxt, return_inverse=True)[1].astype(np.int64)
         levels.append(rank.astype(np.int32))
         step *= 2
