@@ -91,10 +91,10 @@ def raw_tokens(text) -> Column:
     return drop_stopwords(F.split(strip_punctuation(special_numbers(lowercase(text))), WS_PATTERN))
 
 
-# S3: decode bytes as UTF-8 dropping undecodable sequences (the JVM decoder
-# substitutes U+FFFD, which is then removed; a genuine U+FFFD goes too).
+# S3: decode bytes as UTF-8 dropping undecodable sequences (each becomes
+# U+FFFD, which is then removed; a genuine U+FFFD goes too).
 def decode_utf8_dropping(c) -> Column:
-    return F.regexp_replace(F.decode(_c(c), "UTF-8"), "\ufffd", "")
+    return F.replace(F.make_valid_utf8(_c(c).cast("string")), F.lit("\ufffd"), F.lit(""))
 
 
 # Lines, splitting on the same breaks as str.splitlines (common ones).
@@ -107,15 +107,18 @@ def lines(c) -> Column:
 
 # First line that is not blank (unstripped); '' if none.
 def title(c) -> Column:
-    ls = F.filter(lines(c), lambda x: F.trim(x) != "")
+    ls = F.filter(lines(c), lambda x: strip(x) != "")
     return F.coalesce(F.try_element_at(ls, F.lit(1)), F.lit(""))
 
 
-STRIP_WS = "^[ \\t\\n\\r\\x0b\\x0c]+|[ \\t\\n\\r\\x0b\\x0c]+$"
+# FIXED VALUES: the characters that str.strip() removes.
+WS_CLASS = ("[\\x09-\\x0d\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+            "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+STRIP_WS = f"^{WS_CLASS}+|{WS_CLASS}+$"
 
 
 def strip(c) -> Column:
-    """Python-style strip() of ASCII whitespace."""
+    """Python-style strip() of Unicode whitespace."""
     return F.regexp_replace(_c(c), STRIP_WS, "")
 
 

@@ -22,6 +22,19 @@ from quarry.operators import search as S
 from quarry.operators.terms import SparseIndex
 from quarry.plans.util import bounded_broadcast
 
+def prefix_matches(prefixes: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """I8: ``prefix, word`` for every word of ``vocabulary(word)`` that begins
+    with one of ``prefixes(prefix)``.
+
+    Each vocabulary word offers its own prefixes of the lengths asked for, so
+    the match is an equality join on vocabulary-sized rows (no range or
+    nested-loop join), whatever the length of the prefixes.
+    """
+    lengths = prefixes.agg(F.array_sort(F.collect_set(F.length("prefix"))).alias("n")).scalar()
+    own = vocabulary.select("word", F.explode(lengths).alias("n")).filter("n > 0 and n <= length(word)").select("word", F.expr("left(word, n)").alias("prefix"))
+    return prefixes.filter("prefix <> ''").join(own, "prefix").select("prefix", "word")
+
+
 STRATEGIES = ("inverted_index", "trie", "weighted_doc_idf", "word_idf_filter")
 
 

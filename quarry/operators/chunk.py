@@ -58,7 +58,7 @@ def split_pieces(docs: DataFrame, splitter: str, text_col: str = "text",
     C2: ``text_idx`` is the first occurrence of the piece in the text (so
     repeated pieces share it), or with ``true_offsets`` its real position.
     """
-    sep = splitter.replace("\\", "\\\\")
+    sep = "\\Q" + splitter.replace("\\E", "\\E\\\\E\\Q") + "\\E"   # a literal, not a pattern
     p = docs.select("doc_id", text_col,
                     F.posexplode(F.split(F.col(text_col), sep)).alias("piece_no", "piece"))
     if true_offsets:
@@ -88,25 +88,22 @@ def direct_split(docs: DataFrame, params: Params = DEFAULT, splitter: str = "\n\
 
 
 def recursive_split(docs: DataFrame, params: Params = DEFAULT,
-                    tokenizer: Tokenizer = hash_tokenizer, text_col: str = "text",
-                    max_levels: int = 64) -> DataFrame:
+                    tokenizer: Tokenizer = hash_tokenizer, text_col: str = "text") -> DataFrame:
     """C3 + C4 (+ C5 dispatch with ``recursive_split=True``).
 
     Level 1 splits on a blank line, level 2 splits the pieces that are still
     too long on line breaks; after that each too-long piece is halved by
-    words (or by characters once one word is left) until it fits. Offsets
+    words (or by characters once one word is left) until it fits. A single
+    character that a tokenizer plug-in still finds too long cannot be halved:
+    its tokens go out as sliding windows, as in the direct split. Offsets
     are first occurrences within the parent piece plus the parent's offset.
     Output: ``doc_id, path, text_idx, text_len, n_tokens, tokens``.
+
+    The loop ends by itself: halves of a piece of several words or characters
+    are shorter than it.
     """
     ctx = params.context_length
-
-    def ntok(c):
-        return F.size(tokenizer(c))
-
-    def emit(df):
-        return df.select("doc_id", "path", "text_idx", "text_len",
-                         pad(tokenizer(F.col("piece")), ctx, params.pad_token_id).alias("tokens"),
-                         ntok(F.col("piece")).cast("long").alias("n_tokens"))
+    long_ = F.size(tokenizer(F.col("piece"))) > ctx
 
     def split_level(df, sep):
         p = df.select("doc_id", "path", F.col("piece").alias("parent"), F.col("text_idx").alias("base"),
@@ -118,17 +115,14 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
     start = docs.select("doc_id", F.lit("").alias("path"), F.col(text_col).alias("piece"),
                         F.lit(0).cast("long").alias("text_idx"))
     pieces = split_level(start, "\n\n")
-    out = []
-    fits = ntok(F.col("piece")) <= ctx
-    lvl2 = split_level(pieces.filter(~fits), "\n")
-    out.append(pieces.filter(fits))
-    out.append(lvl2.filter(fits))
-    pending = lvl2.filter(~fits)
-    level = 0
-    while level < max_levels:
+    lines = split_level(pieces.filter(long_), "\n")
+    out = [pieces.filter(~long_), lines.filter(~long_)]
+    pending = lines.filter(long_)
+    while True:
         pending = pending.checkpoint()
         if pending.isEmpty():
             break
+        out.append(pending.filter(F.length("piece") == 1))
         words = F.split("piece", " ")
         chars = F.split("piece", "")
         by_words = F.size(words) > 1
@@ -138,15 +132,24 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
         def halves(sep):
             return F.array(F.array_join(F.slice(parts, 1, h), sep),
                            F.array_join(F.slice(parts, h + 1, F.size(parts)), sep))
-        hv = pending.select("doc_id", "path", F.col("piece").alias("parent"), F.col("text_idx").alias("base"),
-                            F.posexplode(F.when(by_words, halves(" ")).otherwise(halves(""))).alias("i", "piece"))
+        hv = pending.filter(F.length("piece") > 1).select(
+            "doc_id", "path", F.col("piece").alias("parent"), F.col("text_idx").alias("base"),
+            F.posexplode(F.when(by_words, halves(" ")).otherwise(halves(""))).alias("i", "piece"))
         hv = hv.filter(F.col("piece") != "").select(
             "doc_id", F.concat("path", F.lit("."), F.col("i").cast("string")).alias("path"), "piece",
             (F.col("base") + F.instr(F.col("parent"), F.col("piece")) - 1).cast("long").alias("text_idx"))
-        out.append(hv.filter(fits))
-        pending = hv.filter(~fits)
-        level += 1
+        out.append(hv.filter(~long_))
+        pending = hv.filter(long_)
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
-    return emit(res.withColumn("text_len", F.length("piece").cast("long")))
+    tok = res.select("doc_id", "path", "text_idx", F.length("piece").cast("long").alias("text_len"),
+                     tokenizer(F.col("piece")).alias("all_tokens"))
+    # one window for every piece that fits; several only for the unsplittable ones
+    w = tok.select("*", F.posexplode(F.when(F.size("all_tokens") <= ctx, F.array(F.lit(0))).otherwise(
+        windows(F.col("all_tokens"), ctx, params.overlap))).alias("win", "at"))
+    chunk = F.slice("all_tokens", F.col("at") + 1, F.lit(ctx))
+    path = F.when(F.size("all_tokens") <= ctx, F.col("path")).otherwise(
+        F.concat("path", F.lit(".w"), F.lpad(F.col("win").cast("string"), 6, "0")))
+    return w.select("doc_id", path.alias("path"), "text_idx", "text_len",
+                    pad(chunk, ctx, params.pad_token_id).alias("tokens"), F.size(chunk).cast("long").alias("n_tokens"))

@@ -74,13 +74,17 @@ def known_item_truth(items: DataFrame, docs: DataFrame, params: Params = DEFAULT
     No (item, document) product: an item's interior whitespace tokens must be
     whole tokens of any containing document, so its ``probes`` rarest interior
     tokens select the candidates (joins on the token), and ``contains`` is then
-    checked on those pairs only. Items of fewer than three tokens fall back to
-    all their tokens as whole tokens.
+    checked on those pairs only. Items of fewer than three tokens have no
+    interior token; they are checked against every text where it is read (one
+    array of the short items, itself no larger than the query batch).
     """
     toks = F.filter(F.split(F.lower("query"), WS_PATTERN), lambda w: w != "")
     it = items.select("query_id", "query", toks.alias("t"))
-    interior = F.when(F.size("t") >= 3, F.slice("t", 2, F.size("t") - 2)).otherwise(F.col("t"))
-    itok = it.select("query_id", F.explode(F.array_distinct(interior)).alias("token")).cache()
+    short = it.filter((F.size("t") < 3) & (F.size("t") > 0)).agg(F.collect_list(F.struct("query_id", "query")).alias("s")).scalar()
+    found = docs.select("doc_id", "text", F.explode(short).alias("q")).filter(F.col("text").contains(F.col("q.query"))) \
+                .select(F.col("q.query_id").alias("query_id"), "doc_id")
+    it = it.filter(F.size("t") >= 3)
+    itok = it.select("query_id", F.explode(F.array_distinct(F.slice("t", 2, F.size("t") - 2))).alias("token")).cache()
     n_tok = itok.count()
     from quarry.plans.util import bounded_broadcast
     vocab = bounded_broadcast(itok.select("token").distinct(), n_tok, params.broadcast_max_rows)
@@ -102,7 +106,8 @@ def known_item_truth(items: DataFrame, docs: DataFrame, params: Params = DEFAULT
     return (cand.join(docs.select("doc_id", "text"), "doc_id")
                 .join(items.select("query_id", "query"), "query_id")
                 .filter(F.col("text").contains(F.col("query")))
-                .select("query_id", "doc_id"))
+                .select("query_id", "doc_id")
+                .unionByName(found))
 
 
 def hit_positions(results: DataFrame, truth: DataFrame) -> DataFrame:

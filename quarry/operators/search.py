@@ -48,7 +48,11 @@ def _restricted(index, words: DataFrame, n: int):
     """The index limited to the batch's words. An index the caller already
     restricted (to a superset of the batch's words, e.g. shared by several
     engines over one batch) is used as it is."""
-    return index if getattr(index, "vocabulary", None) is not None else index.restrict(words, n)
+    if getattr(index, "vocabulary", None) is None:
+        return index.restrict(words, n)
+    if not words.join(index.vocabulary.select("word").distinct(), "word", "left_anti").isEmpty():
+        raise ValueError("the index is restricted to a vocabulary that lacks words of this batch")
+    return index
 
 
 def _by_doc(index, post: DataFrame) -> DataFrame:
@@ -170,10 +174,15 @@ def attach_text(results: DataFrame, docs: DataFrame, params: Params = DEFAULT,
     ``bound_rows`` (e.g. queries x k) lets the result side be broadcast without
     running the search twice; without it AQE decides from measured sizes.
     """
-    small = (bounded_broadcast(results, bound_rows, params.broadcast_max_rows)
-             if bound_rows is not None else results)
     d = docs.select("doc_id", "file", "entry_id", "text")
-    out = small.join(d, "doc_id", "left")
+    if bound_rows is not None:
+        # the wanted ids can be the build side of a semi join (a left join's
+        # left side cannot), so only k texts per query leave their partition;
+        # the k rows per query are kept, the search runs once
+        results = results.persist(StorageLevel.MEMORY_AND_DISK)
+        ids = bounded_broadcast(results.select("doc_id").distinct(), bound_rows, params.broadcast_max_rows)
+        d = d.join(ids, "doc_id", "left_semi")
+    out = results.join(d, "doc_id", "left")
     return out.select(*results.columns, "file", "entry_id",
                       F.lit(0).cast("long").alias("span_start"),
                       F.length("text").cast("long").alias("span_end"), "text")

@@ -123,7 +123,7 @@ class SparseIndex:
         self.docs = docs
         self.vocabulary = vocabulary
         if profile == "full":
-            self._init_full(docs, params, vocabulary)
+            self._init_full(docs, params, vocabulary, vocabulary_rows)
             return
         base = docs.select("doc_id", "text")
         if vocabulary is None:
@@ -145,9 +145,17 @@ class SparseIndex:
             # batch search: the text stays where it was read; only the rows of
             # the batch's words (and the length rows) are moved, clustered by
             # document so the per-(query, doc) sums downstream stay local
-            voc = self._vocab(vocabulary, vocabulary_rows)
-            rows = rows.join(voc.unionByName(voc.sparkSession.range(1).select(F.lit(DOC_MARKER).alias("word"))),
-                             "word", "left_semi").repartition("doc_id")
+            voc = vocabulary.select("word").distinct()
+            n = vocabulary_rows if vocabulary_rows is not None else voc.count()
+            if n <= self.params.broadcast_max_rows:
+                # the hint goes on the union itself: below it, it would be lost
+                marked = voc.unionByName(voc.sparkSession.range(1).select(F.lit(DOC_MARKER).alias("word")))
+                rows = rows.join(F.broadcast(marked), "word", "left_semi")
+            else:
+                # no marker on a shuffled join key: the length rows bypass the join
+                rows = rows.filter(F.col("word") == DOC_MARKER).unionByName(
+                    rows.filter(F.col("word") != DOC_MARKER).join(voc, "word", "left_semi"))
+            rows = rows.repartition("doc_id")
         counted = rows.groupBy(*keys, "doc_len", "word").agg(F.count(F.lit(1)).alias("tf")) \
                       .persist(StorageLevel.MEMORY_AND_DISK)
         self._counted = counted
@@ -167,7 +175,7 @@ class SparseIndex:
         return (bounded_broadcast(voc, vocabulary_rows, mx) if vocabulary_rows is not None
                 else checked_broadcast(voc, mx))
 
-    def _init_full(self, docs, params, vocabulary):
+    def _init_full(self, docs, params, vocabulary, vocabulary_rows=None):
         # Full profile: JVM front, Python once per distinct raw token, joins.
         from quarry.functions.vocab import full_terms
         self._tok = None
@@ -180,7 +188,7 @@ class SparseIndex:
         terms = t.join(per_doc, "doc_id").select("doc_id", F.col("doc_len").cast("long"), "word",
                                                   F.col("tf").cast("long"))
         if vocabulary is not None:
-            terms = terms.join(self._vocab(vocabulary, None), "word", "left_semi")
+            terms = terms.join(self._vocab(vocabulary, vocabulary_rows), "word", "left_semi")
         self.terms = terms
         self._finish()
 
@@ -191,8 +199,6 @@ class SparseIndex:
 
     def restrict(self, vocabulary: DataFrame, vocabulary_rows: int | None = None) -> "SparseIndex":
         """Same corpus, term rows limited to ``vocabulary`` words."""
-        if self.profile != "basic":
-            return self
         return SparseIndex(self.docs, self.profile, self.params, vocabulary, vocabulary_rows)
 
     @property

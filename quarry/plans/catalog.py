@@ -34,11 +34,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, Entry]:
     # import order = registration order
-    from quarry.plans import q_text, q_terms, q_search  # noqa: F401
-    for mod in ("q_index", "q_chunk", "q_dense", "q_graph", "q_eval", "q_misc", "q_storage", "q_inventory"):
-        try:
-            __import__(f"quarry.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"quarry.plans.{mod}":
-                raise
+    from quarry.plans import (  # noqa: F401
+        q_text, q_terms, q_search, q_index, q_chunk, q_dense, q_graph, q_eval, q_misc, q_storage, q_inventory)
     return REGISTRY

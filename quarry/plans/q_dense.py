@@ -14,7 +14,7 @@ from quarry.plans.catalog import register
 from quarry.sources import tables
 
 P = DEFAULT
-K = 10
+K = P.top_k
 
 CENTROIDS_SQL = """
 e AS (SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),

@@ -20,7 +20,7 @@ P = DEFAULT
 DEPTH, LINKS = P.max_depth, P.links_per_page
 
 EDGES_SQL = f"""
-links AS (SELECT DISTINCT url AS src, unnest(regexp_extract_all(html, {lit(H.HREF)}, 1)) AS dst FROM pages),
+links AS (SELECT DISTINCT url AS src, unnest(list_transform(regexp_extract_all(html, {lit(H.HREF)}, 1), lambda x: x[2:len(x) - 1])) AS dst FROM pages),
 edges AS (SELECT src, dst FROM links UNION SELECT dst AS src, src AS dst FROM links),
 capped AS (SELECT src, dst FROM (
   SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS r FROM edges) WHERE r <= {LINKS})"""
@@ -84,11 +84,11 @@ def r13_graph_rerank(spark, sf_dir):
                      F.col("page_id").alias("entry_id"), H.html_to_text("html").alias("text"))
     queries = tables.benchmark_queries(spark, sf_dir).cache()
     nq = queries.count()
-    s1 = S.search_bm25(queries, TM.SparseIndex(docs, "basic", P), P.with_(top_k=5))
+    s1 = S.search_bm25(queries, TM.SparseIndex(docs, "basic", P), P)
     starts = s1.join(pg.select(F.col("page_id").alias("doc_id"), F.col("url").alias("node")), "doc_id") \
                .select("query_id", "node")
     reached = G.bfs(starts, _edges(spark, sf_dir), DEPTH, LINKS)
     cand = reached.join(pg.select(F.col("url").alias("node"), F.col("page_id").alias("doc_id")), "node") \
                   .select("query_id", "doc_id").distinct()
-    bound = nq * 5 * (1 + LINKS + LINKS ** 2)
-    return RR.passage_search(queries, cand, docs, bound, P.with_(top_k=10))
+    bound = nq * P.top_k * (1 + LINKS + LINKS ** 2)
+    return RR.passage_search(queries, cand, docs, bound, P)

@@ -71,11 +71,9 @@ def w4_vocab_by_df(spark, sf_dir):
 
 
 @register("a15_df_curve", _with(corpus_ctes()) + """
-SELECT * FROM (SELECT word, num_docs,
-                      CAST(row_number() OVER (ORDER BY num_docs DESC, word) AS BIGINT) AS df_rank FROM dfs)
-WHERE df_rank <= 100""")
+SELECT word, num_docs, CAST(row_number() OVER (ORDER BY num_docs DESC, word) AS BIGINT) AS df_rank FROM dfs""")
 def a15_df_curve(spark, sf_dir):
-    return TM.df_curve(_index(spark, sf_dir).df, top_n=100)
+    return TM.df_curve(_index(spark, sf_dir).df)
 
 
 @register("w5_df_shards", _with(corpus_ctes(), SHARDS_CTE) + "\nSELECT word, num_docs, shard FROM shards")
@@ -213,18 +211,20 @@ def i6_word_idf_filter(spark, sf_dir):
 
 
 @register("i8_prefix_lookup", _with(corpus_ctes(), query_ctes()) + """
-SELECT p.query_id, p.prefix, CAST(count(DISTINCT t.word) AS BIGINT) AS n_words,
-       CAST(count(DISTINCT t.doc_id) AS BIGINT) AS n_docs
-FROM (SELECT DISTINCT query_id, substr(word, 1, 4) AS prefix FROM qterms WHERE length(word) >= 4) p
-JOIN terms t ON substr(t.word, 1, 4) = p.prefix
-GROUP BY 1, 2""")
+, voc AS (SELECT DISTINCT word FROM terms), pre AS (SELECT DISTINCT word AS prefix FROM qterms),
+hit AS (SELECT prefix, voc.word FROM pre JOIN voc ON starts_with(voc.word, prefix)),
+n AS (SELECT prefix, count(DISTINCT word) AS n_words, count(DISTINCT doc_id) AS n_docs FROM hit JOIN terms USING (word) GROUP BY 1)
+SELECT DISTINCT query_id, prefix, CAST(n_words AS BIGINT) AS n_words, CAST(n_docs AS BIGINT) AS n_docs
+FROM (SELECT query_id, word AS prefix FROM qterms) JOIN n USING (prefix)""")
 def i8_prefix_lookup(spark, sf_dir):
+    """Every query word as a prefix: vocabulary words and documents it reaches."""
+    from quarry.operators.candidates import prefix_matches
     idx = _index(spark, sf_dir)
-    p = (_qwords(spark, sf_dir).filter(F.length("word") >= 4)
-         .select("query_id", F.substring("word", 1, 4).alias("prefix")).distinct())
-    t = idx.terms.select("doc_id", "word", F.substring("word", 1, 4).alias("prefix"))
-    return (p.join(t, "prefix").groupBy("query_id", "prefix")
-             .agg(F.countDistinct("word").alias("n_words"), F.countDistinct("doc_id").alias("n_docs")))
+    p = _qwords(spark, sf_dir).select("query_id", F.col("word").alias("prefix")).distinct()
+    hit = prefix_matches(p.select("prefix").distinct(), idx.df)
+    n = (hit.join(idx.terms.select("doc_id", "word"), "word").groupBy("prefix")
+            .agg(F.countDistinct("word").alias("n_words"), F.countDistinct("doc_id").alias("n_docs")))
+    return p.join(n, "prefix").select("query_id", "prefix", "n_words", "n_docs")
 
 
 @register("i9_index_roundtrip", "SELECT CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra")

@@ -24,7 +24,7 @@ from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, que
 from quarry.sources import tables
 
 P = DEFAULT
-K = 10
+K = P.top_k
 BENCH_Q = "SELECT item_id AS query_id, text AS query FROM benchmark"
 
 

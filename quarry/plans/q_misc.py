@@ -19,7 +19,7 @@ from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, que
 from quarry.sources import tables
 
 P = DEFAULT
-K = 10
+K = P.top_k
 REDIRECT = '(?i)<meta[^>]*http-equiv="?refresh'
 KEY_RE = "^(.*\\.zim)(.*)$"
 

@@ -15,7 +15,7 @@ from quarry.sources import tables
 # ---- SQL spellings of the same expressions ----------------------------------------
 
 LINE_BREAK_RE = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]"
-STRIP_RE = "^[ \\t\\n\\r\\x0b\\x0c]+|[ \\t\\n\\r\\x0b\\x0c]+$"
+STRIP_RE = T.STRIP_WS
 
 
 def sql_strip(x: str) -> str:
@@ -42,8 +42,15 @@ def sql_html_text(x: str) -> str:
     out = x
     for pat in (H.SCRIPT_BLOCK, H.STYLE_BLOCK, H.COMMENT, H.TAG):
         out = f"regexp_replace({out}, {lit(pat)}, '', 'g')"
-    for ent, ch in H.ENTITIES:
-        out = f"replace({out}, {lit(ent)}, {lit(ch)})"
+    names = ", ".join(lit(e) for e in H.ENTITIES)
+    chars = ", ".join(lit(c) for c in H.ENTITIES.values())
+    # text between the references, and the references decoded, in turn
+    parts = f"regexp_split_to_array({out}, {lit(H.REFERENCE)})"
+    code = "CAST(CASE WHEN lower(e[3]) = 'x' THEN '0x' || e[4:len(e) - 1] ELSE e[3:len(e) - 1] END AS INTEGER)"
+    one = f"CASE WHEN e[2] = '#' THEN chr({code}) ELSE coalesce(list_extract([{chars}], list_position([{names}], e)), e) END"
+    refs = f"list_transform(regexp_extract_all({out}, {lit(H.REFERENCE)}), lambda e: {one})"
+    out = (f"array_to_string(list_transform(list_zip({parts}, list_append({refs}, '')), "
+           "lambda z: z[1] || z[2]), '')")
     return out
 
 
@@ -210,10 +217,12 @@ def t19_logs(spark, sf_dir):
 
 # ---- S3, S4 --------------------------------------------------------------------------
 
-@register("s3_decode_utf8", "SELECT doc_id, replace(text, chr(65533), '') AS text FROM documents")
+@register("s3_decode_utf8", "SELECT doc_id, 'AB' || replace(text, chr(65533), '') AS text FROM documents")
 def s3_decode_utf8(spark, sf_dir):
+    """Every text with broken bytes around it: FF is never valid, C3 lacks its second byte."""
     d = _docs(spark, sf_dir)
-    return d.select("doc_id", T.decode_utf8_dropping(F.encode("text", "UTF-8")).alias("text"))
+    raw = F.concat(F.unhex(F.lit("41FF42")), F.encode("text", "UTF-8"), F.unhex(F.lit("C3")))
+    return d.select("doc_id", T.decode_utf8_dropping(raw).alias("text"))
 
 
 @register("s4_html_text", f"SELECT page_id, {sql_html_text('html')} AS text FROM pages")

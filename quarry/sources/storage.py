@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
+def _absent(e: AnalysisException) -> bool:
+    """Whether the error says that the path does not exist (anything else is raised)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 TERM_MAP_SCHEMA = StructType([StructField("doc_id", LongType()),
                               StructField("terms", MapType(StringType(), LongType()))])
 
@@ -52,7 +57,9 @@ def read_preferred(spark: SparkSession, base: str, json_schema: StructType | Non
     """``base.parquet`` if it exists, else ``base.json``."""
     try:
         return spark.read.parquet(base + ".parquet")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
         r = spark.read
         if json_schema is not None:
             r = r.schema(json_schema)
@@ -76,9 +83,12 @@ def not_yet_done(entries: DataFrame, path: str, keys=("file", "entry_id")) -> Da
     """Entries whose keys are not in the table at ``path`` (if any)."""
     spark = entries.sparkSession
     try:
-        done = spark.read.parquet(path).select(*keys).distinct()
-    except AnalysisException:
+        done = spark.read.parquet(path)
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
         return entries
+    done = done.select(*keys).distinct()
     return entries.join(done, list(keys), "left_anti")
 
 
@@ -93,7 +103,9 @@ def read_stats(spark: SparkSession, path: str, corpus_size: int = -1, avg_doc_le
     schema = "corpus_size long, avg_doc_len double"
     try:
         s = spark.read.schema(schema).json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
         s = spark.createDataFrame([], schema)
     n = s.select(F.max("corpus_size")).scalar()     # NULL when no stats were stored
     a = s.select(F.max("avg_doc_len")).scalar()
@@ -148,10 +160,12 @@ def incremental_terms(docs: DataFrame, out_path: str, manifest_path: str, build,
         todo = docs
     else:
         try:
-            done = spark.read.parquet(manifest_path).select("file")
-            todo = docs.join(done, "file", "left_anti")
-        except AnalysisException:
-            todo = docs
+            done = spark.read.parquet(manifest_path)
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
+            done = None
+        todo = docs if done is None else docs.join(done.select("file"), "file", "left_anti")
     files = todo.select("file").distinct().cache()
     n = files.count()
     if n == 0:

@@ -2,7 +2,7 @@
 
 New document files dropped into a directory are picked up by a parquet
 ``readStream``; each micro-batch is turned into term rows and appended to the
-output table, partitioned by ``file``. The streaming checkpoint records which
+output table, partitioned by ``file`` and ``batch`` (the micro-batch number). The streaming checkpoint records which
 files were consumed, so a restarted job resumes where it stopped and a file
 is never processed twice; a replayed batch replaces its own partitions. ``trigger(availableNow=True)`` processes the backlog
 and stops — a batch job with exactly-once file bookkeeping.
@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,9 +28,9 @@ def stream_build(spark: SparkSession, source_dir: str, schema: StructType | str,
     src = reader.load(source_dir)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        # a micro-batch holds whole source files, so replacing exactly the
-        # ``file`` partitions it produces makes a replayed batch idempotent
-        (build(batch).write.partitionBy("file").mode("overwrite")
+        # one source may arrive in several part files and micro-batches, so each
+        # batch owns its (file, batch) partitions; a replay replaces just those
+        (build(batch).withColumn("batch", F.lit(epoch)).write.partitionBy("file", "batch").mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").parquet(out_path))
 
     q = (src.writeStream.foreachBatch(each)

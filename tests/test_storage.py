@@ -75,3 +75,28 @@ def test_stream_build_exactly_once(spark):
     stream_build(spark, src, schema, out, ck, build)
     stream_build(spark, src, schema, out, ck, build)
     assert sorted(r.word for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_stream_build_keeps_all_parts_of_a_source(spark):
+    """A second part file of the same source, and one source over several micro-batches."""
+    from quarry.streaming.incremental import stream_build
+    src, out, ck = fresh(spark, "inbox2"), fresh(spark, "sout2"), fresh(spark, "ck2")
+    schema = "doc_id long, text string, file string"
+    spark.createDataFrame([(1, "a", "f1"), (2, "b", "f1")], schema).repartition(2, "doc_id").write.partitionBy("file").parquet(src)
+
+    def build(b):
+        return b.select("file", "doc_id", F.explode(F.split("text", " ")).alias("word"))
+    stream_build(spark, src, schema, out, ck, build, max_files_per_trigger=1)
+    spark.createDataFrame([(3, "c", "f1")], schema).write.mode("append").partitionBy("file").parquet(src)
+    stream_build(spark, src, schema, out, ck, build, max_files_per_trigger=1)
+    assert sorted(r.word for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_only_a_missing_path_counts_as_absent(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    path = fresh(spark, "other")
+    spark.createDataFrame([(1,)], "x long").write.parquet(path)
+    entries = spark.createDataFrame([("f", 1)], "file string, entry_id long")
+    with pytest.raises(AnalysisException):
+        ST.not_yet_done(entries, path).count()

@@ -106,3 +106,53 @@ def test_sequential_ids_on_unordered_shuffled_input(spark):
     assert got == expect
     sums = IX.running_sum(agg, "n", [F.asc("k")], "cum").collect()
     assert max(r.cum for r in sums) == 20000 and len({r.cum for r in sums}) == 3000
+
+
+def test_known_item_truth_of_short_items(spark):
+    """Items without an interior token match inside words, as ``contains`` does."""
+    docs = spark.createDataFrame([(1, "xx hello worlds end"), (2, "hello world"), (3, "hell o world"), (4, None)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "hello world"), (2, "ell"), (3, "xx hello worlds"), (4, "nowhere"), (5, "")],
+                                  "query_id long, query string")
+    from quarry.operators import evaluate as EV
+    got = {(r.query_id, r.doc_id) for r in EV.known_item_truth(items, docs).collect()}
+    assert got == {(1, 1), (1, 2), (2, 1), (2, 2), (2, 3), (3, 1)}
+
+
+def test_recursive_split_keeps_unsplittable_pieces(spark):
+    """Two tokens per character and room for one: every token comes out."""
+    from quarry.config import DEFAULT
+    from quarry.operators.chunk import recursive_split
+    docs = spark.createDataFrame([(1, "ab cd ef"), (2, ""), (3, None)], "doc_id long, text string")
+
+    def two(c):
+        return F.flatten(F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.array(F.ascii(x).cast("long"), F.ascii(x).cast("long"))))
+    got = recursive_split(docs, DEFAULT.with_(context_length=1, overlap=0), two).collect()
+    text = sorted((r["text_idx"], r["path"], chr(r["tokens"][0])) for r in got)
+    assert "".join(c for _, _, c in text) == "aabbccddeeff" and {r["n_tokens"] for r in got} == {1}
+
+
+def test_splitter_is_literal(spark):
+    from quarry.operators.chunk import split_pieces
+    docs = spark.createDataFrame([(1, "a.b|c\\Ed")], "doc_id long, text string")
+    for sep, want in ((".", ["a", "b|c\\Ed"]), ("|", ["a.b", "c\\Ed"]), ("\\E", ["a.b|c", "d"])):
+        assert [r["piece"] for r in split_pieces(docs, sep).orderBy("piece_no").collect()] == want
+
+
+def test_prefix_matches(spark):
+    from quarry.operators.candidates import prefix_matches
+    pre = spark.createDataFrame([("a",), ("appl",), ("zz",), ("",)], "prefix string")
+    voc = spark.createDataFrame([("apple",), ("appliance",), ("a",), ("banana",)], "word string")
+    assert {tuple(r) for r in prefix_matches(pre, voc).collect()} == {
+        ("a", "apple"), ("a", "appliance"), ("a", "a"), ("appl", "apple"), ("appl", "appliance")}
+
+
+def test_restricted_index_must_cover_the_batch(spark):
+    import pytest
+    from quarry.operators import search as S
+    from quarry.operators import terms as TM
+    docs = spark.createDataFrame([(1, "red apple"), (2, "green pear")], "doc_id long, text string")
+    idx = TM.SparseIndex(docs, "basic").restrict(spark.createDataFrame([("apple",)], "word string"))
+    q = spark.createDataFrame([(1, "green apple")], "query_id long, query string")
+    with pytest.raises(ValueError):
+        S.search_bm25(q, idx)

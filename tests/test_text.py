@@ -83,3 +83,22 @@ def test_full_chain():
     assert normalise_token("42") == ["forti", "two"]
     assert normalise_token("running") == ["run"]
     assert normalise_token("cannot") == []
+
+
+def test_broken_bytes_are_dropped(spark):
+    df = spark.createDataFrame([(bytearray(b"A\xffB"),), (bytearray(b"\xc3"),), (bytearray("é".encode()),)], "b binary")
+    assert [r[0] for r in df.select(T.decode_utf8_dropping("b")).collect()] == ["AB", "", "é"]
+
+
+def test_title_and_strip_know_unicode_space(spark):
+    df = spark.createDataFrame([("\t\n \n　 Title\nx",)], "t string")
+    assert df.select(T.title("t")).first()[0] == "　 Title"
+    assert df.select(T.strip(T.title("t"))).first()[0] == "Title"
+
+
+def test_references_and_links(spark):
+    from quarry.functions import html as H
+    df = spark.createDataFrame([("&eacute;&#8217;&rsquo;&amp;lt;&nope;&#x1F600;&lt;",), ("plain",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(H.decode_entities("t")).collect()] == ["é’’&lt;&nope;\U0001f600<", "plain", "", None]
+    df = spark.createDataFrame([("<a HREF=\"a\"> <a href='b'> <a href = \"c d\"><a href=>",)], "h string")
+    assert df.select(H.hrefs("h")).first()[0] == ["a", "b", "c d"]
