@@ -1,9 +1,13 @@
-"""Porter (1980) suffix-stripping stemmer, from the published algorithm.
+"""Porter suffix-stripping stemmer with the common extensions to the 1980 rules.
+
+Extensions: a pool of irregular forms; "ies"/"ied" keep the e in four-letter
+words (ties -> tie); final y becomes i only after a consonant that is not the
+word's first letter (day, enjoy, by stay); two-letter stems vowel + consonant
+count as short; "alli" is reduced before the other step-2 rules run again;
+"fulli" -> "ful", and "logi" -> "log" measures the stem with its l.
 
 Plain Python on one word; it runs inside the vocabulary-level pandas UDF, so
 it is evaluated once per distinct token of the corpus, never per occurrence.
-Includes the three step-2 rules of the author's own reference version
-("bli" -> "ble", "logi" -> "log", "alli" -> "al" in place of "abli").
 """
 
 from __future__ import annotations
@@ -11,6 +15,15 @@ from __future__ import annotations
 _VOWELS = frozenset("aeiou")
 
 
+# FIXED VALUES: irregular forms and their stems.
+_IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "inning": "inning", "innings": "inning", "outing": "outing", "outings": "outing",
+    "canning": "canning", "cannings": "canning", "howe": "howe",
+    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+
+
 def _is_cons(w: str, i: int) -> bool:
     ch = w[i]
     if ch in _VOWELS:
@@ -45,6 +58,8 @@ def _double_cons(w: str) -> bool:
 
 
 def _cvc(w: str) -> bool:
+    if len(w) == 2:
+        return not _is_cons(w, 0) and _is_cons(w, 1)
     if len(w) < 3:
         return False
     return (_is_cons(w, len(w) - 3) and not _is_cons(w, len(w) - 2)
@@ -55,10 +70,10 @@ def _cvc(w: str) -> bool:
 # decides (its condition on m may then leave the word unchanged).
 _STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
-    ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
+    ("izer", "ize"), ("bli", "ble"), ("entli", "ent"), ("eli", "e"),
     ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
     ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
-    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("logi", "log"),
+    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
 )
 _STEP3 = (
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
@@ -81,42 +96,45 @@ def _longest(word: str, rules):
 
 def stem(word: str) -> str:
     w = word
+    if w in _IRREGULAR:
+        return _IRREGULAR[w]
     if len(w) <= 2:
         return w
     # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
+    if w.endswith("ies"):
+        w = w[:-1] if len(w) == 4 else w[:-2]
+    elif w.endswith("sses"):
         w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
+    elif w.endswith("s") and not w.endswith("ss"):
         w = w[:-1]
     # step 1b
-    if w.endswith("eed"):
+    if w.endswith("ied"):
+        w = w[:-1] if len(w) == 4 else w[:-2]
+    elif w.endswith("eed"):
         if _measure(w[:-3]) > 0:
             w = w[:-1]
     else:
-        cut = None
-        if w.endswith("ed") and _has_vowel(w[:-2]):
-            cut = w[:-2]
-        elif w.endswith("ing") and _has_vowel(w[:-3]):
-            cut = w[:-3]
+        cut = next((w[:-len(s)] for s in ("ed", "ing") if w.endswith(s) and _has_vowel(w[:-len(s)])), None)
         if cut is not None:
             w = cut
             if w.endswith(("at", "bl", "iz")):
                 w += "e"
-            elif _double_cons(w) and w[-1] not in "lsz":
-                w = w[:-1]
+            elif _double_cons(w):
+                w = w if w[-1] in "lsz" else w[:-1]
             elif _measure(w) == 1 and _cvc(w):
                 w += "e"
     # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
+    if w.endswith("y") and len(w) > 2 and _is_cons(w, len(w) - 2):
         w = w[:-1] + "i"
     # step 2
-    r = _longest(w, _STEP2)
-    if r and _measure(w[:-len(r[0])]) > 0:
-        w = w[:-len(r[0])] + r[1]
+    if w.endswith("alli") and _measure(w[:-4]) > 0:
+        w = w[:-2]
+    if w.endswith("logi"):
+        w = w[:-1] if _measure(w[:-3]) > 0 else w
+    else:
+        r = _longest(w, _STEP2)
+        if r and _measure(w[:-len(r[0])]) > 0:
+            w = w[:-len(r[0])] + r[1]
     # step 3
     r = _longest(w, _STEP3)
     if r and _measure(w[:-len(r[0])]) > 0:
@@ -134,6 +152,6 @@ def stem(word: str) -> str:
         if m > 1 or (m == 1 and not _cvc(base)):
             w = base
     # step 5b
-    if w.endswith("ll") and _measure(w) > 1:
+    if w.endswith("ll") and _measure(w[:-1]) > 1:
         w = w[:-1]
     return w

@@ -74,13 +74,43 @@ def vocabulary_by_df(dfs: DataFrame) -> DataFrame:
 # ---- W5 / W6 -------------------------------------------------------------------
 
 def shard_by_df(dfs: DataFrame, cap: int) -> DataFrame:
-    """``word, num_docs, shard``; cut the df-sorted vocabulary into shards of
-    cumulative df ``cap`` (fixed bins on the running sum). A shard exists only
-    if a word falls in it, so none is empty; when one word's df spans several
-    bins the following shard number skips the bins it covered."""
-    cum = running_sum(dfs, "num_docs", [F.desc("num_docs"), F.asc("word")], "cum_df")
-    return cum.select("word", "num_docs",
-                      F.floor((F.col("cum_df") - F.col("num_docs")) / cap).cast("long").alias("shard"))
+    """``word, num_docs, shard``; the vocabulary by df (descending, then word)
+    is cut before the word that would take the shard's df sum over ``cap``; a
+    word above the cap has a shard of its own.
+
+    Words of one df behave alike, so the cut follows from the df histogram: in
+    a run of equal df the open shard takes ``room`` words and every further
+    shard ``each``. The running pass goes over the distinct dfs only (their
+    number grows with the square root of the postings); the words themselves
+    are ranked by the distributed sort and pick up their run's numbers."""
+    runs = dfs.groupBy("num_docs").agg(F.count(F.lit(1)).alias("n"))
+
+    def cut(batches):
+        import pandas as pd
+        shard, total, rank = 0, 0, 0
+        for b in batches:
+            rows = []
+            for d, n in zip(b["num_docs"].tolist(), b["n"].tolist()):
+                room = max(0, (cap - total) // d)
+                if total == 0:
+                    room = max(1, room)
+                each = max(1, cap // d)
+                rows.append((d, rank, shard, room, each))
+                if n <= room:
+                    total += n * d
+                else:
+                    more = -(-(n - room) // each)
+                    shard, total = shard + more, (n - room - (more - 1) * each) * d
+                rank += n
+            yield pd.DataFrame(rows, columns=["run_df", "run_rank", "run_shard", "room", "each"])
+
+    # one ordered pass over the histogram
+    cuts = runs.repartition(1).sortWithinPartitions(F.desc("num_docs")).mapInPandas(
+        cut, "run_df long, run_rank long, run_shard long, room long, each long")
+    words = vocabulary_by_df(dfs).join(cuts, F.col("num_docs") == F.col("run_df"))
+    nth = F.col("df_rank") - 1 - F.col("run_rank")
+    return words.select("word", "num_docs", F.when(nth < F.col("room"), F.col("run_shard")).otherwise(
+        F.col("run_shard") + 1 + F.floor((nth - F.col("room")) / F.col("each"))).cast("long").alias("shard"))
 
 
 def vocab_chunks(dfs: DataFrame, words_per_chunk: int, digits: bool = True) -> DataFrame:

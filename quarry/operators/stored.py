@@ -36,10 +36,12 @@ def build(index: SparseIndex, path: str, n_shards: int = 64) -> None:
     # the index's k1/b, so a search with the same k1/b only sums stored scores
     t = (index.vectors.select("doc_id", "word", "tf", "doc_len", "idf", "tf_idf", "bm25")
               .withColumn("shard", shard_of("word", n_shards)))
-    (t.repartition("shard").sortWithinPartitions("word", "doc_id")
+    # ranges over (shard, word, doc): a hot word's list spans several tasks and
+    # files of its shard, and each file is one sorted run
+    (t.repartitionByRange("shard", "word", "doc_id").sortWithinPartitions("shard", "word", "doc_id")
       .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/terms"))
     d = index.df.withColumn("shard", shard_of("word", n_shards))
-    (d.repartition("shard").sortWithinPartitions("word")
+    (d.repartitionByRange("shard", "word").sortWithinPartitions("shard", "word")
       .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/df"))
     index.stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
     spark = index.terms.sparkSession

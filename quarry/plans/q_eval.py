@@ -49,7 +49,7 @@ e2 AS (SELECT doc_id, para_no, paragraph FROM (
 
 @register("e1_weighted_sample", f"WITH {corpus_ctes().strip()},{E1_CTE}\nSELECT doc_id, sample_rank FROM e1")
 def e1_weighted_sample(spark, sf_dir):
-    return EV.weighted_sample(_index(spark, sf_dir).lengths, N, SEED)
+    return EV.weighted_sample(TM.doc_lengths(_docs(spark, sf_dir).select("doc_id", "text")), N, SEED)
 
 
 @register("e2_sample_paragraph", f"WITH {E2_CTE.strip()}\nSELECT doc_id, para_no, paragraph FROM e2")
@@ -133,7 +133,7 @@ def u5_generated_questions(spark, sf_dir):
 
 def _questions(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    sample = EV.weighted_sample(_index(spark, sf_dir).lengths, N, SEED)
+    sample = EV.weighted_sample(TM.doc_lengths(_docs(spark, sf_dir).select("doc_id", "text")), N, SEED)
     para = EV.sample_paragraph(docs.join(sample.select("doc_id"), "doc_id", "left_semi"), SEED)
     return para.select(F.col("doc_id").alias("query_id"), EV.first_sentence("paragraph").alias("query"))
 
@@ -173,6 +173,6 @@ SELECT l.doc_id, CAST(coalesce(n.doc_len, 0) AS BIGINT) AS doc_len
 FROM labels l LEFT JOIN lens n USING (doc_id)""")
 def e6_article_lengths(spark, sf_dir):
     """E6 + J14: lengths for a list of articles (the labelled ones), default 0."""
-    lens = _index(spark, sf_dir).lengths
+    lens = TM.doc_lengths(_docs(spark, sf_dir).select("doc_id", "text"))
     lst = tables.table(spark, sf_dir, "labels").select("doc_id")
     return lst.join(lens, "doc_id", "left").select("doc_id", F.coalesce("doc_len", F.lit(0)).cast("long").alias("doc_len"))

@@ -42,10 +42,24 @@ doc_ids AS (SELECT doc_id, source AS file,
             FROM documents)"""
 
 SHARDS_CTE = f"""
-cum AS (SELECT word, num_docs,
-               sum(num_docs) OVER (ORDER BY num_docs DESC, word ROWS UNBOUNDED PRECEDING) AS cum_df
-        FROM dfs),
-shards AS (SELECT word, num_docs, CAST(floor((cum_df - num_docs) / {SHARD_CAP}) AS BIGINT) AS shard FROM cum)"""
+hist AS (SELECT num_docs AS d, count(*) AS n, row_number() OVER (ORDER BY num_docs DESC) AS k FROM dfs GROUP BY num_docs),
+-- per distinct df, in order: words before it, the open shard, its df sum before and after
+fold(k, d, n, before, shard, total, room, shard2, total2) AS (
+  SELECT k, d, n, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), greatest(1, {SHARD_CAP} // d),
+    CASE WHEN n <= greatest(1, {SHARD_CAP} // d) THEN 0 ELSE (n - greatest(1, {SHARD_CAP} // d) + greatest(1, {SHARD_CAP} // d) - 1) // greatest(1, {SHARD_CAP} // d) END,
+    CASE WHEN n <= greatest(1, {SHARD_CAP} // d) THEN n * d ELSE ((n - 1) % greatest(1, {SHARD_CAP} // d) + 1) * d END
+  FROM hist WHERE k = 1
+  UNION ALL
+  SELECT h.k, h.d, h.n, f.before + f.n, f.shard2, f.total2, greatest(0, ({SHARD_CAP} - f.total2) // h.d),
+    CASE WHEN h.n <= greatest(0, ({SHARD_CAP} - f.total2) // h.d) THEN f.shard2 ELSE f.shard2 +
+      (h.n - greatest(0, ({SHARD_CAP} - f.total2) // h.d) + greatest(1, {SHARD_CAP} // h.d) - 1) // greatest(1, {SHARD_CAP} // h.d) END,
+    CASE WHEN h.n <= greatest(0, ({SHARD_CAP} - f.total2) // h.d) THEN f.total2 + h.n * h.d
+      ELSE ((h.n - greatest(0, ({SHARD_CAP} - f.total2) // h.d) - 1) % greatest(1, {SHARD_CAP} // h.d) + 1) * h.d END
+  FROM fold f JOIN hist h ON h.k = f.k + 1),
+nth AS (SELECT word, num_docs, row_number() OVER (ORDER BY num_docs DESC, word) - 1 AS r FROM dfs),
+shards AS (SELECT word, num_docs, CAST(CASE WHEN r - before < room THEN shard
+  ELSE shard + 1 + (r - before - room) // greatest(1, {SHARD_CAP} // d) END AS BIGINT) AS shard
+  FROM nth JOIN fold ON num_docs = d)"""
 
 CHUNKS_CTE = f"""
 bucketed AS (SELECT word, {BUCKET_SQL} AS bucket FROM dfs),
@@ -56,7 +70,7 @@ chunks AS (SELECT bucket, CAST(floor((rn - 1) / {CHUNK_WORDS}) AS BIGINT) AS chu
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join(c.strip() for c in ctes)
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes)
 
 
 @register("w7_doc_ids", _with(DOC_IDS_CTE) + "\nSELECT doc_id, file, doc_int FROM doc_ids")

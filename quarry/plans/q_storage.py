@@ -57,7 +57,7 @@ def s7_json_map_roundtrip(spark, sf_dir):
 @register("s10_stats_roundtrip", _sql("a5_corpus_stats"))
 def s10_stats_roundtrip(spark, sf_dir):
     path = _fresh(spark, "stats")
-    ST.write_stats(TM.SparseIndex(_docs(spark, sf_dir), "basic", P).stats, path)
+    ST.write_stats(TM.corpus_stats(TM.doc_lengths(_docs(spark, sf_dir).select("doc_id", "text"))), path)
     s = ST.read_stats(spark, path, corpus_size=274669, avg_doc_len=389.3195)
     return s.select("corpus_size", F.round("avg_doc_len", 6).alias("avg_doc_len"))
 
@@ -66,7 +66,7 @@ def s10_stats_roundtrip(spark, sf_dir):
 def s8_format_preference(spark, sf_dir):
     """Only the JSON copy exists, so the reader falls back to it."""
     base = _fresh(spark, "stats")
-    ST.write_stats(TM.SparseIndex(_docs(spark, sf_dir), "basic", P).stats, base + ".json")
+    ST.write_stats(TM.corpus_stats(TM.doc_lengths(_docs(spark, sf_dir).select("doc_id", "text"))), base + ".json")
     s = ST.read_preferred(spark, base, json_schema=None)
     return s.select(F.col("corpus_size").cast("long"), F.round("avg_doc_len", 6).alias("avg_doc_len"))
 

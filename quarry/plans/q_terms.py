@@ -35,14 +35,14 @@ def a2_document_frequency(spark, sf_dir):
 WITH {corpus_ctes().strip()}
 SELECT doc_id, doc_len FROM lens""")
 def a4_document_length(spark, sf_dir):
-    return _index(spark, sf_dir).lengths.select("doc_id", "doc_len")
+    return TM.doc_lengths(tables.documents(spark, sf_dir).select("doc_id", "text"))
 
 
 @register("a5_corpus_stats", f"""
 WITH {corpus_ctes().strip()}
 SELECT corpus_size, round(avg_doc_len, 6) AS avg_doc_len FROM stats""")
 def a5_corpus_stats(spark, sf_dir):
-    s = _index(spark, sf_dir).stats
+    s = TM.corpus_stats(TM.doc_lengths(tables.documents(spark, sf_dir).select("doc_id", "text")))
     return s.select("corpus_size", F.round("avg_doc_len", 6).alias("avg_doc_len"))
 
 

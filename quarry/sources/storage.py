@@ -117,8 +117,9 @@ def read_stats(spark: SparkSession, path: str, corpus_size: int = -1, avg_doc_le
 
 def write_shards(postings: DataFrame, path: str, overwrite: bool = False) -> None:
     """One directory per shard, rows sorted by word; an existing output
-    is kept unless ``overwrite`` (N3)."""
-    (postings.repartition("shard").sortWithinPartitions("word", "doc_int")
+    is kept unless ``overwrite`` (N3). Rows are dealt by ranges of (shard,
+    word, doc), so a large shard is written by several tasks."""
+    (postings.repartitionByRange("shard", "word", "doc_int").sortWithinPartitions("shard", "word", "doc_int")
              .write.mode("overwrite" if overwrite else "ignore").partitionBy("shard").parquet(path))
 
 

@@ -45,7 +45,21 @@ def test_recursive_split_fits(spark):
 def test_shards(spark):
     dfs = spark.createDataFrame([("w1", 6), ("w2", 5), ("w3", 4), ("w4", 3)], "word string, num_docs long")
     got = {r.word: r.shard for r in IX.shard_by_df(dfs, 10).collect()}
-    assert got == {"w1": 0, "w2": 0, "w3": 1, "w4": 1}
+    assert got == {"w1": 0, "w2": 1, "w3": 1, "w4": 2}
+
+
+def test_shards_are_the_greedy_cut(spark):
+    import random
+    rnd = random.Random(8)
+    for cap in (1, 7, 50, 400):
+        data = [(f"w{i:03d}", int(rnd.paretovariate(0.8))) for i in range(200)]
+        want, shard, total = {}, 0, 0
+        for w, d in sorted(data, key=lambda x: (-x[1], x[0])):
+            if total and total + d > cap:
+                shard, total = shard + 1, 0
+            want[w], total = shard, total + d
+        dfs = spark.createDataFrame(data, "word string, num_docs long")
+        assert {r.word: r.shard for r in IX.shard_by_df(dfs, cap).collect()} == want
 
 
 def test_sequential_ids_dense(spark):

@@ -102,3 +102,9 @@ def test_references_and_links(spark):
     assert [r[0] for r in df.select(H.decode_entities("t")).collect()] == ["é’’&lt;&nope;\U0001f600<", "plain", "", None]
     df = spark.createDataFrame([("<a HREF=\"a\"> <a href='b'> <a href = \"c d\"><a href=>",)], "h string")
     assert df.select(H.hrefs("h")).first()[0] == ["a", "b", "c d"]
+
+
+def test_stemmer_default_mode():
+    want = {"day": "day", "played": "play", "enjoy": "enjoy", "dying": "die", "skies": "sky", "ties": "tie", "news": "news",
+            "tied": "tie", "happy": "happi", "geology": "geolog", "hopping": "hop", "filing": "file", "radically": "radic"}
+    assert {w: stem(w) for w in want} == want
