@@ -42,8 +42,10 @@ class Params:
     recall_at: tuple = (5, 10, 25)
     # Rows a side may have to be broadcast explicitly (size check).
     broadcast_max_rows: int = 2_000_000
-    # Query vectors shipped to every kNN task at once; larger batches run in blocks.
-    knn_query_block: int = 50_000
+    # Bytes of query vectors shipped to every kNN task; larger batches stay distributed
+    # and meet the items in blocks of so many rows.
+    knn_query_bytes: int = 32 * 1024 * 1024
+    knn_block_rows: int = 16_384
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -85,52 +85,14 @@ def knn_exact(items: DataFrame, queries: DataFrame, k: int, params: Params = DEF
     """R9 + W2: ``query_id, rank, item_id, distance`` (squared L2, ascending;
     ties by item key). ``queries``: ``query_id, vector``.
 
-    The query matrix goes to every task, so it is sent in blocks of at most
-    ``params.knn_query_block`` vectors (hash blocks of ``query_id``); each
-    block is one pass over the items and the results are unioned."""
-    n = queries.count()
-    blocks = max(1, -(-n // params.knn_query_block))
-    parts = []
-    for blk in range(blocks):
-        qb = queries if blocks == 1 else queries.filter(
-            F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == blk)
-        parts.append(_knn_block(items, qb, k, item_key, vec, digits))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _knn_block(items: DataFrame, queries: DataFrame, k: int, item_key: str, vec: str,
-               digits: int | None) -> DataFrame:
-    qpd = queries.select("query_id", vec).toPandas()
-    n = len(qpd)
-    qids = qpd["query_id"].to_numpy()
-    qmat = np.stack([np.asarray(v, dtype=np.float64) for v in qpd[vec]]) if n else np.zeros((0, 0))
-    qn = (qmat ** 2).sum(axis=1) if n else qmat
-
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if b.empty or not n:
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in b[vec]])
-            # screen with |x|^2 - 2 x.q + |q|^2, keep each query's k best of the
-            # batch plus anything within rounding distance of the k-th (ties),
-            # then score those pairs exactly
-            d = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ qmat.T + qn[None, :]
-            if len(b) > k:
-                kth = np.partition(d, k - 1, axis=0)[k - 1]
-                mask = d <= kth[None, :] + 2e-6 + 1e-9 * np.abs(kth)[None, :]
-            else:
-                mask = np.ones_like(d, dtype=bool)
-            ri, qi = np.nonzero(mask)
-            exact = ((x[ri] - qmat[qi]) ** 2).sum(axis=1)
-            yield pd.DataFrame({"query_id": qids[qi], item_key: b[item_key].to_numpy()[ri],
-                                "distance": exact})
-
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, " \
-             f"{item_key} {items.schema[item_key].dataType.simpleString()}, distance double"
-    cand = items.select(item_key, vec).mapInPandas(part, schema)
+    Up to ``params.knn_query_bytes`` of query vectors (measured) go to every
+    task and the items are streamed where they lie. More queries than that
+    stay distributed: the items are dealt to blocks, every query visits every
+    block, and a task holds one block while the queries stream past it.
+    """
+    size = queries.agg(F.sum(F.size(vec) * F.lit(8))).first()[0] or 0
+    near = _near_broadcast if size <= params.knn_query_bytes else _near_dealt
+    cand = near(items, queries, k, params, item_key, vec)
     if digits is not None:
         cand = cand.withColumn("distance", F.round("distance", digits))
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc(), F.col(item_key).asc())
@@ -138,6 +100,78 @@ def _knn_block(items: DataFrame, queries: DataFrame, k: int, item_key: str, vec:
                 .select("query_id", F.col("rank").cast("long"), item_key, "distance"))
 
 
+_TILE = 512  # queries whose distances to a batch are held at a time
+
+
+def _matrix(vectors) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+
+
+def _best_pairs(x: np.ndarray, q: np.ndarray, k: int, seen: np.ndarray):
+    """Row and query numbers of pairs that may be among a query's k nearest,
+    and their exact distances. ``seen`` holds each query's k-th distance so
+    far and is lowered in place; pairs within rounding of it stay (ties)."""
+    x2 = (x ** 2).sum(axis=1)
+    for s in range(0, len(q), _TILE):
+        t = q[s:s + _TILE]
+        d = x2[:, None] - 2.0 * x @ t.T + (t ** 2).sum(axis=1)[None, :]
+        bound = seen[s:s + _TILE]
+        if len(x) >= k:
+            np.minimum(bound, np.partition(d, k - 1, axis=0)[k - 1], out=bound)
+        ri, qi = np.nonzero(d <= bound[None, :] + 2e-6 + 1e-9 * np.abs(np.where(np.isfinite(bound), bound, 0))[None, :])
+        yield ri, qi + s, ((x[ri] - t[qi]) ** 2).sum(axis=1)
+
+
+def _pair_schema(items: DataFrame, queries: DataFrame, item_key: str) -> str:
+    return (f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
+            f"{item_key} {items.schema[item_key].dataType.simpleString()}, distance double")
+
+
+def _near_broadcast(items, queries, k, params, item_key, vec) -> DataFrame:
+    qpd = queries.select("query_id", vec).toPandas()   # within params.knn_query_bytes
+    qids, qmat = qpd["query_id"].to_numpy(), _matrix(qpd[vec]) if len(qpd) else None
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.full(len(qids), np.inf)   # runs through the whole partition
+        for b in batches:
+            if b.empty or qmat is None:
+                continue
+            keys = b[item_key].to_numpy()
+            for ri, qi, d in _best_pairs(_matrix(b[vec]), qmat, k, seen):
+                yield pd.DataFrame({"query_id": qids[qi], item_key: keys[ri], "distance": d})
+
+    return items.select(item_key, vec).mapInPandas(part, _pair_schema(items, queries, item_key))
+
+
+def _near_dealt(items, queries, k, params, item_key, vec) -> DataFrame:
+    blocks = max(1, -(-items.count() // params.knn_block_rows))
+    it = items.select(F.pmod(F.xxhash64(item_key), F.lit(blocks)).alias("_block"), F.lit(0).alias("_kind"),
+                      F.col(item_key).alias("_item"), F.lit(None).cast(queries.schema["query_id"].dataType).alias("_query"),
+                      F.col(vec).alias("_v"))
+    qs = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"), F.lit(1).alias("_kind"),
+                        F.lit(None).cast(items.schema[item_key].dataType).alias("_item"), F.col("query_id").alias("_query"),
+                        F.col(vec).cast(items.schema[vec].dataType).alias("_v"))
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, keys, mats, x = None, [], [], None
+        for b in batches:
+            for (blk, kind), g in b.groupby(["_block", "_kind"], sort=True):
+                if blk != block:
+                    block, keys, mats, x = blk, [], [], None
+                if kind == 0:
+                    keys.append(g["_item"].to_numpy())
+                    mats.append(_matrix(g["_v"]))
+                elif mats:
+                    if x is None:
+                        x, ids = np.concatenate(mats), np.concatenate(keys)
+                    qids = g["_query"].to_numpy()
+                    for ri, qi, d in _best_pairs(x, _matrix(g["_v"]), k, np.full(len(g), np.inf)):
+                        yield pd.DataFrame({"query_id": qids[qi], item_key: ids[ri], "distance": d})
+
+    dealt = it.unionByName(qs).repartition("_block").sortWithinPartitions("_block", "_kind")
+    return dealt.mapInPandas(part, _pair_schema(items, queries, item_key))
+
+
 def knn_candidates(pairs: DataFrame, k: int, qvec: str = "qvec", ivec: str = "vector",
                    key=("doc_id", "text_idx", "chunk_no"), digits: int | None = 6) -> DataFrame:
     """R10 + W2 over bounded candidate pairs: adds ``distance`` and ``rank``."""

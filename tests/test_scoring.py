@@ -133,3 +133,19 @@ def test_maxscore_and_shared_index_equal_exhaustive(spark):
     assert {tuple(r) for r in S.search_bm25(q, shared, p).collect()} == full
     t_full = {tuple(r) for r in S.search_tfidf(q, idx, p).collect()}
     assert {tuple(r) for r in S.search_tfidf(q, shared, p).collect()} == t_full
+
+
+def test_knn_paths_agree_with_brute_force(spark):
+    """Queries sent to the tasks, and queries dealt to item blocks; ties go to the smaller key."""
+    import numpy as np
+    from quarry.config import DEFAULT
+    from quarry.operators.dense import knn_exact
+    rng = np.random.default_rng(3)
+    x = rng.integers(-2, 3, size=(300, 5)).astype(float)
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "item_id long, vector array<double>").repartition(3)
+    q = spark.createDataFrame([(i, x[i].tolist()) for i in range(0, 300, 7)], "query_id long, vector array<double>")
+    want = {(i, r + 1, int(n)) for i in range(0, 300, 7)
+            for r, n in enumerate(np.lexsort((np.arange(300), ((x - x[i]) ** 2).sum(axis=1)))[:6])}
+    for p in (DEFAULT, DEFAULT.with_(knn_query_bytes=0, knn_block_rows=50), DEFAULT.with_(knn_query_bytes=0, knn_block_rows=4)):
+        assert {tuple(r)[:3] for r in knn_exact(items, q, 6, p).collect()} == want
+    assert knn_exact(items, q.limit(0), 6).collect() == []
