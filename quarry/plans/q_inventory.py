@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT, MISSING_ARTICLE_TEXT
+from quarry.functions.lemmas import EXCEPTIONS, RULES, noun_lemmas
 from quarry.operators import chunk as C
 from quarry.operators import dense as D
 from quarry.operators import graph as G
@@ -60,20 +61,27 @@ TOPK_SQL = (f"WITH {corpus_ctes().strip()}," + qterms_cte("qterms", BENCH_Q) + "
             + bm25_scores_cte("bm", P.k1, P.b) + "," + top_k_cte("top", "bm", K))
 
 
-@register("s12_text_lookup", TOPK_SQL + f"""
-SELECT t.query_id, t.rank, d.source AS file, t.doc_id AS entry_id,
-       coalesce(d.text, replace(replace({lit(MISSING_ARTICLE_TEXT)}, '{{id}}', CAST(t.doc_id AS VARCHAR)),
-                                '{{path}}', coalesce(d.source, ''))) AS text
-FROM top t LEFT JOIN documents d ON d.doc_id = t.doc_id""")
+@register("s12_text_lookup", TOPK_SQL + f""",
+keys AS (SELECT t.query_id, t.rank, d.source AS file, t.doc_id FROM top t JOIN documents d USING (doc_id)
+  UNION ALL SELECT item_id, 0, 'gone', -1 - item_id FROM benchmark)
+SELECT k.query_id, k.rank, k.file, k.doc_id AS entry_id,
+       coalesce(d.text, replace(replace({lit(MISSING_ARTICLE_TEXT)}, '{{id}}', CAST(k.doc_id AS VARCHAR)),
+                                '{{path}}', k.file)) AS text
+FROM keys k LEFT JOIN documents d ON d.doc_id = k.doc_id AND d.source = k.file""")
 def s12_text_lookup(spark, sf_dir):
-    """Text of (file, entry_id) keys in result order, default text when missing."""
+    """Text of (file, entry_id) keys in result order, default text when missing
+    (one key per query has no article)."""
     q = tables.benchmark_queries(spark, sf_dir)
     nq = q.count()
-    keys = S.search_bm25(q, _index(spark, sf_dir), P.with_(top_k=K)).select("query_id", "rank", "doc_id")
     d = _docs(spark, sf_dir).select("doc_id", "file", "text")
-    j = bounded_broadcast(keys, nq * K, P.broadcast_max_rows).join(d, "doc_id", "left")
+    top = S.search_bm25(q, _index(spark, sf_dir), P.with_(top_k=K)).select("query_id", "rank", "doc_id").persist()
+    ids = bounded_broadcast(top.select("doc_id").distinct(), nq * K, P.broadcast_max_rows)
+    wanted = d.join(ids, "doc_id", "left_semi")   # the text of k documents per query at most
+    keys = top.join(wanted.select("doc_id", "file"), "doc_id").select("query_id", "rank", "file", "doc_id").unionByName(
+        q.select("query_id", F.lit(0).cast("long").alias("rank"), F.lit("gone").alias("file"), (-1 - F.col("query_id")).alias("doc_id")))
+    j = keys.join(wanted, ["file", "doc_id"], "left")
     default = F.replace(F.replace(F.lit(MISSING_ARTICLE_TEXT), F.lit("{id}"), F.col("doc_id").cast("string")),
-                        F.lit("{path}"), F.coalesce("file", F.lit("")))
+                        F.lit("{path}"), F.col("file"))
     return j.select("query_id", "rank", "file", F.col("doc_id").alias("entry_id"),
                     F.coalesce("text", default).alias("text"))
 
@@ -129,14 +137,24 @@ def f9_query_idf_filter(spark, sf_dir):
     return qw.filter(F.col("idf") < P.word_idf_max).select("query_id", "word", F.round("idf", 6).alias("idf"))
 
 
+_RULE_ROWS = ", ".join(f"({lit(x)}, {lit(y)})" for x, y in RULES)
+_ODD_ROWS = ", ".join(f"({lit(x)}, {lit(y)})" for x, y in EXCEPTIONS.items())
+
+
 @register("t9_lemmatize", f"""
-WITH {corpus_ctes().strip()}
-SELECT word, word AS lemma FROM dfs""")
+WITH {corpus_ctes().strip()},
+rules(tail, put) AS (VALUES {_RULE_ROWS}),
+odd(word, cand) AS (VALUES {_ODD_ROWS}),
+cands AS (
+  SELECT word, 1 AS p, word AS cand FROM dfs
+  UNION ALL SELECT word, 0, odd.cand FROM dfs JOIN odd USING (word)
+  UNION ALL SELECT word, 1, cand FROM (
+    SELECT word, substr(word, 1, length(word) - length(tail)) || put AS cand FROM dfs JOIN rules ON ends_with(word, tail)
+    WHERE length(word) > 2 AND NOT ends_with(word, 'ss')) WHERE cand IN (SELECT word FROM dfs))
+SELECT word, (list(cand ORDER BY p, length(cand), cand))[1] AS lemma FROM cands GROUP BY word""")
 def t9_lemmatize(spark, sf_dir):
-    """Vocabulary joined with the lemma table (default table empty: identity)."""
-    lemmas = spark.createDataFrame([], "word string, lemma string")
-    v = _index(spark, sf_dir).df.select("word")
-    return v.join(F.broadcast(lemmas), "word", "left").select("word", F.coalesce("lemma", "word").alias("lemma"))
+    """The vocabulary and its noun lemmas."""
+    return noun_lemmas(_index(spark, sf_dir).df)
 
 
 @register("a10_bm25_sum", f"WITH {corpus_ctes().strip()}," + qterms_cte("qterms", BENCH_Q) + ","

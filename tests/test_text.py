@@ -108,3 +108,12 @@ def test_stemmer_default_mode():
     want = {"day": "day", "played": "play", "enjoy": "enjoy", "dying": "die", "skies": "sky", "ties": "tie", "news": "news",
             "tied": "tie", "happy": "happi", "geology": "geolog", "hopping": "hop", "filing": "file", "radically": "radic"}
     assert {w: stem(w) for w in want} == want
+
+
+def test_noun_lemmas(spark):
+    from quarry.functions.lemmas import noun_lemmas
+    words = "cats cat boxes box ponies pony women churches church glass is wolves wolf dogs men man us buses bus feet".split()
+    df = spark.createDataFrame([(w,) for w in [*words, "cat"]], "word string")
+    got = {r["word"]: r["lemma"] for r in noun_lemmas(df).collect()}
+    assert got == {**{w: w for w in words}, "cats": "cat", "boxes": "box", "ponies": "pony", "women": "woman",
+                   "churches": "church", "wolves": "wolf", "men": "man", "buses": "bus", "feet": "foot"}
