@@ -16,6 +16,13 @@ starts elsewhere (any document, or another place of the same one).
    positions in suffix order give every start its longest earlier match; a
    start with a match of ``min_bytes`` is a later copy, its source the kept
    one. ``keep_first`` removes the later copies only, otherwise both go.
+   An anchor whose distinct pieces exceed a block (a phrase that very many
+   contexts share) is settled by counting digests of its strings instead: the
+   same answer with no group in one task.
+4. The ranges are merged to maximal runs per document and cut from the text.
+
+The text meets the wanted pieces, and later the runs, in two shuffle joins; it
+travels compressed.
 
 Defined cases: null text is empty; texts shorter than ``min_bytes`` have no
 repeats; repeated rows are places of their own (the whole text is repeated);
@@ -29,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import materialise, small, text_hash
@@ -39,7 +46,7 @@ GRAM = 32
 #: Bytes of a text that are hashed at a time.
 _STRIDE = 1 << 21
 #: Bytes of piece text that one suffix array is built over, about.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 # ---------------------------------------------------------------- pieces
@@ -109,6 +116,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.coalesce(text, F.lit("")).cast("binary").alias("t"))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, h, z``: the texts' bytes, compressed for a shuffle."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        pack = ZstdCompressor(level=1).compress
+        for b in batches:
+            z = [pack(t.as_py()) for t in b.column("t")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), pa.array(z, pa.binary())], ["doc_id", "h", "z"])
+
+    return _keyed(docs).mapInArrow(part, "doc_id long, h long, z binary")
+
+
 # ---------------------------------------------------------------- suffix arrays
 def suffix_array(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of all suffixes by their first ``depth`` codes or more (equal ones
@@ -185,14 +206,14 @@ def _block(g: pd.DataFrame, min_bytes: int) -> pd.DataFrame:
             rows += [(k, kind, int(x), int(y)) for x, y in zip(edge[::2], edge[1::2])]
     out = pd.DataFrame(rows, columns=["k", "kind", "x", "y"])
     src = g.loc[out["k"]].reset_index(drop=True)
-    return pd.DataFrame({"doc_id": src["doc_id"], "h": src["h"], "n_occ": src["n_occ"], "kind": out["kind"],
+    return pd.DataFrame({"doc_id": src["doc_id"], "h": src["h"], "many": src["many"], "kind": out["kind"],
                          "lo": (src["lo"] + out["x"]).astype("int64"),
                          "hi": (src["lo"] + out["y"] - 1 + min_bytes).astype("int64")})
 
 
 # ---------------------------------------------------------------- operator
 def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = False) -> DataFrame:
-    """``doc_id, h, lo, hi``: byte ranges to remove (they may overlap).
+    """``doc_id, h, lo, hi``: the maximal byte ranges to remove.
 
     ``keep_first``: of equal strings the first place, by (doc_id, text hash,
     position), stays.
@@ -219,25 +240,69 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool
     spans = j.select("doc_id", "h", F.col("lo").cast("long").alias("lo"),
                      (F.col("lo") + F.col("n") - 1 + min_bytes).cast("long").alias("hi"))
 
-    # distinct pieces under one anchor: LPF over bounded blocks
+    # distinct pieces under one anchor: LPF over bounded blocks, digests where they exceed one
     mixed = contents.filter("mixed").select("anchor", "n_occ", "n", "first.*")
-    total = mixed.agg(F.sum(F.col("n") + min_bytes)).first()[0] or 0
+    weight = mixed.groupBy(F.col("anchor").alias("a")).agg(F.sum(F.col("n") + min_bytes).alias("bytes"))
+    mixed = mixed.join(weight, F.col("anchor") == F.col("a")).withColumn("wide", F.col("bytes") > BLOCK_BYTES)
+    total = contents.filter("mixed").agg(F.sum(F.col("n") + min_bytes)).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
     wanted = mixed.groupBy(F.col("doc_id").alias("w_id"), F.col("h").alias("w_h")).agg(
-        F.collect_list(F.struct("anchor", "n_occ", "n", "lo")).alias("w"))
-    wanted = materialise(wanted, "suffix-wanted")
-    n_wanted = mixed.count()
-    wanted = F.broadcast(wanted) if n_wanted * 40 <= 32 * 1024 * 1024 else wanted
-    src = _keyed(docs)
-    texts = src.join(wanted, src["doc_id"].eqNullSafe(wanted["w_id"]) & (src["h"] == wanted["w_h"]))
-    texts = texts.dropDuplicates(["doc_id", "h"]) if _repeats(docs) else texts
-    one = texts.select("doc_id", "h", "t", F.explode("w").alias("w")).select(
-        "doc_id", "h", "w.*", F.expr(f"substring(t, w.lo + 1, w.n - 1 + {min_bytes})").alias("t"))
-    one = one.withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    fine = one.groupBy("block").applyInPandas(
-        lambda g: _block(g, min_bytes), "doc_id long, h long, n_occ long, kind string, lo long, hi long")
-    fine = fine.filter("kind = 'later'" if keep_first else "kind = 'copy' and n_occ = 1").select("doc_id", "h", "lo", "hi")
-    return materialise(spans.unionByName(fine), "suffix-spans")
+        F.collect_list(F.struct((F.col("n_occ") > 1).alias("many"), "wide", "n", "lo",
+                                F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))).alias("w"))
+    src = _packed(docs)
+    cut_text = src.join(wanted, src["doc_id"].eqNullSafe(wanted["w_id"]) & (src["h"] == wanted["w_h"])).select(
+        "doc_id", "h", "z", "w")
+    if _repeats(docs):
+        cut_text = cut_text.dropDuplicates(["doc_id", "h"])
+    strings = materialise(_cut(cut_text, min_bytes), "suffix-strings")
+    fine = strings.filter("not wide").groupBy("block").applyInPandas(
+        lambda g: _block(g, min_bytes), "doc_id long, h long, many boolean, kind string, lo long, hi long")
+    fine = fine.filter("kind = 'later'" if keep_first else "kind = 'copy' and not many").select("doc_id", "h", "lo", "hi")
+    wide = strings.filter("wide").select("doc_id", "h", "many", F.col("lo").cast("long").alias("lo"), F.col("t").alias("d"))
+    at = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h", "lo")
+    twice = wide.groupBy(F.col("d").alias("k")).agg(F.count("*").alias("c"), F.min(at).alias("f")).filter("c > 1")
+    wide = wide.join(twice, F.col("d") == F.col("k"))
+    own = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("h") == F.col("f.h")) & (F.col("lo") == F.col("f.lo"))
+    wide = wide.filter(~own if keep_first else ~F.col("many")).select("doc_id", "h", "lo", (F.col("lo") + min_bytes).alias("hi"))
+    return _runs(spans.unionByName(fine).unionByName(wide))
+
+
+def _cut(texts: DataFrame, min_bytes: int) -> DataFrame:
+    """The wanted pieces' bytes; of wide ones the digest of every string instead."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+        from zstandard import ZstdDecompressor
+
+        names = ["doc_id", "h", "many", "wide", "block", "lo", "n", "t"]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        unpack = ZstdDecompressor().decompress
+        out: list[tuple] = []
+        for b in batches:
+            for d, h, z, w in zip(b.column("doc_id").to_pylist(), b.column("h").to_pylist(), b.column("z"), b.column("w")):
+                t = unpack(z.as_py())
+                for p in w.as_py():
+                    lo, n = p["lo"], p["n"]
+                    if p["wide"]:
+                        out += [(d, h, p["many"], True, p["block"], i, 1, xxh3_128_digest(t[i:i + min_bytes])) for i in range(lo, lo + n)]
+                    else:
+                        out.append((d, h, p["many"], False, p["block"], lo, n, t[lo:lo + n - 1 + min_bytes]))
+                    if len(out) >= 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                        out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    return texts.mapInArrow(part, "doc_id long, h long, many boolean, wide boolean, block long, lo int, n int, t binary")
+
+
+def _runs(spans: DataFrame) -> DataFrame:
+    """Overlapping or touching ranges of a document as one."""
+    of = Window.partitionBy("doc_id", "h").orderBy("lo", "hi")
+    reach = F.max("hi").over(of.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("new", F.when(reach >= F.col("lo"), 0).otherwise(1))
+    numbered = marked.withColumn("run", F.sum("new").over(of.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("doc_id", "h", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run")
 
 
 def _repeats(docs: DataFrame) -> bool:
@@ -246,38 +311,28 @@ def _repeats(docs: DataFrame) -> bool:
     return not k.isEmpty()
 
 
-def merge_spans(spans: list) -> list[tuple[int, int]]:
-    """Maximal runs of overlapping or touching ranges."""
-    out: list[list[int]] = []
-    for lo, hi in sorted((s[0], s[1]) for s in spans):
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
-
-
 def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = False) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the merged removed ranges and the bytes left of every row."""
-    spans = repeated_spans(docs, min_bytes, keep_first)
-    per = spans.groupBy(F.col("doc_id").alias("s_id"), F.col("h").alias("s_h")).agg(
-        F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    per = F.broadcast(per) if spans.count() * 16 <= 32 * 1024 * 1024 else per
-    src = _keyed(docs)
-    j = src.join(per, src["doc_id"].eqNullSafe(per["s_id"]) & (src["h"] == per["s_h"]), "left").select("doc_id", "t", "spans")
+    per = repeated_spans(docs, min_bytes, keep_first).groupBy(F.col("doc_id").alias("s_id"), F.col("h").alias("s_h")).agg(
+        F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+    src = _packed(docs)
+    j = src.join(per, src["doc_id"].eqNullSafe(per["s_id"]) & (src["h"] == per["s_h"]), "left").select("doc_id", "z", "spans")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdDecompressor
+
+        unpack = ZstdDecompressor().decompress
         span = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 c = b.slice(s, 256)
                 ids, ns, runs, kept = [], [], [], []
-                for d, t, sp in zip(c.column("doc_id"), c.column("t"), c.column("spans")):
-                    t, m = t.as_py(), merge_spans([(x["lo"], x["hi"]) for x in sp.as_py() or []])
-                    edge = [0, *(e for run in m for e in run), len(t)]
+                for d, z, sp in zip(c.column("doc_id"), c.column("z"), c.column("spans")):
+                    t, m = unpack(z.as_py()), sp.as_py() or []
+                    edge = [0, *(e for run in m for e in (run["lo"], run["hi"])), len(t)]
                     ids.append(d.as_py())
                     ns.append(len(t))
-                    runs.append([{"lo": x, "hi": y} for x, y in m])
+                    runs.append(m)
                     kept.append(b"".join(t[x:y] for x, y in zip(edge[::2], edge[1::2])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(runs, span), pa.array(kept, pa.binary())],

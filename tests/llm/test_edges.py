@@ -100,7 +100,9 @@ def test_simhash_keep_one(docs, empty):
 
 
 # ------------------------------------------------------------------ suffix
-def test_suffix_edges(docs, empty, texts):
+@pytest.mark.parametrize("block", [1 << 19, 700])
+def test_suffix_edges(docs, empty, texts, block, monkeypatch):
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", block)
     want = [(d, *r) for (d, _), r in zip(ids(docs), brute.repeats([t for _, t in ids(docs)]))]
     got = rows(suffix.remove_repeats(with_clash(docs)).select(
         "doc_id", "n_bytes", F.col("n_bytes") - F.octet_length("kept"), F.size("spans"), F.sha2("kept", 256)))
@@ -108,7 +110,10 @@ def test_suffix_edges(docs, empty, texts):
     assert rows(suffix.remove_repeats(empty)) == []
 
 
-def test_suffix_keep_first(spark, texts):
+@pytest.mark.parametrize("block", [1 << 19, 700])
+def test_suffix_keep_first(spark, texts, block, monkeypatch):
+    """Also with blocks so small that the anchors are settled by digests."""
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", block)
     data = [(i, t) for i, t in enumerate(texts[7:16])]
     left = {r[0]: bytes(r[1]) for r in rows(suffix.remove_repeats(
         spark.createDataFrame(data, "doc_id long, text string"), keep_first=True).select("doc_id", "kept"))}
