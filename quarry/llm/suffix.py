@@ -47,6 +47,7 @@ GRAM = 32
 _STRIDE = 1 << 21
 #: Bytes of piece text that one suffix array is built over, about.
 BLOCK_BYTES = 1 << 19
+SALTS = 64
 
 
 # ---------------------------------------------------------------- pieces
@@ -258,15 +259,33 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool
     fine = strings.filter("not wide").groupBy("block").applyInPandas(
         lambda g: _block(g, min_bytes), "doc_id long, h long, many boolean, kind string, lo long, hi long")
     fine = fine.filter("kind = 'later'" if keep_first else "kind = 'copy' and not many").select("doc_id", "h", "lo", "hi")
-    wide = strings.filter("wide").select("doc_id", "h", "many", F.col("lo").cast("long").alias("lo"), F.col("t").alias("d"))
-    at = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h", "lo")
-    twice = wide.groupBy(F.col("d").alias("k")).agg(F.count("*").alias("c"), F.min(at).alias("f")).filter("c > 1")
-    wide = wide.join(twice, F.col("d") == F.col("k"))
-    own = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("h") == F.col("f.h")) & (F.col("lo") == F.col("f.lo"))
-    wide = wide.filter(~own if keep_first else ~F.col("many")).select("doc_id", "h", "lo", (F.col("lo") + min_bytes).alias("hi"))
+    wide = _equal_strings(strings.filter("wide").select(
+        "doc_id", "h", "many", F.col("lo").cast("long").alias("lo"), F.col("t").alias("d")), keep_first)
+    wide = wide.select("doc_id", "h", "lo", (F.col("lo") + min_bytes).alias("hi"))
     return _runs(spans.unionByName(fine).unionByName(wide))
 
 
+def _equal_strings(strings: DataFrame, keep_first: bool) -> DataFrame:
+    """Rows of ``strings(doc_id, h, many, lo, d)`` whose digest ``d`` occurs again.
+
+    Ranked within (digest, salt) first; the first row of each, at most
+    ``SALTS`` per digest, is then ranked within the digest, so no group grows
+    with the number of equal strings.
+    """
+    place = [F.col("doc_id").isNull(), "doc_id", "h", "lo"]
+    salted = strings.withColumn("salt", F.pmod(F.xxhash64("doc_id", "h", "lo"), F.lit(SALTS)))
+    near = Window.partitionBy("d", "salt")
+    salted = materialise(salted.withColumns({
+        "nth": F.row_number().over(near.orderBy(*place)), "n": F.count("*").over(near)}), "suffix-equal")
+    far = Window.partitionBy("d")
+    firsts = salted.filter("nth = 1").withColumns({
+        "nth": F.row_number().over(far.orderBy(*place)), "n_d": F.count("*").over(far)})
+    rest = salted.filter("nth > 1")
+    if keep_first:
+        return firsts.filter("nth > 1").drop("n_d").unionByName(rest)
+    return firsts.filter("n > 1 or n_d > 1").drop("n_d").unionByName(rest).filter("not many")
+
+
 def _cut(texts: DataFrame, min_bytes: int) -> DataFrame:
     """The wanted pieces' bytes; of wide ones the digest of every string instead."""
 
