@@ -193,8 +193,9 @@ def _block(g: pd.DataFrame, min_bytes: int) -> pd.DataFrame:
     for b, n in zip(begins, g["n"]):
         starts[b:b + n] = True
     # only starts of whole strings are kept; an LCP over dropped neighbours is their smallest
+    # (reduceat's last segment must end at the last kept start: the end marks sort behind it)
     keep = np.flatnonzero(starts[sa])
-    low = np.minimum.reduceat(lcp, np.concatenate([[0], keep[:-1] + 1])) if len(keep) else lcp[:0]
+    low = np.minimum.reduceat(lcp[:keep[-1] + 1], np.concatenate([[0], keep[:-1] + 1])) if len(keep) else lcp[:0]
     later, copies = np.zeros(len(codes), dtype=bool), np.zeros(len(codes), dtype=bool)
     for p, (length, src) in lpf(sa[keep].tolist(), low.tolist()).items():
         if length >= min_bytes:

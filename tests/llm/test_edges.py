@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,27 @@ def test_suffix_keep_first(spark, texts, block, monkeypatch):
         assert left[i] == bytes(c for c, g in zip(b, gone) if not g)
 
 
+@pytest.mark.parametrize("size", [200, 260])
+def test_suffix_largest_start_of_a_block(spark, size):
+    """The start that sorts last keeps its match, one of exactly 200 bytes too."""
+    rnd = random.Random(size)
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefghij") for _ in range(n))
+
+    shared = "z" + noise(size - 1)
+    texts = [noise(150) + "k" + shared + "l" + noise(150), noise(90) + "m" + shared + "n" + noise(210)]
+    at = [t.index(shared) for t in texts]
+    g = pd.DataFrame({"doc_id": [0, 1], "h": [0, 1], "many": [False, False], "lo": [0, 0],
+                      "n": [len(t) - 199 for t in texts], "t": [t.encode() for t in texts]})
+    got = suffix._block(g, 200)
+    assert got[got["kind"] == "later"][["doc_id", "lo", "hi"]].values.tolist() == [[1, at[1], at[1] + size]]
+    assert got[got["kind"] == "copy"][["doc_id", "lo", "hi"]].values.tolist() == [[i, at[i], at[i] + size] for i in (0, 1)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r[0]: bytes(r[1]).decode() for r in rows(suffix.remove_repeats(d).select("doc_id", "kept"))}
+    assert left == {i: t.replace(shared, "") for i, t in enumerate(texts)}
+
+
 def test_lpf_is_the_longest_previous_factor():
     rnd = random.Random(1)
     for n in (1, 2, 30, 120):
