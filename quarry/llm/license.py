@@ -1,7 +1,11 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance along the paths.
 
 A file's candidates are its header lines (lines with a licence cue), or the
-whole text for a licence file. Each candidate is a sparse TF-IDF vector; the
+whole text for a licence file, and word windows: where an anchor word of a
+template stands in the text, the window that lines up with the template is
+compared with it, over line breaks and inside long lines, from
+``WINDOW_COSINE`` on. The titles of licence texts are looked for in named
+licence files only. Each candidate is a sparse TF-IDF vector; the
 document frequencies of all template words are counted over all files, words
 outside the templates weigh 1. A candidate states the licence of the template
 with the largest cosine, from ``min_cosine`` on.
@@ -20,13 +24,16 @@ first path; repeated rows are returned each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import materialise, small, text_hash
 
 MIN_COSINE = 0.6
-CUE = r"(?i)licen[cs]|copyright|copyleft|public domain|all rights reserved|\bGPL|\bCC[ -]?(?:BY|0)"
+WINDOW_COSINE = 0.85
+CUE = r"(?i)licen[cs]|copyright|copyleft|public domain|all rights reserved|\bGPL|\bCC[ -]?(?:BY|0)|granted|redistribution"
 FILE_NAME = r"(?i)^(?:un)?licen[cs]e(?:[.-].*)?$|^copying(?:[.-].*)?$|^notice(?:[.-].*)?$"
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 
@@ -52,7 +59,19 @@ TEMPLATES = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("Proprietary", "Copyright. All rights reserved. Proprietary and confidential"),
+    *((f"{a}-{v}", f"under the terms of the GNU {n} General Public License as published by the Free Software Foundation, either version {w} of the License")
+      for a, n, v, w in (("GPL", "", "2.0", "2"), ("GPL", "", "3.0", "3"), ("LGPL", "Lesser", "2.1", "2.1"),
+                         ("LGPL", "Lesser", "3.0", "3"), ("AGPL", "Affero", "3.0", "3"))),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"),
 )
+# Titles of whole licence texts.
+TITLES = ()
+#: Words that a window is lined up at.
+ANCHORS = ("license", "licensed", "copyright", "domain", "granted", "redistribution", "cc", "cc0", "commons", "endorse")
+#: A text that states the second licence holds the wording of the first.
+COVERED = ("BSD-2-Clause", "BSD-3-Clause")
 
 
 def terms(text: Column) -> Column:
@@ -65,7 +84,28 @@ def templates(spark, wording=TEMPLATES) -> DataFrame:
     return spark.range(1).select(F.inline(rows))
 
 
-def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0, wording=TEMPLATES) -> DataFrame:
+def _anchors(spark, wording, n_notices: int) -> DataFrame:
+    """``word, t, off, len, title``: where the anchor words stand in each template."""
+    rows = []
+    for t, (_, text) in enumerate(wording):
+        w = re.findall(WORD, text.lower())
+        rows += [F.struct(F.lit(x).alias("word"), F.lit(t).alias("w_t"), F.lit(i).alias("off"), F.lit(len(w)).alias("len"),
+                          F.lit(t >= n_notices).alias("title")) for i, x in enumerate(w) if x in ANCHORS]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def _around(words: Column, reach: int) -> Column:
+    """``i, x, before, near``: each anchor word with ``reach`` words on both sides."""
+    def of(w):
+        at = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].isin(*ANCHORS))
+        return F.transform(at, lambda s: F.struct(
+            s["i"].alias("i"), s["x"].alias("x"), F.least(s["i"], F.lit(reach)).alias("before"),
+            F.slice(w, F.greatest(s["i"] - reach, F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("near")))
+    return F.flatten(F.transform(F.array(words), of))  # the words are split once
+
+
+def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0, wording=TEMPLATES,
+         titles=TITLES) -> DataFrame:
     """``path, h, license, how, score, from_path`` for every row of ``files(path, text)``.
 
     ``how``: ``file``, ``header``, ``inherited`` or ``none``; ``h`` is the
@@ -76,6 +116,7 @@ def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0
     src = files.select(F.col("path").cast("string").alias("path"), text_hash(text).alias("h"),
                        F.coalesce(text, F.lit("")).alias("text"))
     named = F.coalesce(F.element_at(F.split("path", "/"), -1).rlike(FILE_NAME), F.lit(False))
+    n_notices, wording = len(wording), (*wording, *titles)
     tpl = templates(spark, wording).select("t", "license", F.explode(terms(F.col("text"))).alias("term")).groupBy(
         "t", "license", "term").agg(F.count("*").alias("tf"))
     tpl = materialise(tpl, "license-templates")  # bounded: the wording
@@ -93,19 +134,29 @@ def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0
 
     # candidates: cue lines of ordinary files, the whole text of licence files
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(CUE))
-    units = src.withColumn("named", named).filter(F.col("named") | F.col("text").rlike(CUE)).select(
-        "path", "h", "named", F.size(terms(F.col("text"))).alias("n_words"),
-        F.posexplode(F.when(F.col("named"), F.array("text")).otherwise(lines)).alias("u", "line"))
-    units = materialise(units.distinct(), "license-lines")
-    bag = units.select("path", "h", "named", "n_words", "u", F.explode(terms(F.col("line"))).alias("term")).groupBy(
-        "path", "h", "named", "n_words", "u", "term").agg(F.count("*").alias("tf"))
-    key = ["path", "h", "named", "n_words", "u"]
+    cued = src.withColumn("named", named).filter(F.col("named") | F.col("text").rlike(CUE))
+    held = ["path", "h", "named", F.size(terms(F.col("text"))).alias("n_words")]
+    units = cued.select(*held, F.posexplode(F.when(F.col("named"), F.array("text")).otherwise(lines)).alias("u", "line")).select(
+        "path", "h", "named", "n_words", F.lit(-1).alias("u_t"), "u", terms(F.col("line")).alias("line"))
+    # windows: the words around an anchor, cut to line up with each template that has it
+    reach = max(len(re.findall(WORD, text.lower())) for _, text in wording)
+    spots = cued.select(*held, F.explode(_around(terms(F.col("text")), reach)).alias("s")).select(
+        "path", "h", "named", "n_words", "s.*")
+    first = F.col("before") - F.col("off")
+    windows = spots.join(F.broadcast(_anchors(spark, wording, n_notices)), (F.col("x") == F.col("word")) & (
+        F.col("named") | ~F.col("title"))).select(
+        "path", "h", "named", "n_words", F.col("w_t").alias("u_t"), (F.col("i") - F.col("off")).alias("u"),
+        F.slice("near", F.greatest(first, F.lit(0)) + 1, F.col("len") + F.least(first, F.lit(0))).alias("line"))
+    units = materialise(units.unionByName(windows).distinct(), "license-lines")
+    key = ["path", "h", "named", "n_words", "u_t", "u"]
+    bag = units.select(*key, F.explode("line").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
     by_term = F.broadcast(weights.withColumnRenamed("idf", "w_idf"))
     bag = materialise(bag.join(by_term, F.col("term") == F.col("v"), "left").select(
         *key, "term", (F.col("tf") * F.coalesce("w_idf", F.lit(1.0))).alias("w")), "license-bags")
     size = bag.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
     dot = bag.join(F.broadcast(tw.select("t", "license", F.col("term").alias("t_term"), F.col("w").alias("t_w"), "norm")),
-                   F.col("term") == F.col("t_term")).groupBy(*key, "t", "license", "norm").agg(
+                   (F.col("term") == F.col("t_term")) & F.when(F.col("u_t") < 0, F.col("t") < n_notices).otherwise(
+                       F.col("u_t") == F.col("t"))).groupBy(*key, "t", "license", "norm").agg(
         F.sum(F.col("w") * F.col("t_w")).alias("dot"))
     keyed = size.withColumnsRenamed({k: f"s_{k}" for k in key})
     same = F.lit(True)
@@ -113,8 +164,11 @@ def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0
         same = same & F.col(k).eqNullSafe(F.col(f"s_{k}"))
     cos = dot.join(keyed, same).withColumn("cos", F.round(F.col("dot") / (F.col("size") * F.col("norm")), 9))
     # the largest cosine, then the template first in order
-    best = cos.filter(F.col("cos") >= min_cosine).groupBy("path", "h", "named", "n_words").agg(
-        F.max(F.struct("cos", (-F.col("t")).alias("o"), "license")).alias("b"))
+    stated = F.struct("cos", (-F.col("t")).alias("o"), "license")
+    enough = F.when(F.col("u_t") < 0, min_cosine).otherwise(F.greatest(F.lit(min_cosine), F.lit(WINDOW_COSINE)))
+    best = cos.filter(F.col("cos") >= enough).groupBy("path", "h", "named", "n_words").agg(
+        F.max(stated).alias("b"), F.max(F.when(F.col("license") == COVERED[1], stated)).alias("more")).withColumn(
+        "b", F.when((F.col("b.license") == COVERED[0]) & F.col("more").isNotNull(), F.col("more")).otherwise(F.col("b")))
     own = materialise(best.select(F.col("path").alias("o_path"), F.col("h").alias("o_h"), F.col("b.license").alias("o_license"),
                                   F.col("b.cos").alias("o_score"), (F.col("named") | (F.col("n_words") <= notice_words)).alias("is_file")),
                       "license-own")

@@ -354,6 +354,30 @@ def test_license_inheritance(spark):
     assert license.scan(d.limit(0)).collect() == []
 
 
+MIT_TEXT = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction."""
+
+
+def test_license_wrapped_headers(spark):
+    """Notices over several lines, without the word licence, inside one long line."""
+    want, files = {}, []
+    gpl = ("# This program is free software; you can redistribute it and/or modify\n"
+           "# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation; either version {} of the License, or\n# (at your option) any later version.\ncode")
+    long_ = " ".join(f"w{i % 90}" for i in range(240))
+    for path, text, said in (("/h/gpl2.py", gpl.format(2), "GPL-2.0"), ("/h/gpl3.py", gpl.format(3), "GPL-3.0"), ("/h/mit.c", MIT_TEXT, "MIT"),
+                             ("/h/long.txt", long_ + " Licensed under the Apache License, Version 2.0", "Apache-2.0")):
+        files.append((path, text))
+        want[path] = (said, "header")
+    files.append(("/h/none.txt", "The permission was granted and the license of the driver is in the domain of the state."))
+    want["/h/none.txt"] = (None, "none")
+    got = license.scan(spark.createDataFrame(files, "path string, text string")).collect()
+    assert {r["path"]: (r["license"], r["how"]) for r in got} == want
+
+
 # ------------------------------------------------------------------ vectors
 def test_vectors_edges(spark):
     rng = np.random.default_rng(2)
