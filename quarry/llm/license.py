@@ -67,7 +67,22 @@ TEMPLATES = (
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"),
 )
 # Titles of whole licence texts.
-TITLES = ()
+TITLES = (
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-1.0", "GNU General Public License Version 1, February 1989"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.0", "GNU Library General Public License Version 2, June 1991"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-1.1", "Mozilla Public License Version 1.1"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    *((f"CC-{i}-4.0", f"Creative Commons Attribution{n} 4.0 International Public License") for i, n in (
+        ("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"), ("BY-ND", "-NoDerivatives"),
+        ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives"))),
+)
 #: Words that a window is lined up at.
 ANCHORS = ("license", "licensed", "copyright", "domain", "granted", "redistribution", "cc", "cc0", "commons", "endorse")
 #: A text that states the second licence holds the wording of the first.

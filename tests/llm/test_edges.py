@@ -354,6 +354,7 @@ def test_license_inheritance(spark):
     assert license.scan(d.limit(0)).collect() == []
 
 
+COMMON = "/usr/share/common-licenses/"
 MIT_TEXT = """Copyright (c) 2020 Someone
 
 Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -378,6 +379,18 @@ def test_license_wrapped_headers(spark):
     assert {r["path"]: (r["license"], r["how"]) for r in got} == want
 
 
+def test_license_full_texts(spark):
+    """Whole licence texts; the files beside them inherit."""
+    want, files = {}, []
+    for name, said in (("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"),
+                       ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("BSD", "BSD-3-Clause")):
+        with open(COMMON + name) as f:
+            files += [(f"/{name}/LICENSE", f.read()), (f"/{name}/x.py", "code")]
+        want |= {f"/{name}/LICENSE": (said, "file"), f"/{name}/x.py": (said, "inherited")}
+    got = license.scan(spark.createDataFrame(files, "path string, text string")).collect()
+    assert {r["path"]: (r["license"], r["how"]) for r in got} == want
+
+
 # ------------------------------------------------------------------ vectors
 def test_vectors_edges(spark):
     rng = np.random.default_rng(2)
