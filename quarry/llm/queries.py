@@ -4,14 +4,19 @@ digest columns derived from the operator's own output."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, decontam, license, linededup, mixing, sharding, simhash, suffix, toxicity, urlfilter
+from quarry.llm import (ann, decontam, license, linededup, linefreq, mixing, pivotkmeans, sharding, simhash, suffix,
+                        tokenalign, toxicity, urlfilter)
 from quarry.llm.sql import ORACLES
 from quarry.sources.tables import table
 
+#: Folder of the tokenizer files, read on the driver.
+TOKENIZERS = "/opt/tokenizers"
+
 
 def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
@@ -72,10 +77,26 @@ def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the documents' sources."""
+    return linefreq.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op12_ptolemaic_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotkmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    a, b = (Path(tokenizers, f).read_bytes() for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return tokenalign.alignment(table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_multi_index, op2_decontaminate, op3_url_filter, op4_interleave, op5_suffix_dedup, op6_simhash,
-        op7_line_dedup, op8_toxicity, op9_license_scan, op10_cube_mix)}
+        op7_line_dedup, op8_toxicity, op9_license_scan, op10_cube_mix, op11_line_frequency, op12_ptolemaic_kmeans,
+        op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:

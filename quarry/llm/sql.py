@@ -119,6 +119,67 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
+_SPACED = r"regexp_replace({x}, '[\x20\x09-\x0D]+', ' ', 'g')"
+_AZ = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce('h' || source, '') AS host FROM documents),
+w AS (SELECT r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+one AS (SELECT r, unnest(ws) AS x, unnest(range(len(ws))) AS i FROM w),
+win AS (SELECT * FROM (SELECT r, i, x, lead(x, 1) OVER o AS y, lead(x, 2) OVER o AS z FROM one
+  WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE z IS NOT NULL),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x, y, z) AS c FROM win) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n_repeat FROM twice, range(3) t(k) GROUP BY r),
+cut AS (SELECT r, host, text, unnest(string_split(text, chr(10))) AS raw FROM d),
+lines AS (SELECT r, host, text, raw, {_AZ.format(x=f"trim({_SPACED.format(x='raw')})")} AS line
+  FROM cut WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
+dup AS (SELECT r, count(*) - count(DISTINCT raw) AS n_dup FROM lines GROUP BY r),
+hosts AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host),
+freq AS (SELECT host, line FROM lines JOIN hosts USING (host) GROUP BY host, line, host_docs
+  HAVING count(DISTINCT text) > greatest(20, 0.01 * host_docs)),
+gone AS (SELECT r, sum(len(string_split(line, ' '))) AS n_gone FROM lines JOIN freq USING (host, line) GROUP BY r),
+s AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+    coalesce(n_repeat, 0) AS n_repeat_words, coalesce(n_gone, 0) AS n_gone
+  FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_gone > 0 AND (n_words - n_gone < 25 OR n_words - n_gone < 0.5 * n_words)) AS kept
+FROM f
+"""
+
+
+def _kmeans_sql(k: int = 16, rounds: int = 3) -> str:
+    """Rounds written out one after the other, every distance computed."""
+    near = """
+a{r} AS (SELECT r, arg_min(num, (dist, num)) AS cluster, min(dist) AS dist FROM (
+  SELECT k.r, c.num, list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS dist
+  FROM kept k, c{r} c) GROUP BY r)"""
+    move = """
+s{r} AS (SELECT cluster, i, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+  SELECT a.cluster, unnest(k.v) AS x, unnest(range(64)) AS i FROM a{r} a JOIN kept k USING (r)) GROUP BY cluster, i),
+m{r} AS (SELECT cluster AS num, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY cluster),
+c{n} AS (SELECT c.num, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (num))"""
+    steps = [(near + "," + move).format(r=r, n=r + 1) for r in range(rounds)] + [near.format(r=rounds)]
+    return f"""
+WITH raw AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(e, lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM raw
+  WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS num, v FROM kept QUALIFY num < {k}),
+{",".join(steps)},
+per AS (SELECT cluster, sum(dist)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY cluster)
+SELECT k.vec_id, a.cluster::INTEGER AS cluster, a.dist AS distance, p.cluster_inertia,
+  (SELECT sum(cluster_inertia)::BIGINT FROM per) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept k USING (r) JOIN per p USING (cluster) JOIN c{rounds} c ON c.num = a.cluster
+"""
+
+
 ORACLES = {
     "op2_decontaminate": OP2, "op3_url_filter": OP3, "op5_suffix_dedup": OP5, "op7_line_dedup": OP7,
+    "op11_line_frequency": OP11, "op12_ptolemaic_kmeans": _kmeans_sql(),
 }
