@@ -21,7 +21,6 @@ document in the counts and have a result each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import base64
 import functools
 import hashlib
 import json
@@ -29,14 +28,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_BYTES, materialise, text_hash
 
 #: Links expanded at once.
-RUN = 1 << 21
+RUN = 1 << 18
 #: Result rows held at once.
 ROWS = 500
 #: Bytes of a broadcast row of (pair, count, best).
@@ -48,19 +47,25 @@ PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 
 class Vocabulary:
-    """``encode(text)`` to ids, and ``parts``: the bytes of every id."""
+    """``encode(text)`` to ids, ``parts``: the bytes of every id, and ``lead``: what goes before a text.
 
-    def __init__(self, encode, parts: list[bytes], lead: str):
-        self.encode, self.parts, self.lead = encode, parts, lead
+    ``lossless``: the bytes of the ids of any string are that string's bytes.
+    """
+
+    def __init__(self, encode, parts: list[bytes], lead: str, lossless: bool = False):
+        self.encode, self.parts, self.lead, self.lossless = encode, parts, lead, lossless
         self.lengths = np.array([len(p) for p in parts], dtype=np.int64)
-        self.ends = [[f"{i}{sep}" for i in range(len(parts))] for sep in (",", "|", ";")]
+
+    def spells(self, ids: list[int], want: bytes) -> bool:
+        return self.lossless or b"".join(map(self.parts.__getitem__, ids)) == want
 
 
 def byte_level(data: bytes) -> Vocabulary:
     """A byte-level BPE in the JSON format of ``tokenizers``; special strings are plain text.
 
     Where every merge makes the next larger id, as in vocabularies numbered by
-    training order, ids are merge ranks and the faster ``tiktoken`` encodes.
+    training order, ids are merge ranks and the faster ``tiktoken`` encodes; with
+    all 256 bytes in the vocabulary and no normaliser it loses nothing.
     """
     spec = json.loads(data)
     model = spec["model"]
@@ -81,7 +86,7 @@ def byte_level(data: bytes) -> Vocabulary:
         import tiktoken
 
         return Vocabulary(tiktoken.Encoding("byte_level", pat_str=SPLIT, mergeable_ranks=ranks,
-                                            special_tokens={}).encode_ordinary, parts, " ")
+                                            special_tokens={}).encode_ordinary, parts, " ", lossless=True)
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_str(data.decode())
@@ -108,17 +113,25 @@ def _load(data: bytes) -> Vocabulary:
     return byte_level(data) if data.lstrip()[:1] == b"{" else pieces(data)
 
 
-@functools.lru_cache(maxsize=4)
-def _cached(encoded: bytes) -> Vocabulary:
-    return _load(base64.b64decode(encoded))
+class Pair:
+    """Both vocabularies, and the text of every id with each separator that may follow it."""
+
+    def __init__(self, a_file: bytes, b_file: bytes):
+        self.a, self.b = _load(a_file), _load(b_file)
+        self.na, self.nb = len(self.a.parts), len(self.b.parts)
+        self.written = [f"{i}{sep}" for n, close in ((self.na, "|"), (self.nb, ";")) for sep in (",", close) for i in range(n)]
+
+
+@functools.lru_cache(maxsize=2)
+def _cached(a_file: bytes, b_file: bytes) -> Pair:
+    return Pair(a_file, b_file)
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions (one past) in both lists of token ends where both tokens end."""
     at_a, at_b = dict(zip(a.tolist(), range(1, len(a) + 1))), dict(zip(b.tolist(), range(1, len(b) + 1)))
     both = sorted(at_a.keys() & at_b.keys())
-    n = len(both)
-    return (np.fromiter(map(at_a.__getitem__, both), np.int64, n), np.fromiter(map(at_b.__getitem__, both), np.int64, n))
+    return tuple(np.fromiter(map(at.__getitem__, both), np.int64, len(both)) for at in (at_a, at_b))
 
 
 def _expanded(a: np.ndarray, b: np.ndarray, sa: np.ndarray, sb: np.ndarray, na: np.ndarray, nb: np.ndarray,
@@ -164,68 +177,63 @@ def links(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, wi
     return _summed(found)
 
 
-def _listed(ids: np.ndarray, cut: np.ndarray, v: Vocabulary, last: int) -> list[str]:
-    """Every id with its separator: a comma, or the one that closes its group."""
-    sep = np.zeros(len(ids), np.int64)
-    sep[cut - 1] = last
-    comma, close = v.ends[0], v.ends[last]
-    return [close[i] if s else comma[i] for i, s in zip(ids.tolist(), sep.tolist())]
+def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, v: Pair) -> str:
+    """``a1,a2|b1;a3|b2,b3``."""
+    code_a, code_b = a.copy(), b + 2 * v.na
+    code_a[cut_a - 1] += v.na
+    code_b[cut_b - 1] += v.nb
+    at = np.empty(len(a) + len(b), np.int64)
+    at[np.arange(len(a)) + np.repeat(np.concatenate([[0], cut_b[:-1]]), np.diff(cut_a, prepend=0))] = code_a
+    at[np.arange(len(b)) + np.repeat(cut_a, np.diff(cut_b, prepend=0))] = code_b
+    return "".join(map(v.written.__getitem__, at.tolist()))[:-1]
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, va: Vocabulary, vb: Vocabulary) -> str:
-    """``a1,a2|b1;a3|b2,b3``."""
-    left, right = _listed(a, cut_a, va, 1), _listed(b, cut_b, vb, 2)
-    n, m = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
-    if len(left) == len(n) and len(right) == len(m):
-        out = [x for pair in zip(left, right) for x in pair]
-    else:
-        at = np.empty(len(left) + len(right), object)
-        at[np.arange(len(left)) + np.repeat(cut_b - m, n)] = left
-        at[np.arange(len(right)) + np.repeat(cut_a, m)] = right
-        out = at.tolist()
-    return "".join(out)[:-1]
-
-
-def align(text: str | None, va: Vocabulary, vb: Vocabulary):
+def align(text: str | None, v: Pair):
     """``ids_a, ids_b, cut_a, cut_b`` of a text, or None if it has no tokens."""
     if not text:
         return None
     want = (" " + text).encode()
-    a, b = va.encode(va.lead + text), vb.encode(vb.lead + text)
-    if b"".join(map(va.parts.__getitem__, a)) != want or b"".join(map(vb.parts.__getitem__, b)) != want:
+    a, b = v.a.encode(v.a.lead + text), v.b.encode(v.b.lead + text)
+    if not (v.a.spells(a, want) and v.b.spells(b, want)):
         return None
     a, b = np.array(a, np.int64), np.array(b, np.int64)
-    return a, b, *common_ends(np.cumsum(va.lengths[a]), np.cumsum(vb.lengths[b]))
+    return a, b, *common_ends(np.cumsum(v.a.lengths[a]), np.cumsum(v.b.lengths[b]))
+
+
+def measure(text: str | None, v: Pair) -> tuple:
+    """``n_a, n_b, n_groups, n_links, groups_sha256, pairs, times`` of a text."""
+    got = align(text, v)
+    if got is None:
+        return 0, 0, 0, 0, "", (), ()
+    a, b, cut_a, cut_b = got
+    pairs, times = links(a, b, cut_a, cut_b, v.nb)
+    sha = hashlib.sha256(groups_text(a, b, cut_a, cut_b, v).encode()).hexdigest()
+    return len(a), len(b), len(cut_a), int(times.sum()), sha, pairs, times
 
 
-def _encoded(docs: DataFrame, a_file: bytes, b_file: bytes) -> DataFrame:
+def _lists(arrays: list, kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays), kind))
+
+
+def _encoded(docs: DataFrame, a_file: bytes, b_file: bytes, v: Pair) -> DataFrame:
     """Per row: its measures, and its distinct pairs with their times."""
-    sc = docs.sparkSession.sparkContext
-    files = sc.broadcast((base64.b64encode(a_file), base64.b64encode(b_file)))
-    va, vb = _load(a_file), _load(b_file)
-    code = "int" if len(va.parts) * len(vb.parts) < 1 << 31 else "long"
+    files = docs.sparkSession.sparkContext.broadcast((a_file, b_file))
+    code = "int" if v.na * v.nb < 1 << 31 else "long"
     text = F.col("text").cast("string")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(text).alias("h"), text.alias("text"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        va, vb = (_cached(f) for f in files.value)
-        for pdf in (whole[i:i + ROWS] for whole in batches for i in range(0, len(whole), ROWS)):
-            out = []
-            for text in pdf["text"]:
-                got = align(text, va, vb)
-                if got is None:
-                    out.append((0, 0, 0, 0, "", [], []))
-                    continue
-                a, b, cut_a, cut_b = got
-                pairs, times = links(a, b, cut_a, cut_b, len(vb.parts))
-                sha = hashlib.sha256(groups_text(a, b, cut_a, cut_b, va, vb).encode()).hexdigest()
-                out.append((len(a), len(b), len(cut_a), int(times.sum()), sha,
-                            pairs.astype(np.int32 if code == "int" else np.int64), times))
-            cols = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
-            yield pd.concat([pdf[["doc_id", "h"]].reset_index(drop=True), pd.DataFrame(out, columns=cols)], axis=1)
-
-    rows = src.mapInPandas(run, "doc_id long, h long, n_a long, n_b long, n_groups long, n_links long, "
-                                f"groups_sha256 string, pairs array<{code}>, times array<long>")
+    names = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, kind = _cached(*files.value), pa.int32() if code == "int" else pa.int64()
+        for part in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
+            *plain, pairs, times = zip(*(measure(t.as_py(), v) for t in part.column(2)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), *(pa.array(c, pa.int64()) for c in plain[:4]), pa.array(plain[4], pa.string()),
+                 _lists(pairs, kind), _lists(times, pa.int64())], ["doc_id", "h", *names])
+
+    rows = src.mapInArrow(run, "doc_id long, h long, n_a long, n_b long, n_groups long, n_links long, "
+                               f"groups_sha256 string, pairs array<{code}>, times array<long>")
     return rows.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -256,9 +264,9 @@ def _split(counts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 def alignment(docs: DataFrame, a_file: bytes, b_file: bytes) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per row of ``docs``."""
-    width = len(_load(b_file).parts)
-    rows = materialise(_encoded(docs, a_file, b_file), "align-rows")
-    counts = materialise(pair_counts(rows, width), "align-counts")
+    v = Pair(a_file, b_file)
+    rows = materialise(_encoded(docs, a_file, b_file, v), "align-rows")
+    counts = materialise(pair_counts(rows, v.nb), "align-counts")
     hot, cold = _split(counts)
     each = rows.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("z")).select(
         "row", F.col("z.pairs").alias("pair"), F.col("z.times").alias("t"))
