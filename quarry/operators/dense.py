@@ -12,11 +12,13 @@ Candidate-restricted search (rerank) joins queries with the chunks of their
 own candidate documents — bounded by the stage-1 k — and computes distances
 with built-in array expressions.
 
-Embedding plug-in: ``embed_fn(tokens: np.ndarray[int64, (n, L)]) ->
-np.ndarray[float32, (n, dims)]``. The default is a deterministic stand-in
-(no model files are available here): each token id has a fixed pseudo-random
-vector; a text's vector is the mean over all positions, padding included —
-the same pooling as the reference model call.
+Embedding: by default signed feature hashing as a JVM expression
+(``hashed_vector``), a deterministic stand-in for a model: the MD5 of a token id
+names a dimension and a sign, and a text's vector is the mean over all
+positions, padding included (a padding position adds nothing), the pooling of
+the reference model call. A model is a plug-in, ``embed_fn(tokens: list of
+arrays) -> np.ndarray[float32, (n, dims)]``, built once per worker and fed Arrow
+batches.
 """
 
 from __future__ import annotations
@@ -31,40 +33,88 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from quarry.config import DEFAULT, Params
-from quarry.operators.chunk import HASH_VOCAB
 
 
-@lru_cache(maxsize=4)
-def _token_table(vocab: int, dims: int, seed: int) -> np.ndarray:
-    rng = np.random.default_rng(seed)
-    return rng.standard_normal((vocab + 1, dims)).astype(np.float32)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also where lambdas read it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _counts(codes: Column) -> Column:
+    """Map of the values of a sorted array to how often they occur (by run ends)."""
+    def ends(s):
+        last = F.filter(F.sequence(F.lit(1), F.size(s)),
+                        lambda i: (i == F.size(s)) | (F.element_at(s, i) != F.try_element_at(s, i + 1)))
+        return _let(last, lambda e: F.map_from_arrays(
+            F.transform(e, lambda x: F.element_at(s, x)),
+            F.transform(e, lambda x, j: x - F.when(j == 0, 0).otherwise(F.element_at(e, F.greatest(j, F.lit(1)))))))
+    return _let(codes, ends)
+
+
+def token_code(token: Column, dims: int) -> Column:
+    """Dimension and sign of a token id: ``2 * dimension + (1 if positive)``."""
+    return F.conv(F.substring(F.md5(token.cast("string")), 1, 8), 16, 10).cast("long") % (2 * dims)
+
+
+def hashed_vector(tokens: Column, dims: int, pad_id: int, positions: int = 0) -> Column:
+    """``array<bigint>`` token ids to their hashed vector ``array<float>`` of ``dims``.
+
+    The mean is taken over the array's length or ``positions``, whichever is
+    larger. Null arrays give null, arrays without a token zeros.
+    """
+    codes = F.array_sort(F.transform(F.filter(tokens, lambda t: t != pad_id), lambda t: token_code(t, dims)))
+    n = F.greatest(F.size(tokens), F.lit(max(positions, 1)))
+
+    def vector(m):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long")), lambda i: (
+            (F.coalesce(F.element_at(m, 2 * i + 1), F.lit(0)) - F.coalesce(F.element_at(m, 2 * i), F.lit(0))) / n).cast("float"))
+
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), dims)
+    return F.when(tokens.isNull(), None).when(F.exists(tokens, lambda t: t != pad_id), _let(_counts(codes), vector)).otherwise(zeros)
+
 
+def hashing_fn(dims: int, pad_id: int, positions: int = 0) -> Callable:
+    """The hashed vectors as an ``embed_fn``: a plug-in whose results SQL can repeat."""
+    import hashlib
+
+    @lru_cache(maxsize=1 << 16)
+    def code(token: int) -> int:
+        return int(hashlib.md5(str(token).encode()).hexdigest()[:8], 16) % (2 * dims)
 
-def default_embed_fn(dims: int = 64, seed: int = 7, vocab: int = HASH_VOCAB) -> Callable:
     def fn(tokens: list) -> np.ndarray:
-        table = _token_table(vocab, dims, seed)
         out = np.zeros((len(tokens), dims), dtype=np.float32)
-        for i, t in enumerate(tokens):
-            ids = np.asarray(t, dtype=np.int64) % (vocab + 1)
-            if ids.size:
-                out[i] = table[ids].mean(axis=0)
+        for row, ids in zip(out, tokens):
+            c = np.array([code(int(t)) for t in ids if t != pad_id], dtype=np.int64)
+            signed = np.bincount(c >> 1, weights=2 * (c & 1) - 1, minlength=dims)
+            row[:] = signed / max(len(ids), positions, 1)
         return out
     return fn
 
 
-def embed_udf(embed_fn: Callable | None = None, dims: int = 64):
-    """Iterator pandas UDF ``array<bigint> -> array<float>``; the model
-    (``embed_fn``) is built once per Python worker and fed Arrow batches."""
-    fn = embed_fn or default_embed_fn(dims)
-
+def embed_udf(build: Callable[[], Callable]):
+    """R7 with a model: iterator pandas UDF ``array<bigint> -> array<float>``.
+    ``build()`` makes the ``embed_fn`` (loads the model) once per Python worker."""
     @F.pandas_udf(ArrayType(FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = None
         for toks in batches:
-            vecs = fn(list(toks))
-            yield pd.Series(list(vecs))
+            fn = fn or build()
+            known = toks.notna()
+            out = pd.Series([None] * len(toks), index=toks.index, dtype=object)
+            if known.any():
+                out[known] = pd.Series(list(fn(list(toks[known]))), index=toks.index[known])
+            yield out
     return _embed
 
 
+def embedding(tokens: Column, params: Params = DEFAULT, build: Callable[[], Callable] | None = None,
+              positions: int = 0) -> Column:
+    """Vector of a token array: the hashed one, or the plug-in's that ``build()`` makes."""
+    if build is None:
+        return hashed_vector(tokens, params.dims, params.pad_token_id, positions)
+    return embed_udf(build)(tokens)
+
+
 def sq_l2(a: Column, b: Column) -> Column:
     """Squared Euclidean distance of two equal-length arrays (in double)."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) ** 2),

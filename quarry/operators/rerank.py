@@ -25,16 +25,22 @@ from quarry.plans.util import bounded_broadcast
 
 def embed_chunks(docs: DataFrame, params: Params = DEFAULT, embed_fn: Callable | None = None,
                  splitter: str = "\n\n") -> DataFrame:
-    """``doc_id, piece_no, win_no, text_idx, text_len, vector``."""
+    """``doc_id, piece_no, win_no, text_idx, text_len, vector``.
+
+    ``embed_fn``: a function without arguments that loads a model and returns
+    its ``list of token arrays -> vectors``; without it vectors are hashed.
+    """
     ch = C.direct_split(docs, params, splitter)
-    emb = D.embed_udf(embed_fn, params.dims)
     return ch.select("doc_id", "piece_no", "win_no", "text_idx", "text_len",
-                     emb(F.col("tokens")).alias("vector"))
+                     D.embedding(F.col("tokens"), params, embed_fn).alias("vector"))
 
 
 def embed_queries(queries: DataFrame, params: Params = DEFAULT, embed_fn: Callable | None = None) -> DataFrame:
-    emb = D.embed_udf(embed_fn, params.dims)
-    return queries.select("query_id", emb(C.hash_tokenizer(F.col("query"))).alias("qvec"))
+    """``query_id, qvec``: whole queries, padded to the context length as chunks are."""
+    tokens = C.hash_tokenizer(F.col("query"))
+    padded = F.concat(tokens, F.array_repeat(F.lit(params.pad_token_id).cast("long"),
+                                             F.greatest(F.lit(params.context_length) - F.size(tokens), F.lit(0))))
+    return queries.select("query_id", D.embedding(padded, params, embed_fn).alias("qvec"))
 
 
 def passage_search(queries: DataFrame, candidates: DataFrame, docs: DataFrame, bound_rows: int,

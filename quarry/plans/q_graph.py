@@ -12,8 +12,9 @@ from quarry.operators import rerank as RR
 from quarry.operators import search as S
 from quarry.operators import terms as TM
 from quarry.plans.catalog import register
+from quarry.plans.q_dense import sql_passages, sql_vectors
 from quarry.plans.q_text import sql_html_text, sql_lines, sql_strip
-from quarry.plans.sql import lit
+from quarry.plans.sql import bm25_scores_cte, corpus_ctes, lit, query_ctes, top_k_cte
 from quarry.sources import tables
 
 P = DEFAULT
@@ -74,7 +75,25 @@ def g3_merge_graphs(spark, sf_dir):
     return G.merge_graphs(a, b, key="title", order_col="ord").select("title", "source", "ord", "text_len")
 
 
-@register("r13_graph_rerank")
+PAGE_DOCS = f"page_docs AS (SELECT page_id AS doc_id, url, {sql_html_text('html')} AS text FROM pages)"
+
+
+def _r13_sql() -> str:
+    corpus = corpus_ctes("page_docs").strip()
+    return f"""
+WITH RECURSIVE {EDGES_SQL.strip()},
+{PAGE_DOCS},
+{corpus},
+{query_ctes().strip()},{bm25_scores_cte('scores', P.k1, P.b)},{top_k_cte('stage1', 'scores', P.top_k)},
+bfs(query_id, node, depth) AS (
+  SELECT s.query_id, p.url, 0 FROM stage1 s JOIN page_docs p USING (doc_id)
+  UNION
+  SELECT b.query_id, c.dst, b.depth + 1 FROM bfs b JOIN capped c ON c.src = b.node WHERE b.depth < {DEPTH}),
+cand AS (SELECT DISTINCT b.query_id, p.doc_id FROM bfs b JOIN page_docs p ON p.url = b.node),
+{sql_vectors('page_docs', 'WHERE doc_id IN (SELECT doc_id FROM cand)')}{sql_passages('cand', P.top_k)}"""
+
+
+@register("r13_graph_rerank", _r13_sql())
 def r13_graph_rerank(spark, sf_dir):
     """Stage 1: BM25 over page texts; start nodes = urls of the hits; BFS over
     the page-href-page graph; passages of the reached pages ranked by vector

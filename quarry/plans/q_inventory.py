@@ -44,7 +44,7 @@ for _new, _old in [
     ("o1_or_union", "i2_or_candidates"), ("o5_distinct_sorted", "e5_all_articles"),
     ("o6_merge_last_wins", "g3_merge_graphs"), ("c4_low_level_split", "c5_recursive_chunks"),
     ("r11_passage_spans", "r12_rerank"), ("n2_partition_overwrite", "s9_vector_table"),
-    ("n3_skip_existing", "s11_shard_sink"), ("u3_embedding_plugin", "r7_embed_chunks"),
+    ("n3_skip_existing", "s11_shard_sink"),
 ]:
     alias(_new, _old)
 

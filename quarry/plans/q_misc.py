@@ -60,11 +60,10 @@ def f2_path_filter(spark, sf_dir):
              .select("page_id", "url")
 
 
-@register("s5_parquet_read", "SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en'")
+@register("s5_parquet_read", "SELECT doc_id, lang, source, n_chars FROM documents")
 def s5_parquet_read(spark, sf_dir):
-    """Column-pruned scan with a pushed-down filter."""
-    return tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars") \
-                 .filter(F.col("lang") == "en")
+    """Column-pruned scan of the whole table."""
+    return tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
 
 
 KEYS_SQL = "SELECT source || '.zim' || CAST(doc_id AS VARCHAR) AS key FROM documents"
@@ -72,18 +71,18 @@ KEYS_SQL = "SELECT source || '.zim' || CAST(doc_id AS VARCHAR) AS key FROM docum
 
 @register("f12_key_split", f"""
 SELECT key, regexp_extract(key, {lit(KEY_RE)}, 1) AS file,
-       TRY_CAST(regexp_extract(key, {lit(KEY_RE)}, 2) AS INTEGER) AS entry_id
+       TRY_CAST(regexp_extract(key, {lit(KEY_RE)}, 2) AS BIGINT) AS entry_id
 FROM ({KEYS_SQL})""")
 def f12_key_split(spark, sf_dir):
     k = _docs(spark, sf_dir).select(F.concat("file", F.lit(".zim"), F.col("doc_id").cast("string")).alias("key"))
     return k.select("key", F.regexp_extract("key", KEY_RE, 1).alias("file"),
-                    F.regexp_extract("key", KEY_RE, 2).try_cast("int").alias("entry_id"))
+                    F.regexp_extract("key", KEY_RE, 2).try_cast("long").alias("entry_id"))
 
 
 @register("s13_bulk_lookup", f"""
 WITH keys AS ({KEYS_SQL} UNION ALL SELECT url AS key FROM pages),
 split AS (SELECT key, regexp_extract(key, {lit(KEY_RE)}, 1) AS file,
-                 TRY_CAST(regexp_extract(key, {lit(KEY_RE)}, 2) AS INTEGER) AS entry_id FROM keys)
+                 TRY_CAST(regexp_extract(key, {lit(KEY_RE)}, 2) AS BIGINT) AS entry_id FROM keys)
 SELECT s.key, coalesce(d.source, '') AS file, coalesce(CAST(d.doc_id AS VARCHAR), '') AS entry,
        coalesce(list_filter({sql_lines('d.text')}, lambda x: {sql_strip('x')} <> '')[1], '') AS title
 FROM split s LEFT JOIN documents d ON d.source || '.zim' = s.file AND d.doc_id = s.entry_id""")
@@ -93,8 +92,8 @@ def s13_bulk_lookup(spark, sf_dir):
     keys = d.select(F.concat("file", F.lit(".zim"), F.col("doc_id").cast("string")).alias("key")) \
             .unionByName(tables.pages(spark, sf_dir).select(F.col("url").alias("key")))
     split = keys.select("key", F.regexp_extract("key", KEY_RE, 1).alias("kfile"),
-                        F.regexp_extract("key", KEY_RE, 2).try_cast("int").alias("entry_id"))
-    dd = d.select(F.concat("file", F.lit(".zim")).alias("kfile"), F.col("doc_id").cast("int").alias("entry_id"),
+                        F.regexp_extract("key", KEY_RE, 2).try_cast("long").alias("entry_id"))
+    dd = d.select(F.concat("file", F.lit(".zim")).alias("kfile"), F.col("doc_id").cast("long").alias("entry_id"),
                   F.col("file").alias("dfile"), "doc_id", T.title("text").alias("title"))
     j = split.join(dd, ["kfile", "entry_id"], "left")
     return j.select("key", F.coalesce("dfile", F.lit("")).alias("file"),
