@@ -43,8 +43,7 @@ for _new, _old in [
     ("w3_result_order", "r4_tfidf_search"), ("w10_hit_position", "e3_hit_positions"),
     ("o1_or_union", "i2_or_candidates"), ("o5_distinct_sorted", "e5_all_articles"),
     ("o6_merge_last_wins", "g3_merge_graphs"), ("c4_low_level_split", "c5_recursive_chunks"),
-    ("r11_passage_spans", "r12_rerank"), ("n2_partition_overwrite", "s9_vector_table"),
-    ("n3_skip_existing", "s11_shard_sink"),
+    ("r11_passage_spans", "r12_rerank"),
 ]:
     alias(_new, _old)
 

@@ -15,6 +15,7 @@ from quarry.operators.rerank import embed_chunks
 from quarry.plans.catalog import REGISTRY, register
 from quarry.plans.q_dense import CHUNK_VECTORS_SQL
 from quarry.session import scratch_path
+from quarry.sources import builds as B
 from quarry.sources import storage as ST
 from quarry.sources import tables
 from quarry.streaming.incremental import stream_build
@@ -72,16 +73,33 @@ def s8_format_preference(spark, sf_dir):
     return s.select(F.col("corpus_size").cast("long"), F.round("avg_doc_len", 6).alias("avg_doc_len"))
 
 
-@register("s11_shard_sink", _sql("i1_sharded_postings"))
-def s11_shard_sink(spark, sf_dir):
+def _postings(spark, sf_dir):
     from quarry.plans.q_index import SHARD_CAP
     idx = TM.SparseIndex(_docs(spark, sf_dir), "basic", P)
     ids = IX.doc_ids(tables.documents(spark, sf_dir, with_text=False))
-    post = IX.sharded_postings(IX.postings_rows(idx.terms, ids), IX.shard_by_df(idx.df, SHARD_CAP))
+    return IX.sharded_postings(IX.postings_rows(idx.terms, ids), IX.shard_by_df(idx.df, SHARD_CAP))
+
+
+def _shards(spark, path):
+    return B.read_build(spark, path).select(F.col("shard").cast("long"), "word", "doc_int")
+
+
+@register("s11_shard_sink", _sql("i1_sharded_postings"))
+def s11_shard_sink(spark, sf_dir):
     path = _fresh(spark, "shards")
-    ST.write_shards(post, path)
-    ST.write_shards(post.limit(0), path)   # N3: existing output is kept
-    return spark.read.parquet(path).select(F.col("shard").cast("long"), "word", "doc_int")
+    ST.write_shards(_postings(spark, sf_dir), path)
+    return _shards(spark, path)
+
+
+@register("n3_skip_existing", _sql("i1_sharded_postings"))
+def n3_skip_existing(spark, sf_dir):
+    """A run that was killed after half of its shards has listed nothing: the
+    next run builds again, and the one after it finds a complete output."""
+    post, path = _postings(spark, sf_dir), _fresh(spark, "shards")
+    B.write_part(post.filter(F.col("shard") % 2 == 0), path, "shard")
+    wrote = [ST.write_shards(post, path), ST.write_shards(post.limit(0), path)]
+    assert wrote == [True, False], "an unlisted output must be rebuilt, a complete one kept"
+    return _shards(spark, path)
 
 
 FILE_VECTORS_SQL = CHUNK_VECTORS_SQL.rsplit("SELECT", 1)[0] + """
@@ -104,6 +122,23 @@ def s9_vector_table(spark, sf_dir):
     return spark.read.parquet(path).select("doc_id", "piece_no", "win_no", "vector", "file")
 
 
+@register("n2_partition_overwrite", FILE_VECTORS_SQL)
+def n2_partition_overwrite(spark, sf_dir):
+    """Vectors per file, over a run that finished some files, a killed run that
+    listed nothing, and a listed part that has lost rows: a resumed run builds
+    the files that are not whole, and a further one finds nothing to do."""
+    docs, path = _docs(spark, sf_dir), _fresh(spark, "vectors")
+    third = F.pmod(F.crc32(F.col("file").cast("binary")), F.lit(3))
+    B.resume_files(docs.filter(third == 0), path, _file_vectors)
+    B.write_part(_file_vectors(docs.filter(third == 1)), path)
+    lost = _file_vectors(docs.filter(third == 2))
+    part = B.write_part(lost.filter("win_no = 0"), path)
+    B.list_part(spark, path, lost.groupBy("file").agg(F.count("*").alias("rows")).select(F.lit(part).alias("part"), "file", "rows"))
+    B.resume_files(docs, path, _file_vectors)
+    assert B.resume_files(docs, path, _file_vectors) == 0, "a whole build must be left alone"
+    return B.read_files(spark, path).select("doc_id", "piece_no", "win_no", "vector", "file")
+
+
 @register("n4_resume_vectors", FILE_VECTORS_SQL)
 def n4_resume_vectors(spark, sf_dir):
     """A run that embedded the entries of some files only is resumed: the next

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
+from quarry.sources.builds import build_once
+
+
 def _absent(e: AnalysisException) -> bool:
     """Whether the error says that the path does not exist (anything else is raised)."""
     return e.getCondition() == "PATH_NOT_FOUND"
@@ -115,12 +118,15 @@ def read_stats(spark: SparkSession, path: str, corpus_size: int = -1, avg_doc_le
 
 # ---- S11 / N3 ---------------------------------------------------------------------------
 
-def write_shards(postings: DataFrame, path: str, overwrite: bool = False) -> None:
-    """One directory per shard, rows sorted by word; an existing output
-    is kept unless ``overwrite`` (N3). Rows are dealt by ranges of (shard,
-    word, doc), so a large shard is written by several tasks."""
-    (postings.repartitionByRange("shard", "word", "doc_int").sortWithinPartitions("shard", "word", "doc_int")
-             .write.mode("overwrite" if overwrite else "ignore").partitionBy("shard").parquet(path))
+def write_shards(postings: DataFrame, path: str, overwrite: bool = False) -> bool:
+    """One directory per shard, rows sorted by word, read back with
+    ``builds.read_build``. A complete output is kept unless ``overwrite``; what
+    a killed run left is built again (N3). Rows are dealt by ranges of (shard,
+    word, doc), so a large shard is written by several tasks. Returns whether
+    it wrote."""
+    def sorted_runs(df: DataFrame) -> DataFrame:
+        return df.repartitionByRange("shard", "word", "doc_int").sortWithinPartitions("shard", "word", "doc_int")
+    return build_once(postings, path, "shard", overwrite, sorted_runs)
 
 
 # ---- S2 / S14 ---------------------------------------------------------------------------
