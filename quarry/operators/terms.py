@@ -117,8 +117,10 @@ class SparseIndex:
     """
 
     def __init__(self, docs: DataFrame, profile: str = "basic", params: Params = DEFAULT,
-                 vocabulary: DataFrame | None = None, vocabulary_rows: int | None = None):
+                 vocabulary: DataFrame | None = None, vocabulary_rows: int | None = None,
+                 words: DataFrame | None = None):
         self.params = params
+        self.words = words   # full profile: a vocabulary map that covers the corpus (token, words)
         self.profile = profile
         self.docs = docs
         self.vocabulary = vocabulary
@@ -176,20 +178,37 @@ class SparseIndex:
                 else checked_broadcast(voc, mx))
 
     def _init_full(self, docs, params, vocabulary, vocabulary_rows=None):
-        # Full profile: JVM front, Python once per distinct raw token, joins.
-        from quarry.functions.vocab import full_terms
+        # Full profile: JVM front per document, the token chain once per distinct
+        # raw token (the map given, or made here and kept), and one join of the
+        # documents' token counts with it. As in the basic profile every document
+        # gets a marker row with its length beside its term rows, and with a
+        # ``vocabulary`` only the tokens that become one of its words give any.
+        from quarry.functions.vocab import token_counts, vocabulary_map
         self._tok = None
         self.keys = ["doc_id"]
-        raw = docs.select("doc_id", T.raw_tokens(F.col("text")).alias("raw"))
-        t = full_terms(raw, ["doc_id"], "raw")
-        per_doc = t.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
+        counts = token_counts(docs.select("doc_id", T.raw_tokens(F.col("text")).alias("raw")), ["doc_id"])
+        if self.words is None:
+            self.words = vocabulary_map(counts, "token").persist(StorageLevel.MEMORY_AND_DISK)
+        words = self.words
+        if vocabulary is not None:
+            each = words.select("token", F.explode("words").alias("word"))
+            hits = each.join(self._vocab(vocabulary, vocabulary_rows), "word", "left_semi") \
+                       .groupBy("token").agg(F.collect_list("word").alias("hits"))
+            words = words.join(hits, "token", "left").select(
+                "token", F.size("words").alias("n"), F.coalesce("hits", F.array().cast("array<string>")).alias("words"))
+        else:
+            words = words.withColumn("n", F.size("words"))
+        marked = F.concat(F.array(F.struct(F.lit(DOC_MARKER).alias("word"), F.col("n").alias("k"))),
+                          F.transform("words", lambda w: F.struct(w.alias("word"), F.lit(1).alias("k"))))
+        rows = counts.join(words, "token").select("doc_id", "rtf", F.explode(marked).alias("r"))
+        counted = rows.groupBy("doc_id", F.col("r.word").alias("word")).agg(
+            F.sum(F.col("rtf") * F.col("r.k")).alias("tf")).persist(StorageLevel.MEMORY_AND_DISK)
+        self._counted = counted
+        per_doc = counted.filter(F.col("word") == DOC_MARKER).select("doc_id", F.col("tf").alias("doc_len"))
         self.lengths = (docs.select("doc_id").join(per_doc, "doc_id", "left")
                             .select("doc_id", F.coalesce("doc_len", F.lit(0)).cast("long").alias("doc_len")))
-        terms = t.join(per_doc, "doc_id").select("doc_id", F.col("doc_len").cast("long"), "word",
-                                                  F.col("tf").cast("long"))
-        if vocabulary is not None:
-            terms = terms.join(self._vocab(vocabulary, vocabulary_rows), "word", "left_semi")
-        self.terms = terms
+        self.terms = counted.filter(F.col("word") != DOC_MARKER).join(per_doc, "doc_id").select(
+            "doc_id", F.col("doc_len").cast("long"), "word", F.col("tf").cast("long"))
         self._finish()
 
     def _finish(self):
@@ -199,7 +218,7 @@ class SparseIndex:
 
     def restrict(self, vocabulary: DataFrame, vocabulary_rows: int | None = None) -> "SparseIndex":
         """Same corpus, term rows limited to ``vocabulary`` words."""
-        return SparseIndex(self.docs, self.profile, self.params, vocabulary, vocabulary_rows)
+        return SparseIndex(self.docs, self.profile, self.params, vocabulary, vocabulary_rows, self.words)
 
     @property
     def vectors(self) -> DataFrame:

@@ -6,15 +6,20 @@ same plan registered under the operator's ID (``alias``)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT, MISSING_ARTICLE_TEXT
+from quarry.functions import text as T
 from quarry.functions.lemmas import EXCEPTIONS, RULES, noun_lemmas
+from quarry.functions.vocab import read_map, update_map
 from quarry.operators import chunk as C
 from quarry.operators import dense as D
 from quarry.operators import graph as G
 from quarry.operators import search as S
 from quarry.operators import terms as TM
+from quarry.plans import sql_full as SF
 from quarry.plans.catalog import REGISTRY, register
 from quarry.plans.q_chunk import sql_hash_tokens
 from quarry.plans.q_dense import CENTROIDS_SQL, centroids
@@ -22,6 +27,7 @@ from quarry.plans.q_graph import EDGES_SQL
 from quarry.plans.util import bounded_broadcast
 from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
                               top_k_cte)
+from quarry.session import scratch_path
 from quarry.sources import tables
 
 P = DEFAULT
@@ -252,13 +258,17 @@ def u4_tokenizer_plugin(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", C.hash_tokenizer(F.col("text")).alias("tokens"))
 
 
-@register("u2_vocabulary_map")
+@register("u2_vocabulary_map", SF.MAP_SQL)
 def u2_vocabulary_map(spark, sf_dir):
-    """Every distinct raw token of the corpus and the words it normalises to."""
-    from quarry.functions import text as T
-    from quarry.functions.vocab import vocabulary_map
-    raw = _docs(spark, sf_dir).select(F.explode(T.raw_tokens("text")).alias("token"))
-    return vocabulary_map(raw, "token")
+    """Every distinct raw token of the corpus and the words it becomes, as a
+    stored map: built from some sources, brought up to date with all, and then
+    found to need nothing."""
+    docs = _docs(spark, sf_dir).select("file", F.explode(T.raw_tokens("text")).alias("token"))
+    path = scratch_path(spark, f"vocabulary-{uuid.uuid4().hex}")
+    update_map(docs.filter(F.crc32(F.col("file").cast("binary")) % 2 == 0), path)
+    update_map(docs, path)
+    assert update_map(docs, path) == 0, "a map that is up to date gets no token"
+    return read_map(spark, path)
 
 
 @register("r10_candidate_restriction", f"""

@@ -4,18 +4,24 @@ A16, J5, J10, J13, O3, I7, R2, R6, R14, W9, T8, T10, full-profile search)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT
 from quarry.functions import html as H
 from quarry.functions import text as T
+from quarry.functions.numwords import spelt, spelt_sql
+from quarry.functions.vocab import read_map, update_map
 from quarry.operators import search as S
 from quarry.operators import terms as TM
+from quarry.plans import sql_full as SF
 from quarry.plans.catalog import register
 from quarry.plans.q_index import CHUNK_WORDS, CHUNKS_CTE, BUCKET_SQL
 from quarry.plans.q_text import sql_html_text, sql_lines, sql_strip
 from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
-                              tfidf_scores_cte, top_k_cte)
+                              tfidf_scores_cte, top_k_cte, top_k_sql)
+from quarry.session import scratch_path
 from quarry.sources import tables
 
 P = DEFAULT
@@ -312,26 +318,31 @@ def i7_candidates_dispatch(spark, sf_dir):
     return out
 
 
-# ---- full normalisation profile (Python once per distinct token) ----------------------------
+# ---- full normalisation profile (once per distinct token) -----------------------------------
 
-@register("t10_full_profile_terms")
+@register("t10_full_profile_terms", SF.TERMS_SQL)
 def t10_full_profile_terms(spark, sf_dir):
     """T2-T11 'full' chain: doc_id, word, tf (stemmed, numbers spelt)."""
     return TM.SparseIndex(_docs(spark, sf_dir), "full", P).terms.select("doc_id", "word", "tf")
 
 
-@register("t8_number_words")
+@register("t8_number_words", f"""
+WITH {SF.DOC_TOKENS}
+SELECT token, {spelt_sql('token')} AS words FROM (
+  SELECT DISTINCT token FROM doc_tokens WHERE regexp_matches(token, '^[0-9]+$'))""")
 def t8_number_words(spark, sf_dir):
-    """Every distinct digit token of the corpus and its words."""
-    from quarry.functions.vocab import normalise_udf
+    """Every distinct digit token of the corpus, spelt out."""
     toks = _docs(spark, sf_dir).select(F.explode(T.raw_tokens("text")).alias("token")) \
                                .filter(F.col("token").rlike("^[0-9]+$")).distinct()
-    return toks.select("token", normalise_udf()(F.col("token")).alias("words"))
+    return toks.select("token", spelt(F.col("token")).alias("words"))
 
 
-@register("r5_bm25_search_full")
+@register("r5_bm25_search_full", SF.SEARCH_CTES + "," + bm25_scores_cte("scores", P.k1, P.b) + top_k_sql(K))
 def r5_bm25_search_full(spark, sf_dir):
-    idx = TM.SparseIndex(_docs(spark, sf_dir), "full", P)
-    return S.search_bm25(tables.benchmark_queries(spark, sf_dir), idx, P.with_(top_k=K))
-
-
+    """A stored vocabulary map is brought up to date, then the search reads only
+    the tokens that become a word of the batch."""
+    docs, queries = _docs(spark, sf_dir), tables.benchmark_queries(spark, sf_dir)
+    path = scratch_path(spark, f"vocabulary-{uuid.uuid4().hex}")
+    update_map(docs.select(F.explode(T.raw_tokens("text")).alias("token")), path)
+    idx = TM.SparseIndex(docs, "full", P, words=read_map(spark, path))
+    return S.search_bm25(queries, idx, P.with_(top_k=K))

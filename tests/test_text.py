@@ -1,12 +1,13 @@
 """Hand goldens for the text functions (T1-T19, S4) and the token chain."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from quarry.functions import html as H
 from quarry.functions import text as T
-from quarry.functions.numwords import cardinal, spell_digits
-from quarry.functions.porter import stem
-from quarry.functions.vocab import normalise_token
+from quarry.functions import numwords, stemmer, vocab
+from tests import plain_words
 
 
 def one(spark, expr, value):
@@ -67,22 +68,64 @@ def test_html_to_text(spark):
     assert one(spark, H.html_to_text_parser, html) == "T & Ua © bc"
 
 
-def test_numbers():
-    assert cardinal(42) == "forty-two"
-    assert cardinal(1234) == "one thousand, two hundred and thirty-four"
-    assert cardinal(1001) == "one thousand and one"
-    assert cardinal(10 ** 303) == "one centillion"
-    assert spell_digits("0" * 307).split() == ["zero", "zero"]
+def spelt(spark, digits):
+    df = spark.createDataFrame([(d,) for d in digits], "d string")
+    return [r[0] for r in df.select(numwords.spelt(F.col("d"))).collect()]
+
+
+def stems(spark, words):
+    df = spark.createDataFrame([(w, w) for w in words], "o string, w string")
+    return dict(tuple(r) for r in stemmer.stemmed(df, "w").collect())
+
+
+def chain(spark, tokens):
+    df = spark.createDataFrame([(t,) for t in tokens], "token string")
+    return {r["token"]: r["words"] for r in vocab.vocabulary_map(df).collect()}
+
+
+def test_numbers(spark):
+    got = spelt(spark, ["42", "1234", "1001", "1" + "0" * 303, "0" * 307, "0", "007"])
+    assert got == ["forty-two", "one thousand, two hundred and thirty-four", "one thousand and one", "one centillion",
+                   "zero zero", "zero", "seven"]
+    rnd = random.Random(2)
+    nums = [str(rnd.randrange(10 ** rnd.randint(1, 45))) for _ in range(400)] + ["9" * n for n in (305, 306, 307, 1000)]
+    assert spelt(spark, nums) == [plain_words.spell_digits(n) for n in nums]
+
+
+def test_porter(spark):
+    assert stems(spark, "caresses ponies relational".split()) == {"caresses": "caress", "ponies": "poni", "relational": "relat"}
+    rnd = random.Random(4)
+    ends = [*stemmer.STEP2, *stemmer.STEP3, *stemmer.STEP4, "s", "es", "ies", "ed", "ing", "eed", "ied", "y", "e", "ll", "alli", "logi"]
+    words = {"".join(rnd.choice("abcdeiosyltnrg") for _ in range(rnd.randint(0, 6)))
+             + "".join(rnd.choice(ends) for _ in range(rnd.randint(0, 3))) for _ in range(2500)}
+    words |= {"".join(rnd.choice("y漢é🙂ab1^") for _ in range(rnd.randint(1, 7))) for _ in range(100)} | set(stemmer.IRREGULAR)
+    assert stems(spark, words) == {w: plain_words.stem(w) for w in words}
+
+
+def test_full_chain(spark):
+    got = chain(spark, ["42", "running", "cannot"])
+    assert got == {"42": ["forti", "two"], "running": ["run"], "cannot": []}
+    rnd = random.Random(5)
+    tokens = {"".join(rnd.choice("abcdeiosyngt0123²₂,-'^٣") for _ in range(rnd.randint(1, 9))) for _ in range(1500)}
+    tokens |= {"x²y", "a₁₂b³", "²", "٣٤", "᧐", "1᧑", "①", "cannots", "gonnas", "wanna,", "a\xa0b", "12,,", "9" * 400, "２３"}
+    assert chain(spark, tokens) == {t: sorted(plain_words.normalise_token(t)) for t in tokens}
+
 
+def test_chain_with_lemmas(spark):
+    df = spark.createDataFrame([("mice",), ("12",)], "token string")
+    lemmas = spark.createDataFrame([("mice", "mouse"), ("twelve", "dozen")], "word string, lemma string")
+    assert {r["token"]: r["words"] for r in vocab.vocabulary_map(df, lemmas=lemmas).collect()} == {"mice": ["mou"], "12": ["dozen"]}
 
-def test_porter():
-    assert [stem(w) for w in "caresses ponies relational".split()] == ["caress", "poni", "relat"]
 
+def test_stored_map_maps_only_new_tokens(spark, tmp_path):
+    def tokens(*ts):
+        return spark.createDataFrame([(t,) for t in ts], "token string")
 
-def test_full_chain():
-    assert normalise_token("42") == ["forti", "two"]
-    assert normalise_token("running") == ["run"]
-    assert normalise_token("cannot") == []
+    path = str(tmp_path / "map")
+    assert vocab.update_map(tokens("running", "the", "the"), path) == 2
+    assert vocab.update_map(tokens("running", "12"), path) == 1
+    assert vocab.update_map(tokens("12", "the"), path) == 0
+    assert {r["token"]: r["words"] for r in vocab.read_map(spark, path).collect()} == {"running": ["run"], "the": [], "12": ["twelv"]}
 
 
 def test_broken_bytes_are_dropped(spark):
@@ -104,10 +147,10 @@ def test_references_and_links(spark):
     assert df.select(H.hrefs("h")).first()[0] == ["a", "b", "c d"]
 
 
-def test_stemmer_default_mode():
+def test_stemmer_default_mode(spark):
     want = {"day": "day", "played": "play", "enjoy": "enjoy", "dying": "die", "skies": "sky", "ties": "tie", "news": "news",
             "tied": "tie", "happy": "happi", "geology": "geolog", "hopping": "hop", "filing": "file", "radically": "radic"}
-    assert {w: stem(w) for w in want} == want
+    assert stems(spark, want) == want
 
 
 def test_noun_lemmas(spark):
