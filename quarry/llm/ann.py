@@ -2,15 +2,19 @@
 
 Index: vectors are cut in two halves and each half is quantised by its own
 ``K`` centroids (k-means on a bounded sample), which makes ``K * K`` cells.
+``K`` grows with the square root of the rows, so that a cell holds about
+``CELL_ROWS`` of them, up to what the sample can place (``FIT_ROWS / 20``).
 Every row is indexed: it lies in cell ``(i, j)``. Rows are dealt to blocks by
-``i`` (a large ``i`` is salted into several), about ``BLOCK_ROWS`` rows each.
+``i`` (a large ``i`` is salted into several), about ``BLOCK_ROWS`` rows each,
+and lie there sorted by ``j``.
 
 Search: for a query, the centroid pairs are visited in the order of their
 summed inner products (the multi-sequence walk over two sorted lists with a
 heap) until the visited cells hold ``scan`` of all rows. A query goes to each
 block once, with a bit mask of the second-half centroids it visits there. A
 task reads a block's rows, then streams the queries of the block against them,
-so memory does not depend on the number of queries. Nearest entries of a block
+so memory does not depend on the number of queries; a query is multiplied with
+the rows of its visited cells only. Nearest entries of a block
 are reranked by the exact inner product on the original vectors in double
 precision; the best of all blocks follow by a ranking per query.
 
@@ -23,9 +27,9 @@ a vector that a third of all rows share costs no more than any other.
 
 Defined cases: vectors that are null, empty, zero, hold a null or non-finite
 component, or have another length than the most common one take no part, nor
-rows without id; of rows with the same id the smallest vector counts; ties go
-to the smaller id; fewer candidates than ``k`` are all returned; an empty table
-gives no rows.
+rows without id; rows that share an id are entries and queries of their own,
+and only the query's own row is no candidate; ties go to the smaller id; fewer
+candidates than ``k`` are all returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,7 +45,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import materialise
 
-CENTROIDS = 32  # per half; the mask of visited centroids is one long
+CENTROIDS = 32  # per half, at least
+CELL_ROWS = 64
 FIT_ROWS = 20_000
 FIT_QUERIES = 200
 BLOCK_ROWS = 4096
@@ -51,14 +56,13 @@ SEED = 5
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v``: one double vector per id, of the most common length."""
+    """``row, vec_id, v``: the double vectors of the most common length, numbered."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     v = v.filter("vec_id is not null and v is not null and size(v) > 0").filter(
         F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0))
     dims = v.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    v = v.filter(F.size("v") == (dims["d"] if dims else 0))
-    return v.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return v.filter(F.size("v") == (dims["d"] if dims else 0)).withColumn("row", F.monotonically_increasing_id())
 
 
 def kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -122,30 +126,40 @@ def calibrate(x: np.ndarray, c1: np.ndarray, c2: np.ndarray, k: int, recall: flo
     return float(np.quantile(need, recall)) if need else 1.0
 
 
-def _block_top(ids: np.ndarray, mat: np.ndarray, js: np.ndarray, k: int):
-    """A function from queries (ids, matrix, masks) to their best rows of the block."""
-    as_key = np.ascontiguousarray(mat).view(np.dtype((np.void, mat.dtype.itemsize * mat.shape[1]))).ravel()
+def _block_top(rows: np.ndarray, ids: np.ndarray, mat: np.ndarray, js: np.ndarray, k: int):
+    """A function from queries (rows, ids, matrix, visited) to their best rows of the block."""
+    tagged = np.concatenate([js[:, None].astype(np.float64), mat], axis=1)
+    as_key = np.ascontiguousarray(tagged).view(np.dtype((np.void, 8 * tagged.shape[1]))).ravel()
     _, first, inverse = np.unique(as_key, return_index=True, return_inverse=True)
-    uniq, ju = mat[first], js[first].astype(np.int64)
+    by_cell = np.argsort(js[first], kind="stable")  # distinct vectors, sorted by cell
+    place = np.empty(len(first), dtype=np.int64)
+    place[by_cell] = np.arange(len(first))
+    inverse, first = place[inverse], first[by_cell]
+    uniq, ju = mat[first], js[first]
+    cells = [(int(j), *np.searchsorted(ju, [j, j + 1])) for j in np.unique(ju)]
     order = np.lexsort((ids, inverse))
     begin = np.searchsorted(inverse[order], np.arange(len(first)))
     end = np.append(begin[1:], len(order))
-    members = [ids[order[b:min(e, b + k + 1)]] for b, e in zip(begin, end)]  # k + 1: the query itself may be one
-
-    def top(q_ids: np.ndarray, q: np.ndarray, masks: np.ndarray) -> tuple[list, list, list]:
-        out: tuple[list, list, list] = ([], [], [])
-        s = q @ uniq.T
-        s[((masks[:, None] >> ju[None, :]) & 1) == 0] = -np.inf
+    members = [order[b:min(e, b + k + 1)] for b, e in zip(begin, end)]  # k + 1: the query itself may be one
+
+    def top(q_rows: np.ndarray, q_ids: np.ndarray, q: np.ndarray, visited: np.ndarray) -> tuple[list, list, list, list]:
+        out: tuple[list, list, list, list] = ([], [], [], [])
+        s = np.full((len(q), len(uniq)), -np.inf)
+        for j, lo, hi in cells:
+            asks = np.flatnonzero(visited[:, j])
+            if len(asks):
+                s[asks, lo:hi] = q[asks] @ uniq[lo:hi].T
         m = min(k + 1, s.shape[1])
         floor = np.partition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m]
         for r in range(len(q)):
-            near = np.flatnonzero(s[r] >= floor[r] - 1e-9)
-            near = near[np.isfinite(s[r, near])]
+            near = np.flatnonzero((s[r] >= floor[r] - 1e-9) & np.isfinite(s[r]))
             exact = (uniq[near] * q[r]).sum(axis=1)  # same order of additions for equal vectors
-            found = sorted((-e, int(i)) for e, n in zip(exact.tolist(), near.tolist()) for i in members[n] if i != q_ids[r])[:k]
-            out[0].extend([int(q_ids[r])] * len(found))
-            out[1].extend(i for _, i in found)
-            out[2].extend(-e for e, _ in found)
+            found = sorted((-e, int(ids[x])) for e, n in zip(exact.tolist(), near.tolist())
+                           for x in members[n] if rows[x] != q_rows[r])[:k]
+            for column, value in zip(out, (int(q_rows[r]), int(q_ids[r]))):
+                column.extend([value] * len(found))
+            out[2].extend(i for _, i in found)
+            out[3].extend(-e for e, _ in found)
         return out
 
     return top
@@ -157,30 +171,25 @@ def _search_blocks(k: int):
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, top = None, None
         held: list[tuple] = []
-
-        def done():
-            ids, mats, js = zip(*held)
-            return _block_top(np.concatenate(ids), np.concatenate(mats), np.concatenate(js), k)
-
         for b in batches:
             blocks, kinds = b.column("block").to_numpy(), b.column("kind").to_numpy()
-            ids, tags = b.column("id").to_numpy(), b.column("tag").to_numpy()
+            rows, ids, tags = (b.column(c).to_numpy() for c in ("row", "id", "tag"))
             cut = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
             for x, y in zip([0, *cut], [*cut, b.num_rows]):
                 if blocks[x] != block:
                     block, top, held = blocks[x], None, []
                 for s in range(x, y, 1024):
                     e = min(y, s + 1024)
-                    m = np.frombuffer(b"".join(b.column("v").slice(s, e - s).to_pylist()), dtype=np.float64).reshape(e - s, -1)
+                    m = _stacked(b.column("v").slice(s, e - s), np.float64)
                     if kinds[x] == 0:
-                        held.append((ids[s:e], m, tags[s:e]))
+                        held.append((rows[s:e], ids[s:e], m, tags[s:e]))
                     elif held or top:
                         if top is None:
-                            top, held = done(), []
-                        got = top(ids[s:e], m, tags[s:e])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
-                            ["query_id", "vec_id", "score"])
+                            top, held = _block_top(*map(np.concatenate, zip(*held)), k), []
+                        visited = np.unpackbits(_stacked(b.column("mask").slice(s, e - s), np.uint8), axis=1, bitorder="little")
+                        got = top(rows[s:e], ids[s:e], m, visited)
+                        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in got[:3]), pa.array(got[3], pa.float64())],
+                                                         ["query_row", "query_id", "vec_id", "score"])
 
     return part
 
@@ -189,17 +198,16 @@ def search(vectors: DataFrame, is_query, k: int = TOP_K, centroids: int = CENTRO
            recall: float = RECALL, block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows of ``vectors(vec_id,
     embedding)`` where the condition ``is_query`` (on ``vec_id``) holds."""
-    if not 1 <= centroids <= 62:
-        raise ValueError("centroids must be between 1 and 62")
     spark = vectors.sparkSession
     v = materialise(usable(vectors), "ann-vectors")
-    sample = v.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(fit_rows).collect()
+    sample = v.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id", "v").limit(fit_rows).collect()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     x = np.array([r["v"] for r in sample], dtype=np.float64)
     del sample
     half = x.shape[1] // 2
-    c1, c2 = kmeans(x[:, :half], centroids, seed), kmeans(x[:, half:], centroids, seed + 1)
+    wanted = max(centroids, min(fit_rows // 20, int((v.count() / CELL_ROWS) ** 0.5)))
+    c1, c2 = kmeans(x[:, :half], wanted, seed), kmeans(x[:, half:], wanted, seed + 1)
     scan = calibrate(x, c1, c2, k, recall)
     del x
 
@@ -207,49 +215,53 @@ def search(vectors: DataFrame, is_query, k: int = TOP_K, centroids: int = CENTRO
         for b in batches:
             m = _matrix(b.column("v"))
             yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id"), pa.array(assign(m[:, :half], c1).astype(np.int64)), pa.array(assign(m[:, half:], c2).astype(np.int64)),
-                 pa.array([r.tobytes() for r in m], pa.binary())], ["id", "i", "tag", "v"])
+                [b.column("row"), b.column("vec_id"), pa.array(assign(m[:, :half], c1).astype(np.int64)),
+                 pa.array(assign(m[:, half:], c2).astype(np.int64)), pa.array([r.tobytes() for r in m], pa.binary())],
+                ["row", "id", "i", "tag", "v"])
 
-    index = materialise(v.mapInArrow(cells, "id long, i long, tag long, v binary"), "ann-index")
+    index = materialise(v.mapInArrow(cells, "row long, id long, i long, tag long, v binary"), "ann-index")
     rows = np.zeros((len(c1), len(c2)), dtype=np.int64)
-    for r in index.groupBy("i", "tag").count().collect():  # at most centroids^2 rows
+    for r in index.groupBy("i", "tag").count().collect():  # at most one row per cell
         rows[r["i"], r["tag"]] = r["count"]
     enough = max(k + 1, int(np.ceil(scan * rows.sum())))
     parts = np.maximum(1, -(-rows.sum(axis=1) // block_rows)).astype(np.int64)
     begin = np.concatenate([[0], np.cumsum(parts)[:-1]])
-    salt = F.pmod(F.xxhash64("id", F.lit(seed)), F.element_at(F.array(*[F.lit(int(p)) for p in parts]), (F.col("i") + 1).cast("int")))
+    salt = F.pmod(F.xxhash64("row", F.lit(seed)), F.element_at(F.array(*[F.lit(int(p)) for p in parts]), (F.col("i") + 1).cast("int")))
     base = F.element_at(F.array(*[F.lit(int(p)) for p in begin]), (F.col("i") + 1).cast("int"))
-    entries = index.select((base + salt).alias("block"), F.lit(0).cast("int").alias("kind"), "id", "tag", "v")
+    entries = index.select((base + salt).alias("block"), F.lit(0).cast("int").alias("kind"), "row", "id", "tag", "v",
+                           F.lit(None).cast("binary").alias("mask"))
+    width = -(-len(c2) // 8)
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["block", "kind", "id", "tag", "v"]
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 part = b.slice(s, 256)
-                blocks, ids, tags, vs = [], [], [], []
-                for q, raw in zip(part.column("id").to_pylist(), part.column("v").to_pylist()):
+                out: list[tuple] = []
+                for row, q, raw in zip(*(part.column(c).to_pylist() for c in ("row", "id", "v"))):
                     m = np.frombuffer(raw, dtype=np.float64)
                     masks: dict[int, int] = {}
                     for i, j in walk(c1 @ m[:half], c2 @ m[half:], rows, enough):
                         if rows[i, j]:
                             masks[i] = masks.get(i, 0) | 1 << j
-                    for i, mask in masks.items():
-                        for p in range(int(parts[i])):
-                            blocks.append(int(begin[i]) + p)
-                            ids.append(q)
-                            tags.append(mask)
-                            vs.append(raw)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks, pa.int64()), pa.array([1] * len(blocks), pa.int32()), pa.array(ids, pa.int64()),
-                     pa.array(tags, pa.int64()), pa.array(vs, pa.binary())], names)
-
-    asked = index.filter(is_query(F.col("id"))).mapInArrow(visits, "block long, kind int, id long, tag long, v binary")
+                    out += [(int(begin[i]) + p, 1, row, q, 0, raw, mask.to_bytes(width, "little"))
+                            for i, mask in masks.items() for p in range(int(parts[i]))]
+                if out:
+                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                                     ["block", "kind", "row", "id", "tag", "v", "mask"])
+
+    asked = index.filter(is_query(F.col("id"))).mapInArrow(
+        visits, "block long, kind int, row long, id long, tag long, v binary, mask binary")
     dealt = entries.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind")
-    hits = dealt.mapInArrow(_search_blocks(k), "query_id long, vec_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = dealt.mapInArrow(_search_blocks(k), "query_row long, query_id long, vec_id long, score double")
+    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _stacked(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(len(column), -1)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.ascontiguousarray(flat.reshape(len(column), -1), dtype=np.float64)
@@ -261,7 +273,8 @@ def exact(vectors: DataFrame, query_ids: list[int], k: int = TOP_K) -> pd.DataFr
     ids, m = np.array([r["vec_id"] for r in rows]), np.array([r["v"] for r in rows])
     out = []
     for q in query_ids:
-        s = (m * m[np.flatnonzero(ids == q)[0]]).sum(axis=1)
-        for rank, n in enumerate([n for n in np.lexsort((ids, -s)) if ids[n] != q][:k], 1):
-            out.append((q, rank, int(ids[n]), float(s[n])))
+        for own in np.flatnonzero(ids == q):
+            s = (m * m[own]).sum(axis=1)
+            for rank, n in enumerate([n for n in np.lexsort((ids, -s)) if n != own][:k], 1):
+                out.append((q, rank, int(ids[n]), float(s[n])))
     return pd.DataFrame(out, columns=["query_id", "rank", "vec_id", "score"])
