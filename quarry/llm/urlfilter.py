@@ -8,7 +8,7 @@ score is the log-likelihood difference per character. The cut is calibrated on
 a held-out part of the judged URLs (MD5 digit below ``3``): the middle of the
 scores with the least sum of both error rates.
 
-Counts are taken over all distinct judged URLs. (context, character) pairs are
+Counts are taken over the distinct judged URLs outside that part. (context, character) pairs are
 counted at the highest order first and summed to the lower orders from there;
 likelihoods are worked out once per distinct pair, so the corpus meets the
 model in one join.
@@ -55,11 +55,19 @@ def best_rule(h: Column, p: Column, rules: Sequence[tuple[str, str, str]]) -> Co
 
 
 def pairs(urls: DataFrame, order: int, *keep: str) -> DataFrame:
-    """``keep..., ctx, ch`` for every character of ``urls(url)``."""
+    """``keep..., ctx, ch`` for every character of ``urls(url)``.
+
+    The grams of a URL are cut in one pass over it: the first characters have
+    what there is before them as context, the others ``order`` characters.
+    """
     s = F.concat(F.lit(_START), F.col("url"))
-    at = urls.filter("url <> ''").select(*keep, s.alias("s"), F.explode(F.sequence(F.lit(2), F.char_length("url") + 1)).alias("p"))
-    return at.select(*keep, F.expr(f"substring(s, greatest(1, p - {order}), least({order}, p - 1))").alias("ctx"),
-                     F.expr("substring(s, p, 1)").alias("ch"))
+    early = F.slice(F.sequence(F.lit(1), F.least(F.lit(order), F.char_length("s"))), 2, order)
+    first = F.transform(early, lambda p: F.struct(
+        F.substring("s", F.lit(1), p - 1).alias("ctx"), F.substring("s", p, F.lit(1)).alias("ch")))
+    whole = F.transform(F.regexp_extract_all("s", F.lit(f"(?s)(?=(.{{{order + 1}}}))."), F.lit(1)), lambda g: F.struct(
+        F.left(g, F.lit(order)).alias("ctx"), F.right(g, F.lit(1)).alias("ch")))
+    cut = urls.filter("url <> ''").select(*keep, s.alias("s")).select(*keep, F.concat(first, whole).alias("grams"))
+    return cut.select(*keep, F.explode("grams").alias("g")).select(*keep, "g.ctx", "g.ch")
 
 
 def _suffixes(order_col: str = "ctx") -> Column:
@@ -99,10 +107,12 @@ def likelihoods(wanted: DataFrame, model: tuple[DataFrame, DataFrame]) -> DataFr
 
 def scores(urls: DataFrame, model: tuple[DataFrame, DataFrame], order: int = ORDER) -> DataFrame:
     """``url, score`` of distinct ``urls(url)``: mean ``llr`` per character (empty: no row)."""
-    p = pairs(urls, order, "url")
+    keyed = urls.select("url", F.unhex(F.md5("url")).alias("u"))
+    p = pairs(keyed, order, "u")
     llr = small(materialise(likelihoods(p, model), "url-llr"), 64).withColumnsRenamed({"ctx": "l_ctx", "ch": "l_ch"})
     j = p.join(llr, (F.col("ctx") == F.col("l_ctx")) & (F.col("ch") == F.col("l_ch")))
-    return j.groupBy("url").agg(F.round(F.avg("llr"), 9).alias("score"))
+    rated = j.groupBy("u").agg(F.round(F.avg("llr"), 9).alias("score"))
+    return keyed.join(rated, "u").select("url", "score")
 
 
 def calibrate(scored: DataFrame) -> float | None:
