@@ -10,9 +10,8 @@ document frequencies of all template words are counted over all files, words
 outside the templates weigh 1. A candidate states the licence of the template
 with the largest cosine, from ``min_cosine`` on.
 
-Licence files are files with such a name (LICENSE, COPYING, NOTICE, ...), and,
-with ``notice_words`` > 0, files of at most that many words that state a
-licence. Files that state none inherit from the licence file in the nearest
+Licence files are files with such a name (LICENSE, COPYING, NOTICE, ...). Files
+that state none inherit from the licence file in the nearest
 ancestor directory: every file is joined with its ancestors by path, deepest
 first.
 
@@ -119,8 +118,7 @@ def _around(words: Column, reach: int) -> Column:
     return F.flatten(F.transform(F.array(words), of))  # the words are split once
 
 
-def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0, wording=TEMPLATES,
-         titles=TITLES) -> DataFrame:
+def scan(files: DataFrame, min_cosine: float = MIN_COSINE, wording=TEMPLATES, titles=TITLES) -> DataFrame:
     """``path, h, license, how, score, from_path`` for every row of ``files(path, text)``.
 
     ``how``: ``file``, ``header``, ``inherited`` or ``none``; ``h`` is the
@@ -185,7 +183,7 @@ def scan(files: DataFrame, min_cosine: float = MIN_COSINE, notice_words: int = 0
         F.max(stated).alias("b"), F.max(F.when(F.col("license") == COVERED[1], stated)).alias("more")).withColumn(
         "b", F.when((F.col("b.license") == COVERED[0]) & F.col("more").isNotNull(), F.col("more")).otherwise(F.col("b")))
     own = materialise(best.select(F.col("path").alias("o_path"), F.col("h").alias("o_h"), F.col("b.license").alias("o_license"),
-                                  F.col("b.cos").alias("o_score"), (F.col("named") | (F.col("n_words") <= notice_words)).alias("is_file")),
+                                  F.col("b.cos").alias("o_score"), F.col("named").alias("is_file")),
                       "license-own")
 
     # nearest licence file above

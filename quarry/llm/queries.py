@@ -65,12 +65,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``/source/lang/block of 1000 ids/doc_id.txt``; short
-    texts (200 words) that state a licence are the licence files of their folders."""
+    """Documents as files ``/source/lang/block of 1000 ids/doc_id.txt``; the
+    document whose id is the block's first is the block's ``LICENSE``. Folders
+    of documents without source or language are named ``(none)``; a document
+    without id has no path."""
     d = table(spark, sf_dir, "documents")
-    files = d.select(F.concat_ws("/", F.lit(""), "source", "lang", F.expr("cast(doc_id div 1000 as string)"),
-                                 F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"), "text")
-    return license.scan(files, notice_words=200).select("path", "license", "how", "score", "from_path")
+    folder = F.concat(F.lit("/"), F.coalesce("source", F.lit("(none)")), F.lit("/"), F.coalesce("lang", F.lit("(none)")),
+                      F.lit("/"), F.expr("cast(doc_id div 1000 as string)"), F.lit("/"))
+    name = F.when(F.col("doc_id") % 1000 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = d.select(F.concat(folder, name).alias("path"), "text")
+    return license.scan(files).select("path", "license", "how", "score", "from_path")
 
 
 def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

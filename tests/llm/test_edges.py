@@ -354,6 +354,36 @@ def test_license_inheritance(spark):
     assert license.scan(d.limit(0)).collect() == []
 
 
+def test_license_paths_of_documents(spark, tmp_path):
+    from quarry.llm import queries
+    said = "Licensed under the Apache License, Version 2.0."
+    data = [(0, said, "en", "web"), (None, said, "en", "web"), (5, "plain words", "en", "web"), (1005, "plain words", "en", "web"),
+            (6, "plain words", None, "web"), (7, "plain words", "en", None)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["path"]: (r["license"], r["how"], r["from_path"]) for r in queries.op9_license_scan(spark, str(tmp_path)).collect()}
+    first = "/web/en/0/LICENSE"
+    assert got[first][:2] == ("Apache-2.0", "file") and got["/web/en/0/5.txt"] == ("Apache-2.0", "inherited", first)
+    assert got[None][1] == "header" and len(got) == 6
+    assert {got[p][1] for p in ("/web/en/1/1005.txt", "/web/(none)/0/6.txt", "/(none)/en/0/7.txt")} == {"none"}
+
+
+def test_url_grams_in_one_pass(spark):
+    urls = ["a", "ab", "http://x.org/é🙂/" + "q" * 30, "漢" * 9, "🙂🙂🙂🙂🙂🙂", "a\nb\nc\nd\ne"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    for order in (1, 4):
+        want = sorted((u, ("\x02" + u)[max(0, p - order):p], u[p - 1]) for u in urls for p in range(1, len(u) + 1))
+        assert sorted(rows(urlfilter.pairs(df, order, "url"))) == want
+
+
+def test_very_long_url(spark):
+    import time
+    long_ = "http://long.net/" + "abcdefghij" * 40_000
+    d = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://b.com/de/y"), (3, long_)], "page_id long, url string")
+    start = time.time()
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(d).collect()}
+    assert set(got) == {1, 2, 3} and got[1] == "allow" and got[2] == "block" and time.time() - start < 90
+
+
 COMMON = "/usr/share/common-licenses/"
 MIT_TEXT = """Copyright (c) 2020 Someone
 
@@ -413,6 +443,41 @@ def test_vectors_edges(spark):
     assert rows(ann.search(d.limit(0), lambda i: i % 20 == 0)) == []
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    data = [(20, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [9.0, 0.0]), (2, [0.7, 0.0]), (20, [3.0, 0.0])]
+    d = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.search(d, lambda i: i % 20 == 0).collect())
+    one, three = [(1, 9.0), (20, 3.0), (2, 0.7), (1, 0.5)], [(1, 27.0), (20, 3.0), (2, 2.1), (1, 1.5)]
+    want = sorted((20, n, i, s) for found in (one, three) for n, (i, s) in enumerate(found, 1))
+    assert [g[:3] for g in got] == [w[:3] for w in want] and np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
+def test_clustered_vectors_need_a_small_scan(spark):
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=(80, 16)) * 4
+    m = centre[rng.integers(0, 80, 6000)] + rng.normal(size=(6000, 16)) * 0.2
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    c1, c2 = ann.kmeans(m[:, :8], 32, ann.SEED), ann.kmeans(m[:, 8:], 32, ann.SEED + 1)
+    assert ann.calibrate(m, c1, c2, ann.TOP_K, ann.RECALL) < 0.1
+    got = ann.search(d, lambda i: i % 50 == 0).toPandas()
+    want = ann.exact(d, list(range(0, 6000, 50)))
+    assert len(got) == len(want) and len(got.merge(want, on=["query_id", "vec_id"])) >= 0.9 * len(want)
+
+
+def test_only_visited_cells_are_scored():
+    rng = np.random.default_rng(4)
+    m, js = rng.normal(size=(200, 6)), rng.integers(0, 5, 200)
+    ids = np.arange(200)
+    top = ann._block_top(ids, ids, m, js, 8)
+    visited = np.zeros((3, 8), np.uint8)
+    visited[0, 2], visited[1, [0, 4]] = 1, 1
+    rows_, _, found, scores = top(np.array([0, 1, 2]), np.array([0, 1, 2]), m[:3], visited)
+    for q, cells in ((0, [2]), (1, [0, 4]), (2, [])):
+        mine = [(-s, i) for r, i, s in zip(rows_, found, scores) if r == q]
+        want = sorted((-float(m[i] @ m[q]), int(i)) for i in ids if js[i] in cells and i != q)[:8]
+        assert [i for _, i in mine] == [i for _, i in want]
+
+
 def test_walk_is_sorted_and_complete():
     rng = np.random.default_rng(7)
     a, b, n = rng.normal(size=9), rng.normal(size=7), rng.integers(0, 4, size=(9, 7))

@@ -113,7 +113,8 @@ def test_op9_headers(spark):
     d = table(spark, MID, "documents").select("doc_id", "text").toPandas()
     got = queries.op9_license_scan(spark, MID).toPandas()
     assert len(got) == len(d)
-    said = got.assign(doc_id=got["path"].str.extract(r"(\d+)\.txt$")[0].astype(int)).set_index("doc_id")
+    name = got["path"].str.extract(r"/(\d+)/(?:(\d+)\.txt|LICENSE)$")
+    said = got.assign(doc_id=name[1].fillna(name[0] + "000").astype(int)).set_index("doc_id")
     marks = {"Apache License, Version 2.0": "Apache-2.0", "under the MIT License": "MIT",
              "General Public License, version 3": "GPL-3.0", "CC BY-NC 4.0": "CC-BY-NC-4.0"}
     for i, t in d.itertuples(index=False):
