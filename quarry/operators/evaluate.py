@@ -11,9 +11,13 @@ the key ``-ln(u) / w`` and the n smallest keys win; a global
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.config import BOILERPLATE_MARKERS, DEFAULT, Params, WS_PATTERN
 from quarry.functions import text as T
@@ -66,6 +70,30 @@ def first_sentence(c) -> Column:
     return F.regexp_extract(F.col(c) if isinstance(c, str) else c, "^[^.!?]*[.!?]?", 0)
 
 
+def generate_questions(passages: DataFrame, text_col: str = "paragraph",
+                       build: Callable[[], Callable] | None = None, out: str = "query") -> DataFrame:
+    """``passages`` with a question for each in ``out``.
+
+    A model is a plug-in: ``build()`` loads it once per worker task and returns a
+    function ``list of texts -> list of questions`` that is fed Arrow batches (a
+    null text gets no question). Without one the first sentence is the question.
+    """
+    if build is None:
+        return passages.withColumn(out, first_sentence(text_col))
+    schema = StructType([*passages.schema.fields, StructField(out, StringType())])
+
+    def ask(batches):
+        fn = None
+        for b in batches:
+            fn = fn or build()
+            known = b[text_col].notna()
+            asked = pd.Series([None] * len(b), index=b.index, dtype=object)
+            asked[known] = fn(b.loc[known, text_col].tolist())
+            yield b.assign(**{out: asked})
+
+    return passages.mapInPandas(ask, schema)
+
+
 def known_item_truth(items: DataFrame, docs: DataFrame, params: Params = DEFAULT,
                      probes: int = 2) -> DataFrame:
     """E4 truth: ``query_id, doc_id`` where the document contains the item text

@@ -164,9 +164,85 @@ def or_candidates(qwords: DataFrame, post: DataFrame) -> DataFrame:
 def words_to_chunks(qwords: DataFrame, chunks: DataFrame, digits: bool = True) -> DataFrame:
     """Each query word to the vocabulary chunk (D13 shard map, from
     ``vocab_chunks``) whose ``lo <= word <= hi`` within the word's bucket.
-    The chunk table has one row per chunk (vocabulary / chunk size), so it is
-    broadcast; the join is an equi join on bucket plus the range condition."""
-    q = qwords.withColumn("bucket", first_char_bucket("word", digits))
-    c = chunks.select("bucket", "chunk", "lo", "hi")
-    return q.join(F.broadcast(c), (q.bucket == c.bucket) & (q.word >= c.lo) & (q.word <= c.hi)) \
-            .drop(c.bucket)
+
+    A point-in-range join as a merge in order: cut points and distinct words are
+    sorted together over the partitions, a word takes the last cut point before
+    it (from its own partition, or the last one of the partitions before), and
+    the upper end is a filter. Neither side is broadcast and no bucket meets in
+    one task; the found chunks are joined to the rows by word.
+    """
+    cuts = chunks.select("bucket", F.col("lo").alias("word"), F.lit(0).alias("_kind"), "chunk", "hi")
+    words = qwords.select("word").distinct().select(
+        first_char_bucket("word", digits).alias("bucket"), "word", F.lit(1).alias("_kind"),
+        F.lit(None).cast(chunks.schema["chunk"].dataType).alias("chunk"), F.lit(None).cast("string").alias("hi"))
+    s = _ordered(cuts.unionByName(words), [F.col("bucket"), F.col("word"), F.col("_kind")])
+    cut = F.when(F.col("_kind") == 0, F.struct(F.col("bucket").alias("b"), "chunk", "hi"))
+    upto = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = s.groupBy("_pid").agg(F.max(F.when(F.col("_kind") == 0, F.struct("_pos", cut.alias("cut"))))["cut"].alias("end"))
+    # one row per partition: a window over it is tiny
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_pid", F.last("end", ignorenulls=True).over(before).alias("carried"))
+    at = s.withColumn("last", F.last(cut, ignorenulls=True).over(upto)).join(F.broadcast(carried), "_pid") \
+          .filter("_kind = 1").select("word", "bucket", F.coalesce("last", "carried").alias("at"))
+    found = at.filter((F.col("at.b") == F.col("bucket")) & (F.col("word") <= F.col("at.hi")))
+    return qwords.join(found.select("word", "bucket", "at.chunk"), "word")
+
+
+# ---- reading stored postings ------------------------------------------------------
+
+def sorted_walk(words: DataFrame, postings: DataFrame, first: int = 1) -> tuple[DataFrame, int]:
+    """``shard, word, doc_int`` of ``words(word)`` from stored shards in df
+    order, and how many shards were read.
+
+    Shards are read in rounds (``first`` of them, then twice as many each time);
+    the words a round finds leave by an anti join, as a word lies in one shard,
+    and the walk stops when none is left.
+    """
+    left = words.select("word").distinct().checkpoint()
+    top = postings.agg(F.max("shard")).first()[0]
+    out, lo, step = postings.limit(0).select("shard", "word", "doc_int"), 0, first
+    while top is not None and lo <= top and not left.isEmpty():
+        here = postings.filter(F.col("shard").between(lo, lo + step - 1))
+        hit = here.join(left, "word", "left_semi").select("shard", "word", "doc_int").checkpoint()
+        out, left = out.unionByName(hit), left.join(hit.select("word").distinct(), "word", "left_anti").checkpoint()
+        lo, step = lo + step, 2 * step
+    return out, 0 if top is None else min(lo, top + 1)
+
+
+def write_by_word(rows: DataFrame, path: str) -> None:
+    """Postings laid out by ranges of words, sorted within files, so that scans of
+    word ranges skip files and row groups by their statistics."""
+    rows.repartitionByRange("word").sortWithinPartitions("word").write.mode("overwrite").parquet(path)
+
+
+def next_prefix(prefix: str) -> str | None:
+    """The smallest string above all that begin with ``prefix``; None if there is none."""
+    while prefix:
+        code = ord(prefix[-1]) + 1
+        code = 0xE000 if code == 0xD800 else code
+        if code <= 0x10FFFF:
+            return prefix[:-1] + chr(code)
+        prefix = prefix[:-1]
+    return None
+
+
+def prefix_ranges(prefixes: list[str], most: int = 256) -> list[tuple[str, str | None]]:
+    """Disjoint ranges that hold every word with one of the prefixes: longer prefixes
+    merge into the shorter ones they begin with, and neighbours merge until at
+    most ``most`` ranges are left (which then hold other words too)."""
+    out: list[tuple[str, str | None]] = []
+    for p in sorted({p for p in prefixes if p}):
+        if not (out and p.startswith(out[-1][0])):
+            out.append((p, next_prefix(p)))
+    size = -(-len(out) // most) if out else 1
+    return [(group[0][0], group[-1][1]) for group in (out[i:i + size] for i in range(0, len(out), size))]
+
+
+def prefix_scan(stored: DataFrame, prefixes: list[str], most: int = 256) -> DataFrame:
+    """I8: rows of ``stored`` whose word lies in a range of the (bounded) prefixes,
+    as filters that reach the file scan."""
+    cond = F.lit(False)
+    for lo, hi in prefix_ranges(prefixes, most):
+        one = F.col("word") >= lo
+        cond = cond | (one if hi is None else one & (F.col("word") < hi))
+    return stored.filter(cond)

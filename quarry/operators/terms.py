@@ -257,6 +257,25 @@ def df_curve(dfs: DataFrame, top_n: int | None = None) -> DataFrame:
     return ranked
 
 
+def partial_maps(terms: DataFrame, block: int) -> DataFrame:
+    """A3, per file: ``file, word, block, total_tf, num_docs, postings`` from
+    ``file, doc_id, word, tf``. A block holds one range of ``block`` document
+    ids, so no word's list grows with the corpus."""
+    at = F.floor(F.col("doc_id") / block).cast("long")
+    return terms.groupBy("file", "word", at.alias("block")).agg(
+        F.sum("tf").cast("long").alias("total_tf"), F.count(F.lit(1)).alias("num_docs"),
+        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+
+
+def merge_maps(parts: DataFrame) -> DataFrame:
+    """A3, across files: ``word, block, total_tf, num_docs, docs, tfs``; counts
+    are added, document maps united, vectors concatenated in document order."""
+    one = parts.groupBy("word", "block").agg(
+        F.sum("total_tf").cast("long").alias("total_tf"), F.sum("num_docs").cast("long").alias("num_docs"),
+        F.sort_array(F.flatten(F.collect_list("postings"))).alias("p"))
+    return one.select("word", "block", "total_tf", "num_docs", F.col("p.doc_id").alias("docs"), F.col("p.tf").alias("tfs"))
+
+
 def normalised_tf(terms: DataFrame) -> DataFrame:
     """``tf / doc_len`` (doc_len = Σ tf, carried on each row)."""
     return terms.withColumn("ntf", F.col("tf") / F.col("doc_len"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarry.config import BOILERPLATE_MARKERS, DEFAULT
@@ -128,14 +130,19 @@ questions AS (SELECT e1.doc_id AS query_id, regexp_extract(e2.paragraph, '^[^.!?
 @register("u5_generated_questions", f"WITH {corpus_ctes().strip()},{E1_CTE},{E2_CTE},{QUESTION_SQL}\n"
           "SELECT query_id, query FROM questions")
 def u5_generated_questions(spark, sf_dir):
-    return _questions(spark, sf_dir)
+    """Through the plug-in: a stand-in model that asks with the first sentence."""
+    return _questions(spark, sf_dir, lambda: lambda texts: [FIRST_SENTENCE.match(t)[0] for t in texts])
+
+
+FIRST_SENTENCE = re.compile("[^.!?]*[.!?]?")
 
 
-def _questions(spark, sf_dir):
+def _questions(spark, sf_dir, build=None):
     docs = _docs(spark, sf_dir)
     sample = EV.weighted_sample(TM.doc_lengths(_docs(spark, sf_dir).select("doc_id", "text")), N, SEED)
     para = EV.sample_paragraph(docs.join(sample.select("doc_id"), "doc_id", "left_semi"), SEED)
-    return para.select(F.col("doc_id").alias("query_id"), EV.first_sentence("paragraph").alias("query"))
+    asked = EV.generate_questions(para.select("doc_id", "paragraph"), "paragraph", build)
+    return asked.select(F.col("doc_id").alias("query_id"), "query")
 
 
 @register("e4_generated_question_eval", f"WITH {corpus_ctes().strip()},{E1_CTE},{E2_CTE},{QUESTION_SQL},"

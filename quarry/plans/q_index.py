@@ -8,6 +8,8 @@ produce several shards and chunks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT
@@ -155,13 +157,18 @@ def i2_or_candidates(spark, sf_dir):
 
 @register("i3_sorted_index_query", CAND_SQL)
 def i3_sorted_index_query(spark, sf_dir):
-    # word -> shard first, then only those (shard, word) postings are read
+    """The stored shards are read in df order until every word is found (words
+    that the vocabulary lacks are not looked for)."""
+    from quarry.sources import builds, storage
     idx = _index(spark, sf_dir)
     ids = _ids(spark, sf_dir)
-    post = IX.sharded_postings(IX.postings_rows(idx.terms, ids), IX.shard_by_df(idx.df, SHARD_CAP))
+    path = scratch_path(spark, f"shards-{uuid.uuid4().hex}")
+    shards = IX.shard_by_df(idx.df, SHARD_CAP)
+    storage.write_shards(IX.sharded_postings(IX.postings_rows(idx.terms, ids), shards), path)
     qw = _qwords(spark, sf_dir)
-    located = qw.join(IX.shard_by_df(idx.df, SHARD_CAP).select("word", "shard"), "word")
-    c = located.join(post, ["shard", "word"]).select("query_id", "doc_int").distinct()
+    known = qw.select("word").distinct().join(idx.df.select("word"), "word", "left_semi")
+    post, _ = IX.sorted_walk(known, builds.read_build(spark, path))
+    c = qw.join(post, "word").select("query_id", "doc_int").distinct()
     return _decoded(c, ids)
 
 
@@ -231,27 +238,25 @@ n AS (SELECT prefix, count(DISTINCT word) AS n_words, count(DISTINCT doc_id) AS
 SELECT DISTINCT query_id, prefix, CAST(n_words AS BIGINT) AS n_words, CAST(n_docs AS BIGINT) AS n_docs
 FROM (SELECT query_id, word AS prefix FROM qterms) JOIN n USING (prefix)""")
 def i8_prefix_lookup(spark, sf_dir):
-    """Every query word as a prefix: vocabulary words and documents it reaches."""
+    """Every query word as a prefix: vocabulary words and documents it reaches,
+    from postings stored in word order. Only the prefixes' word ranges are read."""
     from quarry.operators.candidates import prefix_matches
-    idx = _index(spark, sf_dir)
+    path = scratch_path(spark, f"postings-{uuid.uuid4().hex}")
+    IX.write_by_word(_index(spark, sf_dir).terms.select("word", "doc_id"), path)
     p = _qwords(spark, sf_dir).select("query_id", F.col("word").alias("prefix")).distinct()
-    hit = prefix_matches(p.select("prefix").distinct(), idx.df)
-    n = (hit.join(idx.terms.select("doc_id", "word"), "word").groupBy("prefix")
+    each = p.select("prefix").distinct()
+    near = IX.prefix_scan(spark.read.parquet(path), [r["prefix"] for r in each.collect()])   # words of one batch
+    hit = prefix_matches(each, near.select("word").distinct())
+    n = (hit.join(near, "word").groupBy("prefix")
             .agg(F.countDistinct("word").alias("n_words"), F.countDistinct("doc_id").alias("n_docs")))
     return p.join(n, "prefix").select("query_id", "prefix", "n_words", "n_docs")
 
 
-@register("i9_index_roundtrip", "SELECT CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra")
+@register("i9_index_roundtrip", _with(corpus_ctes(), DOC_IDS_CTE) + """
+SELECT t.word, d.doc_int FROM terms t JOIN doc_ids d USING (doc_id)""")
 def i9_index_roundtrip(spark, sf_dir):
-    """Write the packed postings, read them back, compare with a recomputation."""
-    import uuid
-    idx = _index(spark, sf_dir)
-    ids = _ids(spark, sf_dir)
-    rows = IX.postings_rows(idx.terms, ids)
+    """The packed postings, written, read back and unpacked."""
+    rows = IX.postings_rows(_index(spark, sf_dir).terms, _ids(spark, sf_dir))
     path = scratch_path(spark, f"postings-{uuid.uuid4().hex}")
     IX.postings_blocks(rows, BLOCK).write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path).select("word", F.explode("docs").alias("doc_int"))
-    fresh = IX.postings_rows(_index(spark, sf_dir).terms, _ids(spark, sf_dir))
-    missing = fresh.exceptAll(stored).agg(F.count(F.lit(1)).alias("n_missing"))
-    extra = stored.exceptAll(fresh).agg(F.count(F.lit(1)).alias("n_extra")).scalar()
-    return missing.select("n_missing", extra.alias("n_extra"))
+    return spark.read.parquet(path).select("word", F.explode("docs").alias("doc_int"))

@@ -28,6 +28,7 @@ from quarry.plans.util import bounded_broadcast
 from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
                               top_k_cte)
 from quarry.session import scratch_path
+from quarry.sources import docstore as DS
 from quarry.sources import tables
 
 P = DEFAULT
@@ -74,21 +75,22 @@ SELECT k.query_id, k.rank, k.file, k.doc_id AS entry_id,
                                 '{{path}}', k.file)) AS text
 FROM keys k LEFT JOIN documents d ON d.doc_id = k.doc_id AND d.source = k.file""")
 def s12_text_lookup(spark, sf_dir):
-    """Text of (file, entry_id) keys in result order, default text when missing
-    (one key per query has no article)."""
+    """Text of (file, entry_id) keys in result order from the document store,
+    default text when missing (one key per query has no article)."""
     q = tables.benchmark_queries(spark, sf_dir)
     nq = q.count()
-    d = _docs(spark, sf_dir).select("doc_id", "file", "text")
-    top = S.search_bm25(q, _index(spark, sf_dir), P.with_(top_k=K)).select("query_id", "rank", "doc_id").persist()
-    ids = bounded_broadcast(top.select("doc_id").distinct(), nq * K, P.broadcast_max_rows)
-    wanted = d.join(ids, "doc_id", "left_semi")   # the text of k documents per query at most
-    keys = top.join(wanted.select("doc_id", "file"), "doc_id").select("query_id", "rank", "file", "doc_id").unionByName(
-        q.select("query_id", F.lit(0).cast("long").alias("rank"), F.lit("gone").alias("file"), (-1 - F.col("query_id")).alias("doc_id")))
-    j = keys.join(wanted, ["file", "doc_id"], "left")
-    default = F.replace(F.replace(F.lit(MISSING_ARTICLE_TEXT), F.lit("{id}"), F.col("doc_id").cast("string")),
+    d = _docs(spark, sf_dir).select("file", F.col("doc_id").alias("entry_id"), "text")
+    path = scratch_path(spark, f"documents-{uuid.uuid4().hex}")
+    DS.build(d, path)
+    top = S.search_bm25(q, _index(spark, sf_dir), P.with_(top_k=K)).select("query_id", "rank", F.col("doc_id").alias("entry_id")).persist()
+    ids = bounded_broadcast(top.select("entry_id").distinct(), nq * K, P.broadcast_max_rows)
+    known = d.select("file", "entry_id").join(ids, "entry_id", "left_semi")
+    keys = top.join(known, "entry_id").select("query_id", "rank", "file", "entry_id").unionByName(
+        q.select("query_id", F.lit(0).cast("long").alias("rank"), F.lit("gone").alias("file"), (-1 - F.col("query_id")).alias("entry_id")))
+    j = keys.join(DS.lookup(spark, path, keys), ["file", "entry_id"], "left")
+    default = F.replace(F.replace(F.lit(MISSING_ARTICLE_TEXT), F.lit("{id}"), F.col("entry_id").cast("string")),
                         F.lit("{path}"), F.col("file"))
-    return j.select("query_id", "rank", "file", F.col("doc_id").alias("entry_id"),
-                    F.coalesce("text", default).alias("text"))
+    return j.select("query_id", "rank", "file", "entry_id", F.coalesce("text", default).alias("text"))
 
 
 @register("f4_membership_filter", f"WITH {corpus_ctes().strip()},{query_ctes().strip()}" + """,

@@ -22,6 +22,7 @@ from quarry.plans.q_text import sql_html_text, sql_lines, sql_strip
 from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
                               tfidf_scores_cte, top_k_cte, top_k_sql)
 from quarry.session import scratch_path
+from quarry.sources import docstore as DS
 from quarry.sources import tables
 
 P = DEFAULT
@@ -93,16 +94,18 @@ SELECT s.key, coalesce(d.source, '') AS file, coalesce(CAST(d.doc_id AS VARCHAR)
        coalesce(list_filter({sql_lines('d.text')}, lambda x: {sql_strip('x')} <> '')[1], '') AS title
 FROM split s LEFT JOIN documents d ON d.source || '.zim' = s.file AND d.doc_id = s.entry_id""")
 def s13_bulk_lookup(spark, sf_dir):
-    """S13 + F12 + S12: keys -> (file, entry, title); malformed keys get ''."""
+    """S13 + F12 + S12: keys -> (file, entry, title) from the document store;
+    malformed keys get ''."""
     d = _docs(spark, sf_dir)
+    path = scratch_path(spark, f"documents-{uuid.uuid4().hex}")
+    DS.build(d.select("file", "entry_id", "doc_id", "text"), path)
     keys = d.select(F.concat("file", F.lit(".zim"), F.col("doc_id").cast("string")).alias("key")) \
             .unionByName(tables.pages(spark, sf_dir).select(F.col("url").alias("key")))
-    split = keys.select("key", F.regexp_extract("key", KEY_RE, 1).alias("kfile"),
+    split = keys.select("key", F.regexp_replace(F.regexp_extract("key", KEY_RE, 1), "[.]zim$", "").alias("file"),
                         F.regexp_extract("key", KEY_RE, 2).try_cast("long").alias("entry_id"))
-    dd = d.select(F.concat("file", F.lit(".zim")).alias("kfile"), F.col("doc_id").cast("long").alias("entry_id"),
-                  F.col("file").alias("dfile"), "doc_id", T.title("text").alias("title"))
-    j = split.join(dd, ["kfile", "entry_id"], "left")
-    return j.select("key", F.coalesce("dfile", F.lit("")).alias("file"),
+    found = DS.lookup(spark, path, split).select("file", "entry_id", "doc_id", F.lit(True).alias("hit"), T.title("text").alias("title"))
+    j = split.join(found, ["file", "entry_id"], "left")
+    return j.select("key", F.when(F.col("hit"), F.col("file")).otherwise("").alias("file"),
                     F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("entry"),
                     F.coalesce("title", F.lit("")).alias("title"))
 
@@ -120,19 +123,21 @@ def s15_latest_release(spark, sf_dir):
 
 # ---- aggregates ----------------------------------------------------------------------
 
+MERGE_BLOCK = 512
+
+
 @register("a3_merge_partial_counts", f"""
-WITH {corpus_ctes().strip()},
-part AS (SELECT d.source AS file, t.word, sum(t.tf) AS cnt, count(*) AS nd
-         FROM terms t JOIN documents d USING (doc_id) GROUP BY 1, 2)
-SELECT word, CAST(sum(cnt) AS BIGINT) AS total_tf, CAST(sum(nd) AS BIGINT) AS num_docs FROM part GROUP BY word""")
+WITH {corpus_ctes().strip()}
+SELECT word, CAST(floor(doc_id / {MERGE_BLOCK}) AS BIGINT) AS block, CAST(sum(tf) AS BIGINT) AS total_tf,
+       CAST(count(*) AS BIGINT) AS num_docs, list(doc_id ORDER BY doc_id) AS docs, list(tf ORDER BY doc_id) AS tfs
+FROM terms GROUP BY 1, 2""")
 def a3_merge_partial_counts(spark, sf_dir):
-    """Per-file partial word counts (one partial row per file and word),
-    then merged by re-summing across files."""
+    """Per-file partial maps of words to counts, documents and vectors,
+    merged across files: counts add up, maps unite, vectors are put together
+    document by document."""
     d = _docs(spark, sf_dir)
     t = _index(spark, sf_dir).terms.join(d.select("doc_id", "file"), "doc_id")
-    part = t.groupBy("file", "word").agg(F.sum("tf").alias("cnt"), F.count(F.lit(1)).alias("nd"))
-    return part.groupBy("word").agg(F.sum("cnt").cast("long").alias("total_tf"),
-                                    F.sum("nd").cast("long").alias("num_docs"))
+    return TM.merge_maps(TM.partial_maps(t, MERGE_BLOCK)).select("word", "block", "total_tf", "num_docs", "docs", "tfs")
 
 
 @register("a8_first_per_group", f"""
