@@ -3,12 +3,14 @@
 Voters: lexicons by category, regex patterns, and word-stem patterns mined
 from the labelled rows ("at least c words begin with this stem", where that is
 far likelier in toxic documents; counts over all labelled rows of the learning
-fold). The label itself is one more voter. A voter fires on a text or abstains.
+fold). A voter fires on a text or does not; no label votes.
 
 Label model: a generative model with a fire rate per class and voter, fitted by
-EM; the correlations that remain between voters given the class shrink the
-weight of voters that say the same thing, so a stem seen at three lengths does
-not count three times. It gives every row of the fit sample a posterior label.
+EM; the labels give the class balance and anchor the rates, and a posterior
+comes from the votes alone. Correlations that remain between voters given the class shrink the weight
+of voters that say the same thing, so a stem seen at three lengths does not
+count three times. It gives every row of the fit sample a posterior label, which
+may contradict the given one; ``Model.calibration`` holds it against the labels.
 
 Classifier: logistic regression on the posterior labels over the voters and
 hashed word stems, so that texts no voter knows are scored too. It is a few
@@ -44,13 +46,16 @@ from quarry.llm.common import materialise
 
 THRESHOLD = 0.7
 FIT_ROWS = 10_000
-#: Mined stems: lengths, numbers of words, least toxic documents, least odds ratio, most kept.
+#: Mined stems: lengths, numbers of words, least toxic documents, least odds ratio.
 STEM_LENGTHS = (4, 5, 6, 7)
 STEM_COUNTS = (1, 2, 3)
 MIN_SUPPORT = 5
 MIN_ODDS = 30.0
-MAX_STEMS = 300
 HASH_BITS = 14
+#: Share of the evidence of a voter that does not fire.
+SILENCE = 0.2
+#: Words whose features a worker remembers.
+KNOWN_WORDS = 200_000
 
 # Word stems by category, matched at the start of a word.
 LEXICONS = {
@@ -77,6 +82,8 @@ class Model:
     voter_weights: list[float] = field(default_factory=list)
     hash_weights: np.ndarray = field(default_factory=lambda: np.zeros(1 << HASH_BITS))
     accuracies: dict[str, tuple[float, float]] = field(default_factory=dict)
+    #: (rows, mean posterior, share of label 1) of the fit sample by tenths of the posterior.
+    calibration: list[tuple[int, float, float]] = field(default_factory=list)
 
     @property
     def voters(self) -> list[str]:
@@ -84,24 +91,52 @@ class Model:
 
 
 class Featurizer:
-    """Voters that fire on a text, and its distinct hashed stems."""
+    """Voters that fire on a text, and its distinct hashed stems.
+
+    What a word contributes is worked out once and remembered. A lexicon or
+    pattern is searched for only in texts with a word (or sign) that any of its
+    matches must hold.
+    """
 
     def __init__(self, stems: list[tuple[str, int]]):
         self.rules = [re.compile(r"\b(?:" + "|".join(map(re.escape, w)) + ")") for w in LEXICONS.values()]
         self.rules += [re.compile(p) for p in PATTERNS.values()]
+        self.openings: dict[str, set[int]] = {"you": {len(LEXICONS) + list(PATTERNS).index("second_person")}}
+        for i, entries in enumerate(LEXICONS.values()):
+            for e in entries:
+                self.openings.setdefault(e.split(" ")[0], set()).add(i)
+        self.signs = {len(LEXICONS) + list(PATTERNS).index("masked"): "*#@$", len(LEXICONS) + list(PATTERNS).index("exclaimed"): "!"}
+        self.open_lengths = sorted({len(o) for o in self.openings})
         self.stem_at: dict[str, list[tuple[int, int]]] = {}
         for i, (s, c) in enumerate(stems):
             self.stem_at.setdefault(s, []).append((c, len(self.rules) + i))
         self.lengths = sorted({len(s) for s in self.stem_at})
+        self.known: dict[str, tuple[int, tuple[str, ...], tuple[int, ...]]] = {}
+
+    def word(self, w: str) -> tuple[int, tuple[str, ...], tuple[int, ...]]:
+        """Hash of the word's beginning, the mined stems it begins with, rules it may be the start of."""
+        stems = tuple(s for s in {w[:n] for n in self.lengths} if s in self.stem_at)
+        rules = {i for n in self.open_lengths for i in self.openings.get(w[:n], ())}
+        if len(self.known) >= KNOWN_WORDS:
+            self.known.clear()
+        got = self.known[w] = (zlib.crc32(w[:5].encode()) & ((1 << HASH_BITS) - 1), stems, tuple(rules))
+        return got
 
     def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
         low = (text or "").lower()
-        fired = [i for i, r in enumerate(self.rules) if r.search(low)]
-        found = Counter(_WORD.findall(low))
-        for s, n in stem_counts(found, self.lengths, self.stem_at).items():
-            fired += [k for c, k in self.stem_at[s] if n >= c]
-        mask = (1 << HASH_BITS) - 1
-        hashed = {zlib.crc32(w.encode()) & mask for w in {w[:5] for w in found}}
+        hashed: set[int] = set()
+        counts: dict[str, int] = {}
+        maybe = {i for i, signs in self.signs.items() if any(x in low for x in signs)}
+        known = self.known.get
+        for w, c in Counter(_WORD.findall(low)).items():
+            h, stems, rules = known(w) or self.word(w)
+            hashed.add(h)
+            for s in stems:
+                counts[s] = counts.get(s, 0) + c
+            if rules:
+                maybe.update(rules)
+        fired = [i for i in maybe if self.rules[i].search(low)]
+        fired += [k for s, n in counts.items() for c, k in self.stem_at[s] if n >= c]
         return sorted(fired), sorted(hashed)
 
 
@@ -155,40 +190,52 @@ def mine_stems(rows: DataFrame) -> list[tuple[str, int]]:
     each = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"neg{c}").alias("neg"), F.col(f"pos{c}").alias("pos")) for c in STEM_COUNTS])
     c = sums.filter(F.col(f"pos{STEM_COUNTS[0]}") >= MIN_SUPPORT).select("stem", F.inline(each)).filter(F.col("pos") >= MIN_SUPPORT)
     odds = ((F.col("pos") + 0.5) / (n_pos - F.col("pos") + 0.5)) / ((F.col("neg") + 0.5) / (n_neg - F.col("neg") + 0.5))
-    top = c.filter(odds >= MIN_ODDS).orderBy(F.desc("pos"), F.length("stem"), "stem", "c").limit(8 * MAX_STEMS).collect()
-    kept: dict[tuple[str, int], int] = {}
-    for r in top:  # a longer stem says nothing new where its beginning has as many documents
-        begins = (kept.get((r["stem"][:n], r["c"])) for n in STEM_LENGTHS if n < len(r["stem"]))
-        if len(kept) < MAX_STEMS and not any(b is not None and r["pos"] >= 0.95 * b for b in begins):
-            kept[r["stem"], r["c"]] = r["pos"]
-    return list(kept)
+    c = materialise(c.filter(odds >= MIN_ODDS).select("stem", "c", "pos"), "toxic-stems")
+    # a longer stem says nothing new where its beginning has as many documents
+    shorter = F.array(*[F.when(F.length("stem") > n, F.left("stem", F.lit(n))) for n in STEM_LENGTHS])
+    begins = c.select("stem", "c", "pos", F.explode(shorter).alias("begin")).filter("begin is not null")
+    of = c.select(F.col("stem").alias("begin"), "c", F.col("pos").alias("begin_pos"))
+    same = begins.join(of, ["begin", "c"]).filter(F.col("pos") >= 0.95 * F.col("begin_pos")).select("stem", "c").distinct()
+    kept = c.join(same, ["stem", "c"], "left_anti").orderBy(F.desc("pos"), F.length("stem"), "stem", "c")
+    return [(r["stem"], r["c"]) for r in kept.collect()]  # the voters of the model
 
 
 # ---------------------------------------------------------------- label model
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of class 1 per row, and the fire rates per voter in class 1 and 0.
 
-    ``votes``: rows x voters, 0/1. ``gold``: the label, as a further voter.
+    ``votes``: rows x voters, 0/1. The labels ``gold`` give the class balance and
+    anchor the fire rates, as counts that weigh as much as the posterior's own; a
+    row's posterior itself comes from its votes alone. A voter that does not fire
+    mostly abstains (``SILENCE`` of its evidence counts), and that all are silent
+    is evidence of its own.
     """
-    v = np.concatenate([votes, gold[:, None]], axis=1).astype(np.float64)
-    q = np.where(gold == 1, 0.95, 0.05)
-    share = np.ones(v.shape[1])
+    v = votes.astype(np.float64)
+    balance = float(np.clip(gold.mean(), 0.001, 0.999))
+    silent = (v.sum(axis=1) == 0).astype(np.float64)
+    given = gold.astype(np.float64)
+    q, share = given, np.ones(v.shape[1])
+    fire1 = fire0 = np.full(v.shape[1], 0.5)
     for k in range(rounds):
-        prior = np.clip(q.mean(), 1e-4, 1 - 1e-4)
-        fire1 = (q @ v + 0.1) / (q.sum() + 1.0)
-        fire0 = ((1 - q) @ v + 0.01) / ((1 - q).sum() + 1.0)
-        if k in (rounds // 3, 2 * rounds // 3):
+        one, zero = q + given, 2 - q - given
+        fire1, fire0 = (one @ v + 0.5) / (one.sum() + 1.0), (zero @ v + 0.5) / (zero.sum() + 1.0)
+        none1, none0 = (one @ silent + 0.1) / (one.sum() + 1.0), (zero @ silent + 0.1) / (zero.sum() + 1.0)
+        if k in (0, rounds // 2):
             rest = v - (q[:, None] * fire1 + (1 - q)[:, None] * fire0)
             sd = np.sqrt((rest ** 2).mean(axis=0)) + 1e-9
-            corr = (rest.T @ rest) / len(v) / np.outer(sd, sd)
+            corr = (rest.T @ rest) / max(len(v), 1) / np.outer(sd, sd)
             np.fill_diagonal(corr, 0)
-            share = 1 / (1 + np.where(np.abs(corr) > 0.1, np.abs(corr), 0).sum(axis=1))
-            share[-1] = 1.0
-        on, off = np.log(fire1 / fire0), np.log((1 - fire1) / (1 - fire0))
-        off[:-1] = 0.0  # lexicons and patterns abstain where they do not fire; the label votes either way
-        z = math.log(prior / (1 - prior)) + v @ (share * (on - off)) + (share * off).sum()
+            share = (1 + np.where(np.abs(corr) > 0.3, np.abs(corr), 0).sum(axis=1)) ** -0.5
+        quiet = SILENCE * (share * np.log((1 - fire1) / (1 - fire0))).sum()
+        z = math.log(balance / (1 - balance)) + v @ (share * np.log(fire1 / fire0)) + silent * math.log(none1 / none0) + quiet
         q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return q, fire1[:-1], fire0[:-1]
+    return q, fire1, fire0
+
+
+def calibration(q: np.ndarray, gold: np.ndarray, bins: int = 10) -> list[tuple[int, float, float]]:
+    """Rows, mean posterior and share of label 1 in each tenth of the posterior that has rows."""
+    at = np.minimum((q * bins).astype(int), bins - 1)
+    return [(int((at == b).sum()), float(q[at == b].mean()), float(gold[at == b].mean())) for b in range(bins) if (at == b).any()]
 
 
 def fit_linear(rows: list[tuple[list[int], list[int]]], q: np.ndarray, n_voters: int,
@@ -231,8 +278,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     rows = texts.join(side, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "y")
     stems = mine_stems(rows)
     featurize = Featurizer(stems)
-    chosen = y.orderBy(F.xxhash64("l_id"), "l_id").limit(fit_rows)  # bounded: fit_rows ids
-    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "y")
+    chosen = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)  # bounded: fit_rows ids
+    sample = rows.join(F.broadcast(chosen), "doc_id", "left_semi")
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -256,6 +303,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     bias, w = fit_linear(feats, q, n_voters)
     model = Model(stems, bias, w[:n_voters].tolist(), w[n_voters:])
     model.accuracies = {v: (float(a), float(c)) for v, a, c in zip(model.voters, fire1, fire0)}
+    model.calibration = calibration(q, gold)
     return model
 
 

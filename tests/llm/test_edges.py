@@ -324,12 +324,36 @@ def test_toxicity_edges(spark, docs, empty):
 def test_label_model_weighs_correlated_voters():
     rng = np.random.default_rng(0)
     y = (rng.random(4000) < 0.2).astype(int)
-    good = ((rng.random(4000) < 0.6) & (y == 1)) | (rng.random(4000) < 0.02)
+    good = [((rng.random(4000) < p) & (y == 1)) | (rng.random(4000) < 0.01) for p in (0.7, 0.6, 0.8)]
     noise = rng.random(4000) < 0.3
-    votes = np.stack([good, noise, noise], axis=1).astype(float)
+    votes = np.stack([*good, noise, noise], axis=1).astype(float)
     q, fire1, fire0 = toxicity.label_model(votes, y)
-    assert ((q > 0.5) == (y == 1)).mean() > 0.97
-    assert fire1[0] / fire0[0] > 5 and 0.5 < fire1[1] / fire0[1] < 2
+    assert ((q > 0.5) == (y == 1)).mean() > 0.96
+    assert (fire1[:3] / fire0[:3] > 5).all() and (fire1[3:] / fire0[3:] < 2).all()
+
+
+def test_noisy_labels_are_outvoted():
+    rng = np.random.default_rng(1)
+    y = (rng.random(5000) < 0.2).astype(int)
+    votes = np.stack([((rng.random(5000) < 0.5) & (y == 1)) | (rng.random(5000) < 0.005) for _ in range(8)], axis=1).astype(float)
+    gold = np.where(rng.random(5000) < 0.1, 1 - y, y)   # one label in ten is wrong
+    q, _, _ = toxicity.label_model(votes, gold)
+    wrong = gold != y
+    assert ((q[wrong] > 0.5) == (y[wrong] == 1)).mean() > 0.9 and ((q > 0.5) == (y == 1)).mean() > 0.96
+    for n, mean, share in toxicity.calibration(q, y):
+        assert n < 100 or abs(mean - share) < 0.15
+
+
+def test_featurizer_finds_what_the_rules_find():
+    f = toxicity.Featurizer([("abcd", 1), ("abcd", 2), ("abcde", 1), ("xyz1", 1)])
+    texts = ["you are such an idiot", "YOU'RE PATHETIC!!!", "hate you, shut up", "x idiotic 1idiot _moron", "f**k sh@@ a*b", "!!",
+             "abcdef abcdx ABCDE", "vermin dummkopf abruti escoria", "drop dead now", "kill yourself", "you loser", "you fools", None, ""]
+    for t in texts:
+        low = (t or "").lower()
+        fired = {i for i, r in enumerate(f.rules) if r.search(low)}
+        n = {s: sum(w.startswith(s) for w in toxicity._WORD.findall(low)) for s in f.stem_at}
+        fired |= {k for s, at in f.stem_at.items() for c, k in at if n[s] >= c}
+        assert f(t)[0] == sorted(fired), t
 
 
 # ------------------------------------------------------------------ licences
