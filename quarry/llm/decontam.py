@@ -66,17 +66,17 @@ def build_index(docs: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def rarest(wins: DataFrame, vocab: DataFrame, index: DataFrame, lists: int = LISTS) -> DataFrame:
-    """``term, win, off, need``: the lists each window reads, rarest terms first.
+    """``term, win, len, off, need``: the lists each window reads, rarest terms first.
 
     Windows with a word that no document has are gone.
     """
     cf = index.groupBy("term").agg(F.count("*").alias("cf"))
     cf = materialise(vocab.join(cf, "term", "left").select("word", "term", F.coalesce("cf", F.lit(0)).alias("cf")), "term-counts")
     t = wins.select("win", F.size("words").alias("len"), F.posexplode("words").alias("off", "word")).join(small(cf, 80), "word")
-    t = t.groupBy("win").agg(F.min("cf").alias("least"),
+    t = t.groupBy("win", "len").agg(F.min("cf").alias("least"),
                              F.slice(F.array_sort(F.collect_list(F.struct("cf", "off", "term"))), 1, lists).alias("t"))
-    return t.filter("least > 0").select("win", F.size("t").alias("need"), F.explode("t").alias("t")).select(
-        F.col("t.term").alias("term"), "win", F.col("t.off").alias("off"), "need")
+    return t.filter("least > 0").select("win", "len", F.size("t").alias("need"), F.explode("t").alias("t")).select(
+        F.col("t.term").alias("term"), "win", "len", F.col("t.off").alias("off"), "need")
 
 
 def matches(docs: DataFrame, index: DataFrame, wins: DataFrame, vocab: DataFrame,
@@ -88,9 +88,9 @@ def matches(docs: DataFrame, index: DataFrame, wins: DataFrame, vocab: DataFrame
     by the place of the phrase's rarest word.
     """
     probes = materialise(rarest(wins, vocab, index, lists), "probes")
-    p = small(probes, 40).withColumnRenamed("term", "p_term")
+    p = small(probes, 44).withColumnRenamed("term", "p_term")
     found = index.join(p, index["term"] == p["p_term"]).select(
-        "doc_id", "h", "win", "need", "off", (F.col("pos") - F.col("off")).alias("start"))
+        "doc_id", "h", "win", "len", "need", "off", (F.col("pos") - F.col("off")).alias("start"))
     if slop:
         # the rarest list stays as it is, the others are spread; which is which follows from the probes
         lead = _lead(probes, index, vocab)
@@ -99,37 +99,42 @@ def matches(docs: DataFrame, index: DataFrame, wins: DataFrame, vocab: DataFrame
         spread = F.when(F.col("l_win").isNotNull(), F.array("start")).otherwise(
             F.sequence(F.col("start") - slop, F.col("start") + slop))
         found = found.withColumn("is_lead", F.col("l_win").isNotNull()).select(
-            "doc_id", "h", "win", "need", "off", "is_lead", F.explode(spread).alias("start"))
-        both = found.groupBy("doc_id", "h", "win", "start").agg(
+            "doc_id", "h", "win", "len", "need", "off", "is_lead", F.explode(spread).alias("start"))
+        both = found.groupBy("doc_id", "h", "win", "len", "start").agg(
             F.size(F.collect_set("off")).alias("got"), F.max("need").alias("need"), F.max("is_lead").alias("led"))
         both = both.filter("got = need and led")
     else:
         # a start has a term's posting once, so counting rows counts lists; repeated rows only raise it
-        both = found.filter("start >= 0").groupBy("doc_id", "h", "win", "start").agg(
+        both = found.filter("start >= 0").groupBy("doc_id", "h", "win", "len", "start").agg(
             F.count("*").alias("got"), F.max("need").alias("need")).filter("got >= need")
     per = both.groupBy(F.col("doc_id").alias("c_id"), F.col("h").alias("c_h")).agg(
-        F.collect_list(F.struct("win", "start")).alias("cands"))
+        F.collect_list(F.struct("win", "start", "len")).alias("cands"))
     per = materialise(per, "candidates")
     n = per.agg(F.sum(F.size("cands"))).first()[0] or 0
-    per = F.broadcast(per) if n * 24 <= BROADCAST_BYTES else per
+    per = F.broadcast(per) if n * 28 <= BROADCAST_BYTES else per
     text = F.col("text").cast("string")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(text).alias("h"), text.alias("text"))
     cand = src.join(per, src["doc_id"].eqNullSafe(per["c_id"]) & (src["h"] == per["c_h"]))
     cand = cand.select("doc_id", "h", words(F.col("text")).alias("ws"), "cands")
-    cand = cand.select("doc_id", "h", "ws", F.explode("cands").alias("c"))
+    # a candidate carries the words of its own place only, never its document's
+    first = lambda c: F.greatest(c["start"] - slop, F.lit(0))
+    own = F.transform("cands", lambda c: F.struct(
+        c["win"].alias("win"), c["start"].alias("start"),
+        F.when(first(c) < F.size("ws"), F.slice("ws", first(c) + 1, c["start"] + c["len"] + slop - first(c)))
+         .otherwise(F.array().cast("array<string>")).alias("here")))
+    cand = cand.select("doc_id", "h", F.explode(own).alias("c")).select("doc_id", "h", "c.win", "c.start", "c.here")
     w = small(wins, 400).select(F.col("win").alias("w_win"), F.col("words").alias("pw"))
-    j = cand.join(w, F.col("c.win") == w["w_win"])
-    exact = F.when(F.col("c.start") >= 0, F.slice("ws", F.greatest(F.col("c.start") + 1, F.lit(1)), F.size("pw")) == F.col("pw")
-                   ).otherwise(False)
+    j = cand.join(w, F.col("win") == F.col("w_win"))
+    at = F.col("start") - F.greatest(F.col("start") - slop, F.lit(0))  # the start's place in ``here``
+    exact = F.when(at >= 0, F.slice("here", F.greatest(at + 1, F.lit(1)), F.size("pw")) == F.col("pw")).otherwise(False)
     if slop:
         near = F.forall(F.transform("pw", lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: F.array_contains(
-            F.slice("ws", F.greatest(F.col("c.start") + s["i"] - slop + 1, F.lit(1)),
-                    F.greatest(F.lit(0), F.lit(2 * slop + 1) + F.least(F.col("c.start") + s["i"] - slop, F.lit(0)))), s["x"]))
+            F.slice("here", F.greatest(at + s["i"] - slop + 1, F.lit(1)),
+                    F.greatest(F.lit(0), F.lit(2 * slop + 1) + F.least(at + s["i"] - slop, F.lit(0)))), s["x"]))
         j = j.filter(near)
     else:
         j = j.filter(exact)
-    return j.select("doc_id", "h", F.col("c.win").alias("win"), F.col("c.start").alias("start"),
-                    F.size("pw").alias("len"), exact.alias("exact")).distinct()
+    return j.select("doc_id", "h", "win", "start", F.size("pw").alias("len"), exact.alias("exact")).distinct()
 
 
 def _lead(probes: DataFrame, index: DataFrame, vocab: DataFrame) -> DataFrame:
