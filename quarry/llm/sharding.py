@@ -9,7 +9,10 @@ that all match the mixture and whose row counts differ by one at most.
 Both ranks (within the source, and overall) are exact and distributed: rows
 are bucketed by the leading part of what they are sorted by, ranked within the
 bucket, and moved by the number of rows in the buckets before. A bucket holds
-about ``ROWS_PER_BUCKET`` rows whatever the size of its source.
+about ``ROWS_PER_BUCKET`` rows whatever the size of its source. Sources of
+equal size share their fractional ranks; where there are more sources than a
+bucket's rows, crowded buckets are cut by the rank itself and by ranges of the
+sources' own order, in which a source has one row at a rank.
 
 Defined cases: a null source is a source of its own; null text has no bytes
 and CRC 0; repeated rows are rows of their own and get slots of their own;
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BROADCAST_BYTES, materialise
+from quarry.operators.index import sequential_ids
 
 N_SHARDS = 16
 SEED = 7
@@ -46,6 +50,24 @@ def _ranked(df: DataFrame, group: list[str], bucket: str, order: list[str], out:
             .drop("_r", "_before"))
 
 
+def _positions(rows: DataFrame, n_rows: int, n_sources: int, rows_per_bucket: int) -> DataFrame:
+    """0-based place ``_pos`` of each row of ``rows(frac, _src, _sr)`` by (frac, source)."""
+    wide = max(1, -(-n_rows // rows_per_bucket))
+    rows = rows.withColumn("_g", F.floor(F.col("frac") * F.lit(wide)).cast("long")).withColumn("_all", F.lit(0))
+    if n_sources <= rows_per_bucket:  # a bucket has at most one row of each source above its share
+        return _ranked(rows, ["_all"], "_g", ["frac", "_src"], "_pos")
+    sizes = materialise(rows.groupBy("_g").agg(F.count("*").alias("_c")), "shard-buckets")
+    before = sizes.select("_g", F.col("_c").alias("_crowd"),
+                          (F.sum("_c").over(Window.orderBy("_g")) - F.col("_c")).alias("_skip"))
+    ranges = -(-n_sources // rows_per_bucket)
+    crowded = F.col("_crowd") > 2 * rows_per_bucket
+    # in the order of (frac, range of sources); one part where the bucket is small
+    part = F.struct(F.when(crowded, F.col("frac")).otherwise(0.0).alias("f"),
+                    F.when(crowded, F.expr(f"((_sr - 1) * {ranges}) div {n_sources}")).otherwise(0).alias("s"))
+    rows = _ranked(rows.join(before, "_g").withColumn("_part", part), ["_g"], "_part", ["frac", "_src"], "_in")
+    return rows.withColumn("_pos", F.col("_skip") + F.col("_in")).drop("_skip", "_in", "_part", "_crowd")
+
+
 def interleave(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``doc_id, source, size, text_crc32, shard, slot, frac`` for every row of
@@ -62,8 +84,9 @@ def interleave(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
     rows = rows.withColumn("_k", shuffle_key(F.col("doc_id"), seed))
     totals = rows.groupBy("_src").agg(F.count("*").alias("_n"))
     stat = totals.agg(F.count("*"), F.sum("_n")).first()
-    n_rows = stat[1] or 0
-    totals = F.broadcast(totals) if stat[0] * 64 <= BROADCAST_BYTES else totals
+    n_sources, n_rows = stat[0], stat[1] or 0
+    totals = sequential_ids(totals, [F.col("_src")], "_sr") if n_sources > rows_per_bucket else totals
+    totals = F.broadcast(totals) if n_sources * 64 <= BROADCAST_BYTES else totals
     rows = rows.join(totals, "_src")
     # the leading 32 bits of the shuffle key, scaled to the source's buckets
     lead = F.conv(F.substring("_k", 1, 8), 16, 10).cast("long")
@@ -72,9 +95,7 @@ def interleave(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
     rows = _ranked(rows, ["_src"], "_b", ["_k", "doc_id", "tie", "n_bytes"], "_rank")
     rows = materialise(rows, "shard-ranked")  # small: the text is read once
     rows = rows.withColumn("frac", (F.col("_rank") + F.lit(0.5)) / F.col("_n"))
-    wide = max(1, -(-n_rows // rows_per_bucket))
-    rows = rows.withColumn("_g", F.floor(F.col("frac") * F.lit(wide)).cast("long")).withColumn("_all", F.lit(0))
-    rows = _ranked(rows, ["_all"], "_g", ["frac", "_src"], "_pos")
+    rows = _positions(rows, n_rows, n_sources, rows_per_bucket)
     # position p of n goes to shard floor(p * shards / n); its slot counts from the shard's first position
     rows = rows.withColumn("shard", F.expr(f"cast((_pos * {n_shards}) div {max(1, n_rows)} as int)"))
     first = F.expr(f"(cast(shard as bigint) * {n_rows} + {n_shards - 1}) div {n_shards}")

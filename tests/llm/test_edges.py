@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -227,6 +228,30 @@ def test_proximity(spark):
         assert got == want
 
 
+def test_candidates_leave_their_documents(spark, monkeypatch):
+    """Where the windows are too many to broadcast, no exchange carries a document's words."""
+    import contextlib
+    import io
+
+    d = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "x y")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "b c d e")], "item_id long, text string")
+    wins, _ = decontam.phrases(b)
+    vocab = decontam.vocabulary(wins)
+    index = decontam.build_index(d, vocab)
+    monkeypatch.setattr(decontam, "small", lambda df, *_: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = decontam.matches(d, index, wins, vocab)
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            m.explain("formatted")
+        assert [r["start"] for r in m.collect()] == [1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [p for p in plan.getvalue().split("\n\n") if ") Exchange" in p]
+    assert len(moved) >= 2 and not any(re.search(r"\bws#", p.split("Arguments")[0]) for p in moved)
+    assert any("here#" in p for p in moved)
+
+
 # ------------------------------------------------------------------ urls
 def test_url_edges(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://Example.ORG/es/1", "http://example.org", "http://a.example.org/en/1x?q",
@@ -264,6 +289,18 @@ def test_shard_edges(docs, empty):
     assert sorted(few["slot"]) == [0, 0, 0]
 
 
+def test_shard_many_sources(spark):
+    """More sources than a bucket's rows, most of one row: they tie at 0.5 and are cut by source."""
+    data = [(i, f"s{i % 700}" if i < 1000 else f"one{i}", f"t{i}") for i in range(4000)]
+    d = spark.createDataFrame(data, "doc_id long, source string, text string")
+    key = ["doc_id", "shard", "slot"]
+    want = sorted(map(tuple, sharding.interleave(d).select(*key).collect()))
+    assert sorted(map(tuple, sharding.interleave(d, rows_per_bucket=50).select(*key).collect())) == want
+    src = spark.createDataFrame([(0.5, f"x{i:05d}", i + 1) for i in range(900)], "frac double, _src string, _sr long")
+    got = sharding._positions(src, 900, 900, 50)
+    assert sorted(map(tuple, got.select("_sr", "_pos").collect())) == [(i + 1, i) for i in range(900)]
+
+
 # ------------------------------------------------------------------ mixing
 def test_mix_edges(docs, empty):
     got = mixing.mix(with_clash(docs), block_rows=4).toPandas()
