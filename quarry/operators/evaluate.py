@@ -102,15 +102,13 @@ def known_item_truth(items: DataFrame, docs: DataFrame, params: Params = DEFAULT
     No (item, document) product: an item's interior whitespace tokens must be
     whole tokens of any containing document, so its ``probes`` rarest interior
     tokens select the candidates (joins on the token), and ``contains`` is then
-    checked on those pairs only. Items of fewer than three tokens have no
-    interior token; they are checked against every text where it is read (one
-    array of the short items, itself no larger than the query batch).
+    checked on those pairs only; texts without a candidate stay where they are.
+    Items of fewer than three tokens have no interior token: their longest one
+    must be part of a token of the document (``_short_candidates``).
     """
     toks = F.filter(F.split(F.lower("query"), WS_PATTERN), lambda w: w != "")
     it = items.select("query_id", "query", toks.alias("t"))
-    short = it.filter((F.size("t") < 3) & (F.size("t") > 0)).agg(F.collect_list(F.struct("query_id", "query")).alias("s")).scalar()
-    found = docs.select("doc_id", "text", F.explode(short).alias("q")).filter(F.col("text").contains(F.col("q.query"))) \
-                .select(F.col("q.query_id").alias("query_id"), "doc_id")
+    short = it.filter((F.size("t") < 3) & (F.size("t") > 0)).select("query_id", "query")
     it = it.filter(F.size("t") >= 3)
     itok = it.select("query_id", F.explode(F.array_distinct(F.slice("t", 2, F.size("t") - 2))).alias("token")).cache()
     n_tok = itok.count()
@@ -131,11 +129,34 @@ def known_item_truth(items: DataFrame, docs: DataFrame, params: Params = DEFAULT
                   .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("have"))
                   .join(need, "query_id").filter(F.col("have") == F.col("need"))
                   .select("query_id", "doc_id"))
-    return (cand.join(docs.select("doc_id", "text"), "doc_id")
+    if not short.isEmpty():
+        cand = cand.unionByName(_short_candidates(short, docs))
+    cand = cand.checkpoint()
+    # only the texts of candidates meet the pairs
+    wanted = bounded_broadcast(cand.select("doc_id").distinct(), cand.count(), params.broadcast_max_rows)
+    return (cand.join(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "doc_id")
                 .join(items.select("query_id", "query"), "query_id")
                 .filter(F.col("text").contains(F.col("query")))
-                .select("query_id", "doc_id")
-                .unionByName(found))
+                .select("query_id", "doc_id"))
+
+
+def _short_candidates(short: DataFrame, docs: DataFrame) -> DataFrame:
+    """``query_id, doc_id`` of the documents with a token that holds the item's longest token.
+
+    The distinct tokens of the corpus meet the items on a gram (the first three
+    characters of the item's token, or all of a shorter one) and are then
+    compared; the documents follow by their tokens.
+    """
+    of = lambda c: F.array_distinct(F.filter(F.split(c, WS_PATTERN), lambda w: w != ""))
+    probe = F.array_max(F.transform(of("query"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    probes = short.select("query_id", probe.alias("probe")).withColumn("gram", F.substring("probe", 1, 3))
+    tokens = docs.select("doc_id", F.explode(of("text")).alias("token"))
+    chars = tokens.select("token").distinct().select("token", F.split("token", "").alias("c"))
+    three = F.transform("c", lambda x, i: F.array_join(F.slice("c", i + 1, 3), ""))
+    grams = chars.select("token", F.explode(F.array_distinct(F.flatten(F.transform(three, lambda g: F.array(
+        F.substring(g, 1, 1), F.substring(g, 1, 2), g))))).alias("gram"))
+    hits = grams.join(probes, "gram").filter(F.col("token").contains(F.col("probe"))).select("query_id", "token").distinct()
+    return tokens.join(hits, "token").select("query_id", "doc_id").distinct()
 
 
 def hit_positions(results: DataFrame, truth: DataFrame) -> DataFrame:

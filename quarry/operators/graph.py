@@ -51,6 +51,8 @@ def bfs(starts: DataFrame, edges: DataFrame, max_depth: int, links_per_page: int
     if nodes is not None:
         starts = starts.join(nodes.select("node"), "node", "left_semi")
     visited = starts.select("query_id", "node", F.lit(0).alias("depth"))
+    if checkpoint:
+        visited = visited.checkpoint()
     frontier = visited
     for d in range(1, max_depth + 1):
         nxt = (frontier.join(capped, frontier.node == capped.src)
@@ -61,9 +63,7 @@ def bfs(starts: DataFrame, edges: DataFrame, max_depth: int, links_per_page: int
                  .withColumn("depth", F.lit(d))
         if checkpoint:
             nxt = nxt.checkpoint()
-        visited = visited.unionByName(nxt)
-        if checkpoint:
-            visited = visited.checkpoint()
+        visited = visited.unionByName(nxt)  # a level is written once, never the levels before it
         frontier = nxt
     return visited.withColumn("depth", F.col("depth").cast("long"))
 

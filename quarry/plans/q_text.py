@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarry.config import (PUNCT_FROM, PUNCT_TO, SUBSCRIPT_DIGITS, SUPERSCRIPT_DIGITS,
                            enclosed_number_map)
 from quarry.functions import html as H
 from quarry.functions import text as T
+from quarry.functions.tokenizer import RULES, SENTENCES, word_tokenize
 from quarry.plans.catalog import register
 from quarry.plans.sql import STOP_LIST, WS, basic_tokens, lit
 from quarry.sources import tables
@@ -102,6 +105,24 @@ def t6_tokenize(spark, sf_dir):
             .withColumn("pos", F.col("pos").cast("long"))
 
 
+def _cascade_sql(c: str) -> str:
+    """The word tokeniser's rules one after the other; groups are written as backslash and number."""
+    for pattern, by in SENTENCES + RULES:
+        c = f"regexp_replace({c}, {lit(pattern)}, {lit(re.sub('[$]([0-9])', lambda m: chr(92) + m[1], by))}, 'g')"
+    return c
+
+
+@register("t6_word_tokenize", f"""
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, token FROM (
+  SELECT doc_id, generate_subscripts(toks, 1) - 1 AS pos, unnest(toks) AS token
+  FROM (SELECT doc_id, list_filter(regexp_split_to_array({_cascade_sql('text')}, '[ \n]+'), lambda w: w <> '') AS toks
+        FROM documents))""")
+def t6_word_tokenize(spark, sf_dir):
+    """Contractions, quotes and ends of sentences as tokens of their own."""
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(word_tokenize("text")).alias("pos", "token")) \
+                               .withColumn("pos", F.col("pos").cast("long"))
+
+
 @register("t7_stopwords", f"""
 SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens,
        CAST(len(list_filter(toks, lambda w: length(w) > 1 AND NOT list_contains({STOP_LIST}, w))) AS BIGINT) AS n_kept

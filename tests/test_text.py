@@ -160,3 +160,21 @@ def test_noun_lemmas(spark):
     got = {r["word"]: r["lemma"] for r in noun_lemmas(df).collect()}
     assert got == {**{w: w for w in words}, "cats": "cat", "boxes": "box", "ponies": "pony", "women": "woman",
                    "churches": "church", "wolves": "wolf", "men": "man", "buses": "bus", "feet": "foot"}
+
+
+def test_word_tokenize(spark):
+    from quarry.functions.tokenizer import word_tokenize
+    cases = {
+        "Good muffins cost $3.88\nin New York.  Please buy me\ntwo of them.\nThanks.":
+            "Good muffins cost $ 3.88 in New York . Please buy me two of them . Thanks .".split(),
+        "They'll save and invest more.": ["They", "'ll", "save", "and", "invest", "more", "."],
+        "hi, my name can't hello,": ["hi", ",", "my", "name", "ca", "n't", "hello", ","],
+        'He said "no" -- (twice)... and cannot': ["He", "said", "``", "no", "''", "--", "(", "twice", ")", "...", "and", "can", "not"],
+        "I wanna go, gimme it; 'tis Tom's": ["I", "wan", "na", "go", ",", "gim", "me", "it", ";", "'t", "is", "Tom", "'s"],
+        "Is it 3:45, or 1,000?": ["Is", "it", "3:45", ",", "or", "1,000", "?"],
+        "": [], " \n ": [],
+    }
+    d = spark.createDataFrame([(t, w) for t, w in cases.items()], "t string, want array<string>")
+    for r in d.select("t", "want", word_tokenize("t").alias("got")).collect():
+        assert r.got == r.want, r.t
+    assert spark.sql("select cast(null as string) t").select(word_tokenize("t").alias("g")).first().g is None
