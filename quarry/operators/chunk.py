@@ -87,6 +87,12 @@ def direct_split(docs: DataFrame, params: Params = DEFAULT, splitter: str = "\n\
                     pad(chunk, ctx, params.pad_token_id).alias("tokens"))
 
 
+def _number(name: str) -> Column:
+    """A piece's number in its path: six digits at least, longer numbers whole."""
+    n = F.col(name).cast("string")
+    return F.lpad(n, F.greatest(F.lit(6), F.length(n)), F.lit("0"))
+
+
 def recursive_split(docs: DataFrame, params: Params = DEFAULT,
                     tokenizer: Tokenizer = hash_tokenizer, text_col: str = "text") -> DataFrame:
     """C3 + C4 (+ C5 dispatch with ``recursive_split=True``).
@@ -109,7 +115,7 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
         p = df.select("doc_id", "path", F.col("piece").alias("parent"), F.col("text_idx").alias("base"),
                       F.posexplode(F.split("piece", sep)).alias("i", "piece"))
         p = p.filter(F.col("piece") != "")
-        return p.select("doc_id", F.concat("path", F.lit("."), F.lpad(F.col("i").cast("string"), 6, "0")).alias("path"),
+        return p.select("doc_id", F.concat("path", F.lit("."), _number("i")).alias("path"),
                         "piece", (F.col("base") + F.instr(F.col("parent"), F.col("piece")) - 1).cast("long").alias("text_idx"))
 
     start = docs.select("doc_id", F.lit("").alias("path"), F.col(text_col).alias("piece"),
@@ -150,6 +156,6 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
         windows(F.col("all_tokens"), ctx, params.overlap))).alias("win", "at"))
     chunk = F.slice("all_tokens", F.col("at") + 1, F.lit(ctx))
     path = F.when(F.size("all_tokens") <= ctx, F.col("path")).otherwise(
-        F.concat("path", F.lit(".w"), F.lpad(F.col("win").cast("string"), 6, "0")))
+        F.concat("path", F.lit(".w"), _number("win")))
     return w.select("doc_id", path.alias("path"), "text_idx", "text_len",
                     pad(chunk, ctx, params.pad_token_id).alias("tokens"), F.size(chunk).cast("long").alias("n_tokens"))

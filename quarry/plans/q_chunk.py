@@ -96,8 +96,7 @@ def c7_attention_mask(spark, sf_dir):
                      F.aggregate(m, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_attended"))
 
 
-@register("c3_high_level_pieces", f"""
-WITH l1 AS (
+LEVELS_SQL = f"""l1 AS (
   SELECT doc_id, text, generate_subscripts(ps, 1) - 1 AS i, unnest(ps) AS piece
   FROM (SELECT doc_id, text, string_split(text, chr(10) || chr(10)) AS ps FROM documents)),
 p1 AS (SELECT doc_id, '.' || lpad(CAST(i AS VARCHAR), 6, '0') AS path, piece,
@@ -109,7 +108,11 @@ l2 AS (
   FROM (SELECT *, string_split(piece, chr(10)) AS ps FROM p1 WHERE n > {CTX})),
 p2 AS (SELECT doc_id, ppath || '.' || lpad(CAST(i AS VARCHAR), 6, '0') AS path, piece,
               CAST(base + instr(parent, piece) - 1 AS BIGINT) AS text_idx,
-              len({sql_hash_tokens('piece')}) AS n FROM l2 WHERE piece <> ''),
+              len({sql_hash_tokens('piece')}) AS n FROM l2 WHERE piece <> ''),"""
+
+
+@register("c3_high_level_pieces", f"""
+WITH {LEVELS_SQL}
 allp AS (SELECT * FROM p1 WHERE n <= {CTX} UNION ALL SELECT * FROM p2)
 SELECT doc_id, path, text_idx, CAST(length(piece) AS BIGINT) AS text_len, CAST(n AS BIGINT) AS n_tokens,
        n <= {CTX} AS fits
@@ -131,6 +134,30 @@ def c3_high_level_pieces(spark, sf_dir):
                        F.col("n").cast("long").alias("n_tokens"), (F.col("n") <= CTX).alias("fits"))
 
 
-@register("c5_recursive_chunks")
+@register("c5_recursive_chunks", f"""
+WITH RECURSIVE {LEVELS_SQL}
+halved AS (
+  SELECT doc_id, path, piece, text_idx, n FROM p2 WHERE n > {CTX}
+  UNION ALL
+  SELECT doc_id, path || '.' || CAST(i AS VARCHAR), half, CAST(base + instr(parent, half) - 1 AS BIGINT),
+         len({sql_hash_tokens('half')})
+  FROM (SELECT doc_id, path, parent, base, unnest([0, 1]) AS i,
+               unnest(CASE WHEN by_words
+                 THEN [array_to_string(list_slice(parts, 1, len(parts) // 2), ' '),
+                       array_to_string(list_slice(parts, len(parts) // 2 + 1, len(parts)), ' ')]
+                 ELSE [array_to_string(list_slice(parts, 1, len(parts) // 2), ''),
+                       array_to_string(list_slice(parts, len(parts) // 2 + 1, len(parts)), '')] END) AS half
+        FROM (SELECT doc_id, path, piece AS parent, text_idx AS base,
+                     CASE WHEN contains(piece, ' ') THEN string_split(piece, ' ') ELSE string_split(piece, '') END AS parts,
+                     contains(piece, ' ') AS by_words
+              FROM halved WHERE n > {CTX} AND length(piece) > 1))
+  WHERE half <> ''),
+fits AS (
+  SELECT doc_id, path, piece, text_idx FROM p1 WHERE n <= {CTX}
+  UNION ALL SELECT doc_id, path, piece, text_idx FROM p2 WHERE n <= {CTX}
+  UNION ALL SELECT doc_id, path, piece, text_idx FROM halved WHERE n <= {CTX})
+SELECT doc_id, path, text_idx, CAST(length(piece) AS BIGINT) AS text_len, CAST(len(toks) AS BIGINT) AS n_tokens,
+       list_concat(toks, list_transform(range({CTX} - len(toks)), lambda x: CAST({PAD} AS BIGINT))) AS tokens
+FROM (SELECT *, {sql_hash_tokens('piece')} AS toks FROM fits)""")
 def c5_recursive_chunks(spark, sf_dir):
     return C.recursive_split(_docs(spark, sf_dir), P)
