@@ -238,9 +238,10 @@ def prefix_ranges(prefixes: list[str], most: int = 256) -> list[tuple[str, str |
     return [(group[0][0], group[-1][1]) for group in (out[i:i + size] for i in range(0, len(out), size))]
 
 
-def prefix_scan(stored: DataFrame, prefixes: list[str], most: int = 256) -> DataFrame:
+def prefix_scan(stored: DataFrame, prefixes: list[str], most: int = 16) -> DataFrame:
     """I8: rows of ``stored`` whose word lies in a range of the (bounded) prefixes,
-    as filters that reach the file scan."""
+    as filters that reach the file scan. Every row that is read is held against
+    the ranges, so there are few; the exact match is a join (``prefix_matches``)."""
     cond = F.lit(False)
     for lo, hi in prefix_ranges(prefixes, most):
         one = F.col("word") >= lo

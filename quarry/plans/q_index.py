@@ -18,6 +18,7 @@ from quarry.operators import search as S
 from quarry.operators import terms as TM
 from quarry.plans.catalog import register
 from quarry.plans.sql import corpus_ctes, query_ctes
+from quarry.plans.util import partitions_for
 from quarry.session import scratch_path
 from quarry.sources import tables
 
@@ -245,11 +246,16 @@ def i8_prefix_lookup(spark, sf_dir):
     IX.write_by_word(_index(spark, sf_dir).terms.select("word", "doc_id"), path)
     p = _qwords(spark, sf_dir).select("query_id", F.col("word").alias("prefix")).distinct()
     each = p.select("prefix").distinct()
-    near = IX.prefix_scan(spark.read.parquet(path), [r["prefix"] for r in each.collect()])   # words of one batch
-    hit = prefix_matches(each, near.select("word").distinct())
-    n = (hit.join(near, "word").groupBy("prefix")
-            .agg(F.countDistinct("word").alias("n_words"), F.countDistinct("doc_id").alias("n_docs")))
-    return p.join(n, "prefix").select("query_id", "prefix", "n_words", "n_docs")
+    stored = spark.read.parquet(path)
+    near = IX.prefix_scan(stored, [r["prefix"] for r in each.collect()])   # words of one batch
+    # one row per prefix and word, so the words are counted without the postings
+    hit = prefix_matches(each, near.select("word").distinct()).cache()
+    n_words = hit.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_words"))
+    # a document's rows meet in one of many small tasks, whatever words they come from
+    parts = partitions_for(spark, stored.count(), 1_000_000)
+    reached = hit.join(near, "word").select("prefix", "doc_id").repartition(parts, "doc_id").distinct()
+    n_docs = reached.groupBy("prefix").agg(F.count("doc_id").alias("n_docs"))
+    return p.join(n_words, "prefix").join(n_docs, "prefix").select("query_id", "prefix", "n_words", "n_docs")
 
 
 @register("i9_index_roundtrip", _with(corpus_ctes(), DOC_IDS_CTE) + """

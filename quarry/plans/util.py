@@ -22,3 +22,9 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     the count runs on the side being checked only.
     """
     return bounded_broadcast(df, df.count(), max_rows)
+
+
+def partitions_for(spark, amount: int, each: int) -> int:
+    """Partitions that hold at most about ``each`` of ``amount`` (rows or bytes), and
+    at least as many as the session asks for."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-amount // each))

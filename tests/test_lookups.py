@@ -124,3 +124,21 @@ def test_question_plugin(spark):
 
     assert rows(EV.generate_questions(df, build=build).select("id", "query")) == [(1, "what is 9?"), (2, None), (3, "what is 0?")]
     assert EV.generate_questions(df.limit(0), build=build).count() == 0
+
+
+def test_prefix_scan_holds_rows_against_few_ranges(spark, tmp_path):
+    path = str(tmp_path / "p")
+    pool = [f"{a}{b}{c}" for a in "bdfhj" for b in "aceg" for c in "acegik"]
+    IX.write_by_word(words(spark, pool), path)
+    got = IX.prefix_scan(spark.read.parquet(path), pool)
+    assert sorted(r["word"] for r in got.collect()) == sorted(pool)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count(">=") <= 16
+
+
+def test_prefix_lookup_counts_a_document_once(spark, tmp_path):
+    from quarry.plans.q_index import i8_prefix_lookup
+    docs = [(1, "apple applet"), (1, "apple"), (2, "apply apple"), (None, "apple"), (3, "banana")]
+    spark.createDataFrame(docs, "doc_id long, text string").withColumn("source", F.lit("s")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "appl ban applet"), (8, "appl zz")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = rows(i8_prefix_lookup(spark, str(tmp_path)))
+    assert got == [(7, "appl", 3, 2), (7, "applet", 1, 1), (7, "ban", 1, 1), (8, "appl", 3, 2)]
