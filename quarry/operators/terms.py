@@ -260,9 +260,10 @@ def df_curve(dfs: DataFrame, top_n: int | None = None) -> DataFrame:
 def partial_maps(terms: DataFrame, block: int) -> DataFrame:
     """A3, per file: ``file, word, block, total_tf, num_docs, postings`` from
     ``file, doc_id, word, tf``. A block holds one range of ``block`` document
-    ids, so no word's list grows with the corpus."""
+    ids, so no word's list grows with the corpus. Rows are dealt by word and
+    block, so the merge across files finds its lists where they were made."""
     at = F.floor(F.col("doc_id") / block).cast("long")
-    return terms.groupBy("file", "word", at.alias("block")).agg(
+    return terms.withColumn("block", at).repartition("word", "block").groupBy("file", "word", "block").agg(
         F.sum("tf").cast("long").alias("total_tf"), F.count(F.lit(1)).alias("num_docs"),
         F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
 
