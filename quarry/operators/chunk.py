@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,7 +110,11 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
     are shorter than it.
     """
     ctx = params.context_length
-    long_ = F.size(tokenizer(F.col("piece"))) > ctx
+    long_ = F.size("all_tokens") > ctx
+
+    def tokenised(df):
+        # a piece is tokenised once; its level is read by what fits and by the next level
+        return df.withColumn("all_tokens", tokenizer(F.col("piece"))).persist(StorageLevel.MEMORY_AND_DISK)
 
     def split_level(df, sep):
         p = df.select("doc_id", "path", F.col("piece").alias("parent"), F.col("text_idx").alias("base"),
@@ -120,8 +125,8 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
 
     start = docs.select("doc_id", F.lit("").alias("path"), F.col(text_col).alias("piece"),
                         F.lit(0).cast("long").alias("text_idx"))
-    pieces = split_level(start, "\n\n")
-    lines = split_level(pieces.filter(long_), "\n")
+    pieces = tokenised(split_level(start, "\n\n"))
+    lines = tokenised(split_level(pieces.filter(long_), "\n"))
     out = [pieces.filter(~long_), lines.filter(~long_)]
     pending = lines.filter(long_)
     while True:
@@ -141,16 +146,16 @@ def recursive_split(docs: DataFrame, params: Params = DEFAULT,
         hv = pending.filter(F.length("piece") > 1).select(
             "doc_id", "path", F.col("piece").alias("parent"), F.col("text_idx").alias("base"),
             F.posexplode(F.when(by_words, halves(" ")).otherwise(halves(""))).alias("i", "piece"))
-        hv = hv.filter(F.col("piece") != "").select(
+        hv = tokenised(hv.filter(F.col("piece") != "").select(
             "doc_id", F.concat("path", F.lit("."), F.col("i").cast("string")).alias("path"), "piece",
-            (F.col("base") + F.instr(F.col("parent"), F.col("piece")) - 1).cast("long").alias("text_idx"))
+            (F.col("base") + F.instr(F.col("parent"), F.col("piece")) - 1).cast("long").alias("text_idx")))
         out.append(hv.filter(~long_))
         pending = hv.filter(long_)
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
     tok = res.select("doc_id", "path", "text_idx", F.length("piece").cast("long").alias("text_len"),
-                     tokenizer(F.col("piece")).alias("all_tokens"))
+                     "all_tokens")
     # one window for every piece that fits; several only for the unsplittable ones
     w = tok.select("*", F.posexplode(F.when(F.size("all_tokens") <= ctx, F.array(F.lit(0))).otherwise(
         windows(F.col("all_tokens"), ctx, params.overlap))).alias("win", "at"))

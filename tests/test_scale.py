@@ -33,3 +33,17 @@ def no_auto_broadcast(spark):
 def test_merge_across_files_finds_its_lists_in_place(spark):
     t = spark.createDataFrame([("f1", 1, "a", 2), ("f2", 3, "a", 5)], "file string, doc_id long, word string, tf long")
     assert executed(TM.merge_maps(TM.partial_maps(t, 5))).count("Exchange hashpartitioning") == 1
+
+
+def test_recursive_split_tokenises_a_piece_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def toks(text):
+        calls.add(1)
+        return list(range(1, len(text.split()) + 1))
+
+    text = "\n".join(" ".join(f"x{i}_{j}" for j in range(200)) for i in range(2)) + "\n\nshort"
+    out = C.recursive_split(spark.createDataFrame([(1, text)], "doc_id long, text string"), DEFAULT,
+                            tokenizer=F.udf(toks, "array<bigint>")).collect()
+    assert sorted(r["path"] for r in out) == [f".000000.00000{i}.{h}" for i in (0, 1) for h in (0, 1)] + [".000001"]
+    assert calls.value == 2 + 2 + 4   # paragraphs, lines, halves
