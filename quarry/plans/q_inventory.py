@@ -21,6 +21,7 @@ from quarry.operators import search as S
 from quarry.operators import terms as TM
 from quarry.plans import sql_full as SF
 from quarry.plans.catalog import REGISTRY, register
+from quarry.plans.q_index import _batch, _few
 from quarry.plans.q_chunk import sql_hash_tokens
 from quarry.plans.q_dense import CENTROIDS_SQL, centroids
 from quarry.plans.q_graph import EDGES_SQL
@@ -175,9 +176,9 @@ WITH {corpus_ctes().strip()},{query_ctes().strip()}
 SELECT q.query_id, t.doc_id, round(sum(i.idf), 6) AS idf_mass
 FROM qterms q JOIN terms t USING (word) JOIN idf i ON i.word = q.word GROUP BY 1, 2""")
 def a11_idf_mass(spark, sf_dir):
-    idx = _index(spark, sf_dir)
-    qw = S.query_terms(tables.benchmark_queries(spark, sf_dir)).select("query_id", "word")
-    j = qw.join(idx.terms.select("doc_id", "word"), "word").join(idx.idf, "word")
+    qt, n, idx = _batch(spark, sf_dir)
+    qw = _few(qt.select("query_id", "word"), n)
+    j = qw.join(idx.terms.select("doc_id", "word"), "word").join(_few(idx.idf, n), "word")
     return j.groupBy("query_id", "doc_id").agg(F.round(F.sum("idf"), 6).alias("idf_mass"))
 
 

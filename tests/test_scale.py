@@ -30,6 +30,27 @@ def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+@pytest.mark.parametrize("name", ["i5_weighted_doc_idf", "i6_word_idf_filter", "a11_idf_mass"])
+def test_sums_over_query_and_document_are_not_shuffled(spark, tmp_path, no_auto_broadcast, name):
+    from quarry.plans.catalog import load_all
+    docs = [(i, f"word{i % 3} common tail{i}") for i in range(9)]
+    spark.createDataFrame(docs, "doc_id long, text string").withColumn("source", F.lit("s")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "word1 common"), (8, "tail4")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got, ran = final(load_all()[name].build(spark, str(tmp_path)))
+    assert "hashpartitioning(query_id" not in ran
+    if name == "a11_idf_mass":
+        assert {(r["query_id"], r["doc_id"]) for r in got} == {(7, i) for i in range(9)} | {(8, 4)}
+
+
+def test_candidates_meet_the_scores_by_document(spark, no_auto_broadcast):
+    docs = spark.createDataFrame([(i, "red green") for i in range(6)], "doc_id long, text string")
+    q = spark.createDataFrame([(1, "red"), (2, "green")], "query_id long, query string")
+    cand = spark.createDataFrame([(1, 0), (1, 0), (1, 3), (2, 4), (2, 99), (None, 5)], "query_id long, doc_id long")
+    got, ran = final(S.bm25_scores(q, TM.SparseIndex(docs, "basic", DEFAULT), DEFAULT.with_(broadcast_max_rows=3), candidates=cand))
+    assert "hashpartitioning(query_id" not in ran
+    assert sorted((r["query_id"], r["doc_id"]) for r in got) == [(1, 0), (1, 3), (2, 4)]
+
+
 def test_merge_across_files_finds_its_lists_in_place(spark):
     t = spark.createDataFrame([("f1", 1, "a", 2), ("f2", 3, "a", 5)], "file string, doc_id long, word string, tf long")
     assert executed(TM.merge_maps(TM.partial_maps(t, 5))).count("Exchange hashpartitioning") == 1
