@@ -22,7 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT, Params
-from quarry.operators.terms import SparseIndex, idf as idf_of
+from quarry.operators.terms import SparseIndex, idf as idf_of, sparse_vectors
+from quarry.plans.util import checked_broadcast, partitions_for
+
+IDF_BROADCAST_ROWS = 500_000
+ROWS_PER_TASK = 1_000_000
 
 
 def shard_of(word, n_shards: int):
@@ -34,11 +38,16 @@ def build(index: SparseIndex, path: str, n_shards: int = 64) -> None:
     """Write the index; every part is a whole-table overwrite (safe to rerun)."""
     # the sparse-vector rows (D10): tf, doc_len, idf, tf_idf and bm25 under
     # the index's k1/b, so a search with the same k1/b only sums stored scores
-    t = (index.vectors.select("doc_id", "word", "tf", "doc_len", "idf", "tf_idf", "bm25")
-              .withColumn("shard", shard_of("word", n_shards)))
+    # a vocabulary that fits is sent to the rows, which then stay where they are
+    idf = checked_broadcast(index.idf, IDF_BROADCAST_ROWS)
+    v = sparse_vectors(index.terms, idf, index.stats, index.params)
+    t = (v.select("doc_id", "word", "tf", "doc_len", "idf", "tf_idf", "bm25")
+          .withColumn("shard", shard_of("word", n_shards)))
     # ranges over (shard, word, doc): a hot word's list spans several tasks and
-    # files of its shard, and each file is one sorted run
-    (t.repartitionByRange("shard", "word", "doc_id").sortWithinPartitions("shard", "word", "doc_id")
+    # files of its shard, and each file is one sorted run; a task sorts a
+    # bounded number of rows
+    parts = partitions_for(index.terms.sparkSession, index.terms.count(), ROWS_PER_TASK)
+    (t.repartitionByRange(parts, "shard", "word", "doc_id").sortWithinPartitions("shard", "word", "doc_id")
       .write.mode("overwrite").partitionBy("shard").parquet(f"{path}/terms"))
     d = index.df.withColumn("shard", shard_of("word", n_shards))
     (d.repartitionByRange("shard", "word").sortWithinPartitions("shard", "word")

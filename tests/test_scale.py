@@ -56,6 +56,15 @@ def test_merge_across_files_finds_its_lists_in_place(spark):
     assert executed(TM.merge_maps(TM.partial_maps(t, 5))).count("Exchange hashpartitioning") == 1
 
 
+def test_stored_postings_are_dealt_to_tasks_of_few_documents(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"red w{i}") for i in range(20)], "doc_id long, text string")
+    stored.build(TM.SparseIndex(docs, "basic", DEFAULT), str(tmp_path), n_shards=2)
+    idx = stored.StoredIndex(spark, str(tmp_path), DEFAULT)
+    monkeypatch.setattr(S, "DOCS_PER_TASK", 1)
+    post = S._by_doc(idx, idx.terms)
+    assert post.rdd.getNumPartitions() == 20 and post.count() == 40
+
+
 def test_recursive_split_tokenises_a_piece_once(spark):
     calls = spark.sparkContext.accumulator(0)
 
