@@ -77,3 +77,25 @@ def test_recursive_split_tokenises_a_piece_once(spark):
                             tokenizer=F.udf(toks, "array<bigint>")).collect()
     assert sorted(r["path"] for r in out) == [f".000000.00000{i}.{h}" for i in (0, 1) for h in (0, 1)] + [".000001"]
     assert calls.value == 2 + 2 + 4   # paragraphs, lines, halves
+
+
+@pytest.mark.parametrize("k, digits", [(2, 6), (50, None)])
+def test_large_batch_is_scored_block_by_block(spark, monkeypatch, k, digits):
+    """Same rows as the join: ties, words of all documents, repeated and null ids, documents without a word."""
+    rows = [(i, f"every tone{i % 7} rare{i} " + "deep " * (i % 3)) for i in range(400)]
+    rows += [(5, "tone1 every again"), (None, "tone2 tone3"), (1000, None), (1001, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    q = spark.createDataFrame([(1, "tone1 deep"), (2, "every"), (3, "rare17 tone3 deep every"), (4, "absent"), (4, "tone5 every"),
+                               (4, "tone5"), (None, "rare9 tone2")], "query_id long, query string")
+    p = DEFAULT.with_(top_k=k)
+
+    def search():
+        return sorted(map(repr, [(r[0], r[1], r[2], round(r[3], 9)) for r in S.search_bm25(q, TM.SparseIndex(docs), p, score_digits=digits).collect()]))
+
+    joined = search()
+    monkeypatch.setattr(S, "BATCH_TERMS", 0)
+    whole = search()
+    monkeypatch.setattr(S, "SLICE_TERMS", 4)
+    monkeypatch.setattr(S, "BLOCK_POSTINGS", 300)
+    assert joined == whole == search() and len(joined) > 2 * k
+    assert "FlatMapCoGroupsInArrow" in executed(S.search_bm25(q, TM.SparseIndex(docs), p))   # no row per (query, document)
