@@ -99,3 +99,13 @@ def test_large_batch_is_scored_block_by_block(spark, monkeypatch, k, digits):
     monkeypatch.setattr(S, "BLOCK_POSTINGS", 300)
     assert joined == whole == search() and len(joined) > 2 * k
     assert "FlatMapCoGroupsInArrow" in executed(S.search_bm25(q, TM.SparseIndex(docs), p))   # no row per (query, document)
+
+
+def test_full_profile_stays_in_tasks_of_few_documents(spark, monkeypatch, no_auto_broadcast):
+    monkeypatch.setattr(TM, "DOCS_PER_TASK", 1)
+    docs = spark.createDataFrame([(i, f"running tones{i} every every") for i in range(12)], "doc_id long, text string")
+    idx = TM.SparseIndex(docs, "full")
+    got, ran = final(idx.terms)
+    assert idx._counted.rdd.getNumPartitions() == 12 and "SortMergeJoin [doc_id" not in ran and "ShuffledHashJoin [token" in ran
+    assert sorted((r["doc_id"], r["word"], r["tf"], r["doc_len"]) for r in got if r["doc_id"] == 3) == [
+        (3, "everi", 2, 4), (3, "run", 1, 4), (3, "tones3", 1, 4)]
