@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT, MISSING_ARTICLE_TEXT
@@ -25,7 +26,7 @@ from quarry.plans.q_index import _batch, _few
 from quarry.plans.q_chunk import sql_hash_tokens
 from quarry.plans.q_dense import CENTROIDS_SQL, centroids
 from quarry.plans.q_graph import EDGES_SQL
-from quarry.plans.util import bounded_broadcast
+from quarry.plans.util import bounded_broadcast, partitions_for
 from quarry.plans.sql import (bm25_scores_cte, corpus_ctes, lit, qterms_cte, query_ctes,
                               top_k_cte)
 from quarry.session import scratch_path
@@ -266,7 +267,10 @@ def u2_vocabulary_map(spark, sf_dir):
     """Every distinct raw token of the corpus and the words it becomes, as a
     stored map: built from some sources, brought up to date with all, and then
     found to need nothing."""
-    docs = _docs(spark, sf_dir).select("file", F.explode(T.raw_tokens("text")).alias("token"))
+    docs = _docs(spark, sf_dir)
+    mine = docs.repartition(partitions_for(spark, docs.count(), TM.DOCS_PER_TASK), "doc_id")
+    # the text is cut into tokens once for the three runs
+    docs = mine.select("file", F.explode(T.raw_tokens("text")).alias("token")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, f"vocabulary-{uuid.uuid4().hex}")
     update_map(docs.filter(F.crc32(F.col("file").cast("binary")) % 2 == 0), path)
     update_map(docs, path)
