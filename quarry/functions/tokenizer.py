@@ -13,6 +13,10 @@ the ASCII ones. Null text gives null, text without words an empty array.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,9 +69,46 @@ RULES = [
 ]
 
 
+#: What a text must hold, one of them, for a rule to find anything; rules that are not
+#: named here look at every text. Contractions (``CONTRACTED``) are sought in lower case.
+NEEDS = {
+    "([«“‘„]|[`]+)": "«“‘„`", '(?m)^"': '"', "(``)": ["``"], r"""([ (\[{<])("|'{2})""": ['"', "''"],
+    r"'([a-ce-lo-ru-zA-CE-LO-RU-Z0-9_])\b": "'", r"(\.{2,})": [".."], "([;@#$%&])": ";@#$%&", "([?!])": "?!",
+    "([^'])' ": ["' "], r"([\]\[\(\)\{\}<>])": "][(){}<>", "--": ["--"], "([»”’])": "»”’", "''": ["''"], '"': '"',
+    "([^' ])('[sS]|'[mM]|'[dD]|') ": "'", "([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ": "'",
+}
+#: Rules about the ends of lines, which are line feeds by then, without a regular expression.
+PLAIN = {
+    "(?m)^": lambda x: F.concat(F.lit(" "), F.replace(x, F.lit("\n"), F.lit("\n "))),
+    "(?m)$": lambda x: F.concat(F.replace(x, F.lit("\n"), F.lit(" \n")), F.lit(" ")),
+}
+CONTRACTED = ("cannot", "d'ye", "gimme", "gonna", "gotta", "lemme", "more'n", "wanna ", " 'tis", " 'twas")
+
+
+def _if_any(c: Column, parts, then: Callable[[Column], Column], look=lambda x: x) -> Column:
+    """``then(c)`` where ``look(c)`` holds one of ``parts``, else ``c``; ``c`` is computed once."""
+    def one(x):
+        return F.when(reduce(or_, [F.contains(look(x), F.lit(p)) for p in parts]), then(x)).otherwise(x)
+    return F.element_at(F.transform(F.array(c), one), 1)
+
+
+def _apply(c: Column, rules) -> Column:
+    for pattern, by in rules:
+        if pattern in PLAIN:
+            c = PLAIN[pattern](c)
+        elif pattern == "(?m)([:,])$":
+            c = _if_any(c, [":\n", ",\n"], lambda x, p=pattern, b=by: F.regexp_replace(x, p, b), lambda x: F.concat(x, F.lit("\n")))
+        elif pattern in NEEDS:
+            c = _if_any(c, NEEDS[pattern], lambda x, p=pattern, b=by: F.regexp_replace(x, p, b))
+        else:
+            c = F.regexp_replace(c, pattern, by)
+    return c
+
+
 def word_tokenize(text) -> Column:
     """The tokens of ``text`` in order, an array of strings."""
     c = F.col(text) if isinstance(text, str) else text
-    for pattern, by in SENTENCES + RULES:
-        c = F.regexp_replace(c, pattern, by)
+    first = next(i for i, (pattern, _) in enumerate(RULES) if "(can)(not)" in pattern)
+    c = _apply(c, SENTENCES + RULES[:first])
+    c = _if_any(c, CONTRACTED, lambda x: _apply(x, RULES[first:]), F.lower)
     return F.filter(F.split(c, "[ \n]+"), lambda w: w != "")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT
+from quarry.functions import tokenizer as WT
 from quarry.operators import chunk as C
 from quarry.operators import search as S
 from quarry.operators import stored
@@ -109,3 +110,14 @@ def test_full_profile_stays_in_tasks_of_few_documents(spark, monkeypatch, no_aut
     assert idx._counted.rdd.getNumPartitions() == 12 and "SortMergeJoin [doc_id" not in ran and "ShuffledHashJoin [token" in ran
     assert sorted((r["doc_id"], r["word"], r["tf"], r["doc_len"]) for r in got if r["doc_id"] == 3) == [
         (3, "everi", 2, 4), (3, "run", 1, 4), (3, "tones3", 1, 4)]
+
+
+def test_word_rules_look_only_at_texts_they_can_change(spark):
+    texts = ["", " ", "Cannot we? 'Tis D'ye say \"no\", it's 1,5: ok.", "a,\nb: Then `so` -- (x) y... Z", "they'll, GONNA wanna go:", "x'"]
+    plain = F.col("t")
+    for pattern, by in WT.SENTENCES + WT.RULES:
+        plain = F.regexp_replace(plain, pattern, by)
+    df = spark.createDataFrame([(t,) for t in texts + [None]], "t string")
+    rows = df.select(F.filter(F.split(plain, "[ \n]+"), lambda w: w != "").alias("want"), WT.word_tokenize("t").alias("got")).collect()
+    assert all(r["want"] == r["got"] for r in rows)
+    assert set(WT.NEEDS) | set(WT.PLAIN) <= {p for p, _ in WT.RULES} and len(WT.CONTRACTED) == 10
