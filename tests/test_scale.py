@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quarry.config import DEFAULT
 from quarry.functions import tokenizer as WT
 from quarry.operators import chunk as C
+from quarry.operators import index as IX
 from quarry.operators import search as S
 from quarry.operators import stored
 from quarry.operators import terms as TM
@@ -112,6 +113,15 @@ def test_full_profile_stays_in_tasks_of_few_documents(spark, monkeypatch, no_aut
         (3, "everi", 2, 4), (3, "run", 1, 4), (3, "tones3", 1, 4)]
 
 
+def test_postings_pass_by_ids_and_shards_unsorted(spark, no_auto_broadcast):
+    terms = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, "a")], "doc_id long, word string")
+    ids = spark.createDataFrame([(1, 10), (2, 20)], "doc_id long, doc_int long")
+    shards = spark.createDataFrame([("a", 0), ("b", 1)], "word string, shard long")
+    got, ran = final(IX.sharded_postings(IX.postings_rows(terms, ids), shards))
+    assert sorted(map(tuple, got)) == [(0, "a", 10), (0, "a", 20), (1, "b", 20)]
+    assert "SortMergeJoin" not in ran and ran.count("ShuffledHashJoin") >= 2
+
+
 def test_word_rules_look_only_at_texts_they_can_change(spark):
     texts = ["", " ", "Cannot we? 'Tis D'ye say \"no\", it's 1,5: ok.", "a,\nb: Then `so` -- (x) y... Z", "they'll, GONNA wanna go:", "x'"]
     plain = F.col("t")
