@@ -49,23 +49,31 @@ def list_part(spark: SparkSession, path: str, entries: DataFrame, mode: str = "a
     entries.coalesce(1).write.mode(mode).parquet(f"{path}/manifest")
 
 
-def _count(spark: SparkSession, path: str, part: str) -> int:
-    found = _read(spark, f"{path}/{part}")
-    return 0 if found is None else found.count()
+def _whole_parts(spark: SparkSession, path: str) -> list[DataFrame | None]:
+    """The listed parts by name if every one has the rows it had, else none; each
+    part's folders are listed once. A part without rows may have no file (None)."""
+    entries, frames = listed(spark, path).groupBy("part").agg(F.sum("rows").alias("rows")).collect(), []
+    for e in sorted(entries, key=lambda e: e["part"]):
+        found = _read(spark, f"{path}/{e['part']}")
+        if (0 if found is None else found.count()) != e["rows"]:
+            return []
+        frames.append(found)
+    return frames
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a manifest is there and every part it names has the rows it had."""
-    entries = listed(spark, path).groupBy("part").agg(F.sum("rows").alias("rows")).collect()
-    return bool(entries) and all(_count(spark, path, e["part"]) == e["rows"] for e in entries)
+    return bool(_whole_parts(spark, path))
 
 
 def read_build(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the listed parts; an incomplete build is an error."""
-    if not is_complete(spark, path):
+    frames = _whole_parts(spark, path)
+    if not frames:
         raise ValueError(f"no complete build at {path}")
-    parts = [r["part"] for r in listed(spark, path).select("part").distinct().collect()]
-    frames = [spark.read.parquet(f"{path}/{p}") for p in sorted(parts)]
+    frames = [f for f in frames if f is not None]
+    if not frames:
+        raise ValueError(f"the build at {path} has no file")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

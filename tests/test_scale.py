@@ -10,6 +10,7 @@ from quarry.operators import index as IX
 from quarry.operators import search as S
 from quarry.operators import stored
 from quarry.operators import terms as TM
+from quarry.sources import builds as B
 
 
 def executed(df):
@@ -122,6 +123,13 @@ def test_postings_pass_by_ids_and_shards_unsorted(spark, no_auto_broadcast):
     assert "SortMergeJoin" not in ran and ran.count("ShuffledHashJoin") >= 2
 
 
+def test_a_build_lists_the_folders_of_a_part_once(spark, tmp_path, monkeypatch):
+    B.append_part(spark.range(5).toDF("id"), str(tmp_path))
+    seen, read = [], B._read
+    monkeypatch.setattr(B, "_read", lambda s, path, **o: seen.append(path) or read(s, path, **o))
+    assert B.read_build(spark, str(tmp_path)).count() == 5 and len([p for p in seen if "/part-" in p]) == 1
+
+
 def test_word_rules_look_only_at_texts_they_can_change(spark):
     texts = ["", " ", "Cannot we? 'Tis D'ye say \"no\", it's 1,5: ok.", "a,\nb: Then `so` -- (x) y... Z", "they'll, GONNA wanna go:", "x'"]
     plain = F.col("t")
