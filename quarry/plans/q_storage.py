@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT
@@ -95,8 +96,8 @@ def s11_shard_sink(spark, sf_dir):
 def n3_skip_existing(spark, sf_dir):
     """A run that was killed after half of its shards has listed nothing: the
     next run builds again, and the one after it finds a complete output."""
-    post, path = _postings(spark, sf_dir), _fresh(spark, "shards")
-    B.write_part(post.filter(F.col("shard") % 2 == 0), path, "shard")
+    post, path = _postings(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK), _fresh(spark, "shards")
+    B.write_part(post.filter(F.col("shard") % 2 == 0), path, "shard", ST.sorted_runs)
     wrote = [ST.write_shards(post, path), ST.write_shards(post.limit(0), path)]
     assert wrote == [True, False], "an unlisted output must be rebuilt, a complete one kept"
     return _shards(spark, path)

@@ -118,14 +118,17 @@ def read_stats(spark: SparkSession, path: str, corpus_size: int = -1, avg_doc_le
 
 # ---- S11 / N3 ---------------------------------------------------------------------------
 
+def sorted_runs(postings: DataFrame) -> DataFrame:
+    """Postings dealt so that a shard is written by one task, a large one by a few."""
+    return postings.repartitionByRange("shard", "word", "doc_int").sortWithinPartitions("shard", "word", "doc_int")
+
+
 def write_shards(postings: DataFrame, path: str, overwrite: bool = False) -> bool:
     """One directory per shard, rows sorted by word, read back with
     ``builds.read_build``. A complete output is kept unless ``overwrite``; what
     a killed run left is built again (N3). Rows are dealt by ranges of (shard,
     word, doc), so a large shard is written by several tasks. Returns whether
     it wrote."""
-    def sorted_runs(df: DataFrame) -> DataFrame:
-        return df.repartitionByRange("shard", "word", "doc_int").sortWithinPartitions("shard", "word", "doc_int")
     return build_once(postings, path, "shard", overwrite, sorted_runs)
 
 
