@@ -8,13 +8,18 @@ with the pending pieces checkpointed per level to cut lineage.
 Tokenizer plug-in: any function ``Column(text) -> Column(array<bigint>)``.
 The default is a hashing word tokenizer (lowercased whitespace words, id =
 first 32 bits of md5 mod ``vocab`` + 1; id 0 is padding) — a stand-in for a
-model tokenizer, computed in the JVM.
+model tokenizer, computed in the JVM; ``batch_hash_tokenizer`` gives the same
+ids from Arrow batches, for jobs over whole corpora.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +34,23 @@ def hash_tokenizer(text: Column, vocab: int = HASH_VOCAB) -> Column:
     return F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % vocab + 1)
 
 
+def batch_hash_tokenizer(text: Column, vocab: int = HASH_VOCAB) -> Column:
+    """The ids of ``hash_tokenizer``; a word is hashed once in an Arrow batch."""
+    @F.arrow_udf("array<bigint>")
+    def ids(texts: pa.Array) -> pa.Array:
+        words = pc.split_pattern(pc.replace_substring_regex(texts, WS_PATTERN.replace(" ", ""), " "), " ")
+        found = words.flatten().dictionary_encode()
+        distinct = found.dictionary.cast(pa.binary()).to_pylist()
+        hashes = np.frombuffer(b"".join(hashlib.md5(w).digest()[:4] for w in distinct), dtype=">u4")
+        # 0 is no word: what the split leaves beside white space
+        known = np.where([w != b"" for w in distinct], hashes.astype(np.int64) % vocab + 1, 0)
+        tokens = known[found.indices.to_numpy()]
+        ends = np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        kept = np.append(0, np.cumsum(tokens > 0))[np.append(0, ends).astype(np.int64)]
+        return pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.array(tokens[tokens > 0]), mask=texts.is_null())
+    return ids(F.lower(text))
+
+
 Tokenizer = Callable[[Column], Column]
 
 

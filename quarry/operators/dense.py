@@ -74,20 +74,26 @@ def hashed_vector(tokens: Column, dims: int, pad_id: int, positions: int = 0) ->
 
 
 def hashing_fn(dims: int, pad_id: int, positions: int = 0) -> Callable:
-    """The hashed vectors as an ``embed_fn``: a plug-in whose results SQL can repeat."""
+    """The hashed vectors as an ``embed_fn``: a plug-in whose results SQL can repeat.
+    A batch is summed at once, with the codes of the smaller ids in a table."""
     import hashlib
 
     @lru_cache(maxsize=1 << 16)
     def code(token: int) -> int:
         return int(hashlib.md5(str(token).encode()).hexdigest()[:8], 16) % (2 * dims)
 
+    table = np.array([code(t) for t in range(1 << 15)], dtype=np.int64)
+
     def fn(tokens: list) -> np.ndarray:
-        out = np.zeros((len(tokens), dims), dtype=np.float32)
-        for row, ids in zip(out, tokens):
-            c = np.array([code(int(t)) for t in ids if t != pad_id], dtype=np.int64)
-            signed = np.bincount(c >> 1, weights=2 * (c & 1) - 1, minlength=dims)
-            row[:] = signed / max(len(ids), positions, 1)
-        return out
+        n = np.array([len(ids) for ids in tokens], dtype=np.int64)
+        flat = np.concatenate([np.asarray(ids, dtype=np.int64) for ids in tokens] or [np.zeros(0, dtype=np.int64)])
+        row, real = np.repeat(np.arange(len(tokens)), n), flat != pad_id
+        row, flat = row[real], flat[real]
+        near = (flat >= 0) & (flat < len(table))
+        c = table[np.where(near, flat, 0)]
+        c[~near] = [code(int(t)) for t in flat[~near]]
+        signed = np.bincount(row * dims + (c >> 1), weights=2 * (c & 1) - 1, minlength=len(tokens) * dims)
+        return (signed.reshape(-1, dims) / np.maximum(n, max(positions, 1))[:, None]).astype(np.float32)
     return fn
 
 

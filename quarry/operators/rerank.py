@@ -24,13 +24,13 @@ from quarry.plans.util import bounded_broadcast
 
 
 def embed_chunks(docs: DataFrame, params: Params = DEFAULT, embed_fn: Callable | None = None,
-                 splitter: str = "\n\n") -> DataFrame:
+                 splitter: str = "\n\n", tokenizer: C.Tokenizer = C.hash_tokenizer) -> DataFrame:
     """``doc_id, piece_no, win_no, text_idx, text_len, vector``.
 
     ``embed_fn``: a function without arguments that loads a model and returns
     its ``list of token arrays -> vectors``; without it vectors are hashed.
     """
-    ch = C.direct_split(docs, params, splitter)
+    ch = C.direct_split(docs, params, splitter, tokenizer)
     return ch.select("doc_id", "piece_no", "win_no", "text_idx", "text_len",
                      D.embedding(F.col("tokens"), params, embed_fn).alias("vector"))
 

@@ -10,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT
+from quarry.operators import chunk as C
+from quarry.operators import dense as D
 from quarry.operators import index as IX
 from quarry.operators import terms as TM
 from quarry.operators.rerank import embed_chunks
@@ -108,7 +110,9 @@ SELECT v.doc_id, v.piece_no, v.win_no, v.vector, d.source AS file FROM vecs v JO
 
 
 def _file_vectors(docs):
-    return embed_chunks(docs.select("doc_id", "text"), P).join(docs.select("doc_id", "file", "entry_id"), "doc_id") \
+    vec = embed_chunks(docs.select("doc_id", "text"), P, lambda: D.hashing_fn(P.dims, P.pad_token_id),
+                       tokenizer=C.batch_hash_tokenizer)
+    return vec.join(docs.select("doc_id", "file", "entry_id"), "doc_id") \
         .select("file", "entry_id", "doc_id", "piece_no", "win_no", "vector")
 
 

@@ -5,6 +5,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from quarry.config import DEFAULT as P
+from quarry.operators import chunk as C
 from quarry.operators import dense as D
 from quarry.operators import rerank as RR
 
@@ -57,3 +58,27 @@ def test_lookup_of_long_ids(spark, tmp_path):
     spark.createDataFrame([(1, "no key", "")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = {r["key"]: (r["file"], r["entry"], r["title"]) for r in s13_bulk_lookup(spark, str(tmp_path)).collect()}
     assert got == {"s.zim3000000000": ("s", "3000000000", "Title"), "no key": ("", "", "")}
+
+
+def test_batch_tokenizer_gives_the_ids_of_the_hash_tokenizer(spark):
+    texts = [None, "", "  ", "a", " Some\tWords\r\n\x0bhere ", "ÄÖ İ \u00a0x", "w " * 300, "a\n\nb a\x0cb", "\t", None]
+    for rows in (texts, [None, None], [""]):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").orderBy("i")
+        got = df.select(C.hash_tokenizer(F.col("t")).alias("a"), C.batch_hash_tokenizer(F.col("t")).alias("b")).collect()
+        assert [r["a"] for r in got] == [r["b"] for r in got]
+        assert [r["b"] is None for r in got] == [t is None for t in rows]
+
+
+def test_stored_vectors_are_those_of_the_expression(spark):
+    """The vectors of the storage queries come from Arrow batches, tokens and sums alike."""
+    from quarry.plans.catalog import load_all
+    load_all()
+    from quarry.plans.q_storage import _file_vectors
+    rows = [(1, "f", 1, "a b\n\nc " + "d e f " * 60), (2, "g", 2, " "), (3, "g", 3, None), (4, "f", 4, "x"), (4, "h", 4, "y\n\n"), (None, "f", 0, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, file string, entry_id long, text string")
+    cols = ["file", "entry_id", "doc_id", "piece_no", "win_no", "vector"]
+    vec = _file_vectors(docs)
+    want = RR.embed_chunks(docs.select("doc_id", "text"), P).join(docs.drop("text"), "doc_id").select(*cols)
+    assert sorted(map(str, vec.collect())) == sorted(map(str, want.collect()))
+    plan = vec._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "md5" not in plan
