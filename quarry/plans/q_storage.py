@@ -120,10 +120,11 @@ def _file_vectors(docs):
 def s9_vector_table(spark, sf_dir):
     """Create the vector table, then replace every file's partition again
     (dynamic overwrite): the result holds each chunk's vector once."""
-    vec = _file_vectors(_docs(spark, sf_dir))
+    vec = _file_vectors(_docs(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     path = _fresh(spark, "vectors")
     ST.save_vectors(vec, path, mode="overwrite")
     ST.save_vectors(vec, path, mode="replace")
+    vec.unpersist()
     return spark.read.parquet(path).select("doc_id", "piece_no", "win_no", "vector", "file")
 
 

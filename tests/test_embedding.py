@@ -82,3 +82,18 @@ def test_stored_vectors_are_those_of_the_expression(spark):
     assert sorted(map(str, vec.collect())) == sorted(map(str, want.collect()))
     plan = vec._jdf.queryExecution().toString()
     assert "ArrowEvalPython" in plan and "md5" not in plan
+
+
+def test_vectors_are_embedded_once_for_both_writes(spark, tmp_path, monkeypatch):
+    from quarry.plans.catalog import load_all
+    load_all()
+    from quarry.plans import q_storage as Q
+    spark.createDataFrame([(1, "a b\n\nc", "f"), (2, "d", "g")], "doc_id long, text string, source string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    save, kept = Q.ST.save_vectors, []
+
+    def spy(vec, path, mode):
+        kept.append(vec.storageLevel.useMemory)
+        save(vec, path, mode)
+    monkeypatch.setattr(Q.ST, "save_vectors", spy)
+    assert Q.s9_vector_table(spark, str(tmp_path)).count() == 3 and kept == [True, True]
