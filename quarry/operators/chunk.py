@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from quarry.config import DEFAULT, Params, WS_PATTERN
 
 HASH_VOCAB = 30000
+BATCH_BYTES = 1 << 22
 
 
 def hash_tokenizer(text: Column, vocab: int = HASH_VOCAB) -> Column:
@@ -35,9 +36,9 @@ def hash_tokenizer(text: Column, vocab: int = HASH_VOCAB) -> Column:
 
 
 def batch_hash_tokenizer(text: Column, vocab: int = HASH_VOCAB) -> Column:
-    """The ids of ``hash_tokenizer``; a word is hashed once in an Arrow batch."""
-    @F.arrow_udf("array<bigint>")
-    def ids(texts: pa.Array) -> pa.Array:
+    """The ids of ``hash_tokenizer``; an Arrow batch is taken in parts of about
+    ``BATCH_BYTES`` of text, and a word is hashed once in a part."""
+    def part(texts):
         words = pc.split_pattern(pc.replace_substring_regex(texts, WS_PATTERN.replace(" ", ""), " "), " ")
         found = words.flatten().dictionary_encode()
         distinct = found.dictionary.cast(pa.binary()).to_pylist()
@@ -48,6 +49,11 @@ def batch_hash_tokenizer(text: Column, vocab: int = HASH_VOCAB) -> Column:
         ends = np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         kept = np.append(0, np.cumsum(tokens > 0))[np.append(0, ends).astype(np.int64)]
         return pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.array(tokens[tokens > 0]), mask=texts.is_null())
+
+    @F.arrow_udf("array<bigint>")
+    def ids(texts: pa.Array) -> pa.Array:
+        rows = max(1, len(texts) * BATCH_BYTES // max(1, texts.nbytes))
+        return pa.concat_arrays([part(texts.slice(i, rows)) for i in range(0, max(1, len(texts)), rows)])
     return ids(F.lower(text))
 
 
@@ -102,9 +108,10 @@ def direct_split(docs: DataFrame, params: Params = DEFAULT, splitter: str = "\n\
     ctx, ov = params.context_length, params.overlap
     pieces = split_pieces(docs, splitter, text_col, true_offsets)
     tok = pieces.withColumn("all_tokens", tokenizer(F.col("piece")))
-    w = tok.select("doc_id", "piece_no", "text_idx", "text_len", "all_tokens",
-                   F.posexplode(windows(F.col("all_tokens"), ctx, ov)).alias("win_no", "start"))
-    chunk = F.slice("all_tokens", F.col("start") + 1, F.lit(ctx))
+    # the windows are cut before they become rows: a row holds its window, not its piece
+    cut = F.transform(windows(F.col("all_tokens"), ctx, ov), lambda start: F.slice("all_tokens", start + 1, F.lit(ctx)))
+    w = tok.select("doc_id", "piece_no", "text_idx", "text_len", F.posexplode(cut).alias("win_no", "chunk"))
+    chunk = F.col("chunk")
     return w.select("doc_id", "piece_no", F.col("win_no").cast("long"), "text_idx", "text_len",
                     F.size(chunk).cast("long").alias("n_tokens"),
                     pad(chunk, ctx, params.pad_token_id).alias("tokens"))

@@ -75,7 +75,7 @@ def hashed_vector(tokens: Column, dims: int, pad_id: int, positions: int = 0) ->
 
 def hashing_fn(dims: int, pad_id: int, positions: int = 0) -> Callable:
     """The hashed vectors as an ``embed_fn``: a plug-in whose results SQL can repeat.
-    A batch is summed at once, with the codes of the smaller ids in a table."""
+    1,024 rows are summed at once, with the codes of the smaller ids in a table."""
     import hashlib
 
     @lru_cache(maxsize=1 << 16)
@@ -84,9 +84,9 @@ def hashing_fn(dims: int, pad_id: int, positions: int = 0) -> Callable:
 
     table = np.array([code(t) for t in range(1 << 15)], dtype=np.int64)
 
-    def fn(tokens: list) -> np.ndarray:
+    def part(tokens: list) -> np.ndarray:
         n = np.array([len(ids) for ids in tokens], dtype=np.int64)
-        flat = np.concatenate([np.asarray(ids, dtype=np.int64) for ids in tokens] or [np.zeros(0, dtype=np.int64)])
+        flat = np.concatenate([np.asarray(ids, dtype=np.int64) for ids in tokens] + [np.zeros(0, dtype=np.int64)])
         row, real = np.repeat(np.arange(len(tokens)), n), flat != pad_id
         row, flat = row[real], flat[real]
         near = (flat >= 0) & (flat < len(table))
@@ -94,6 +94,9 @@ def hashing_fn(dims: int, pad_id: int, positions: int = 0) -> Callable:
         c[~near] = [code(int(t)) for t in flat[~near]]
         signed = np.bincount(row * dims + (c >> 1), weights=2 * (c & 1) - 1, minlength=len(tokens) * dims)
         return (signed.reshape(-1, dims) / np.maximum(n, max(positions, 1))[:, None]).astype(np.float32)
+
+    def fn(tokens: list) -> np.ndarray:
+        return np.concatenate([part(tokens[i:i + 1024]) for i in range(0, max(1, len(tokens)), 1024)])
     return fn
 
 
