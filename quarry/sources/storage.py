@@ -8,11 +8,15 @@ lost executor or a failed job rewrites the same files.
 
 from __future__ import annotations
 
+from functools import partial
+
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
+from quarry.functions.sha256 import Sha256
 from quarry.sources.builds import build_once
 
 
@@ -141,13 +145,92 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*.parquet") ->
     return f.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length").orderBy("name")
 
 
+#: Files above this many bytes are read in splits.
+WHOLE_FILE = 64 << 20
+#: Names that Spark's text reader would unpack.
+PACKED = r"\.(gz|deflate|bz2|lz4|snappy|zst)$"
+BOM = b"\xef\xbb\xbf"
+
+
+def _blocks(batches):
+    """The lines of a batch as one row: their bytes, and where their split starts."""
+    import pyarrow as pa
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(0, 1), pa.array([b"\n".join(b.column(1).to_pylist())], pa.binary())],
+                                             ["start", "block"])
+
+
+def _split_sizes(i, rows):
+    """``(start, partition, bytes)`` of a partition with lines, a ``\\n`` counted for every line."""
+    sizes = [(r.start, len(r.block) + 1) for r in rows]
+    if sizes:
+        yield min(sizes)[0], i, sum(n for _, n in sizes)
+
+
+def _hash_on(states, later, i, rows):
+    """The state after partition ``i``; a ``\\n`` parts its lines from those before."""
+    digest = Sha256(states[i])
+    for k, r in enumerate(rows):
+        if later or k:
+            digest.update(b"\n")
+        digest.update(bytes(r.block))
+    yield digest.state()
+
+
+def _sha256_by_splits(lines: DataFrame, files: list) -> list[str]:
+    """SHA-256 of each of ``files(file_path, length)`` from ``lines`` (text read
+    with ``lineSep`` ``\\n``, bytes as they are).
+
+    All splits are read at once and kept on disk as blocks of bytes. The digest is
+    then taken from split to split: a round hashes the next one of every file, and
+    only the digests' states pass through the driver. Whether a file ends in
+    ``\\n`` and whether the reader left out a byte order mark follows from its length.
+    """
+    sc = lines.sparkSession.sparkContext
+    rdds = [lines.filter(F.col("_metadata.file_path") == f.file_path)
+                 .select(F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
+                 .mapInArrow(_blocks, "start long, block binary").rdd for f in files]
+    blocks = sc.union(rdds).persist(StorageLevel.DISK_ONLY)
+    try:
+        owner = [k for k, r in enumerate(rdds) for _ in range(r.getNumPartitions())]
+        splits, size = [[] for _ in files], [0] * len(files)
+        for _, i, n in sorted(blocks.mapPartitionsWithIndex(_split_sizes).collect()):
+            splits[owner[i]].append(i)
+            size[owner[i]] += n
+        # -1: the last line has no newline; 0: it has; 3 more: a mark was left out
+        left = [f.length - n for f, n in zip(files, size)]
+        for f, n in zip(files, left):
+            if n not in (-1, 0, 2, 3):
+                raise RuntimeError(f"{f.file_path}: {f.length} bytes listed, {f.length - n} read")
+        state = [Sha256().update(BOM if n > 0 else b"").state() for n in left]
+        for step in range(max(map(len, splits))):
+            todo = [k for k, s in enumerate(splits) if step < len(s)]
+            states = {splits[k][step]: state[k] for k in todo}
+            hashed = blocks.mapPartitionsWithIndex(partial(_hash_on, states, step > 0))
+            for k, s in zip(todo, sc.runJob(hashed, list, list(states))):
+                state[k] = s
+        return [Sha256(s).update(b"\n" if n in (0, 3) and size[k] else b"").hexdigest()
+                for k, (s, n) in enumerate(zip(state, left))]
+    finally:
+        blocks.unpersist()
+
+
 def checksums(spark: SparkSession, directory: str, glob: str = "*.parquet",
-              expected: DataFrame | None = None) -> DataFrame:
-    """``name, length, sha256`` per file (one task per file); with an
-    ``expected(name, sha256)`` manifest, adds ``ok``."""
-    f = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-              .select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length",
-                      F.sha2("content", 256).alias("sha256")))
+              expected: DataFrame | None = None, whole: int = WHOLE_FILE) -> DataFrame:
+    """``name, length, sha256`` per file; with an ``expected(name, sha256)``
+    manifest, adds ``ok``. A file of up to ``whole`` bytes (or one with a packed
+    file's name) is read by one task, a larger one split by split when this is called."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
+    name = F.regexp_extract("path", "([^/]+)$", 1).alias("name")
+    # conditions on _metadata alone: Spark drops the other files before it reads any
+    in_splits = (F.col("_metadata.file_size") > whole) & ~F.col("_metadata.file_name").rlike(PACKED)
+    f = files.filter(~in_splits).select(name, "length", F.sha2("content", 256).alias("sha256"))
+    large = files.filter(in_splits).select(name, "length", "_metadata.file_path").collect()
+    if large:
+        lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(directory)
+        sums = [(r.name, r.length, s) for r, s in zip(large, _sha256_by_splits(lines, large))]
+        f = f.unionByName(spark.createDataFrame(sums, "name string, length long, sha256 string"))
     if expected is not None:
         e = expected.select("name", F.col("sha256").alias("expected"))
         f = f.join(e, "name", "left").withColumn("ok", F.col("sha256") == F.col("expected"))

@@ -62,6 +62,62 @@ def test_checksums_against_manifest(spark):
     assert ST.checksums(spark, d, glob="region.parquet", expected=bad).first().ok is False
 
 
+def test_checksums_of_a_file_too_large_for_one_value(spark, tmp_path):
+    """binaryFile gives a file as one value of 2 GB at most; the limit is set lower here."""
+    import hashlib
+    import random
+    data = random.Random(1).randbytes(70 << 20)
+    (tmp_path / "large.parquet").write_bytes(data)
+    (tmp_path / "small.parquet").write_bytes(data[:1000])
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(64 << 20))
+    try:
+        expected = ST.checksums(spark, str(tmp_path)).select("name", "sha256")
+        got = {r.name: r for r in ST.checksums(spark, str(tmp_path), expected=expected).collect()}
+    finally:
+        spark.conf.set(limit, before)
+    assert {n: (r.length, r.sha256, r.ok) for n, r in got.items()} == {
+        "large.parquet": (70 << 20, hashlib.sha256(data).hexdigest(), True),
+        "small.parquet": (1000, hashlib.sha256(data[:1000]).hexdigest(), True)}
+
+
+def test_checksums_by_splits_keep_every_byte(spark, tmp_path):
+    import gzip
+    import hashlib
+    import random
+    rnd, bom = random.Random(2), b"\xef\xbb\xbf"
+    files = {
+        "random": rnd.randbytes(50_001), "lines": b"a\n" * 9_000, "open end": b"a\r\nb\r" * 3_000, "newlines": b"\n" * 700,
+        "newline": b"\n", "one line": b"x" * 40_000, "zeros": bytes(20_000) + b"\n" + bytes(20_000),
+        "mark": bom, "mark and newline": bom + b"\n", "mark, open": bom + b"a\nb", "mark, closed": bom + b"a\nb\n",
+        "marks": bom + bom, "inner mark": b"\n" + bom + b"\n", "odd [1]{a,b}*?%20 \u00e9": rnd.randbytes(9_000),
+    }
+    files = {f"{k}.bin": v for k, v in files.items()} | {"packed.bin.gz": gzip.compress(rnd.randbytes(5_000))}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    conf = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "512"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = ST.checksums(spark, str(tmp_path), glob="*", whole=0).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.name, r.length, r.sha256) for r in got) == sorted(
+        (n, len(d), hashlib.sha256(d).hexdigest()) for n, d in files.items())
+
+
+def test_digest_goes_on_from_its_state():
+    import hashlib
+
+    from quarry.functions.sha256 import Sha256
+    data = bytes(range(256)) * 3
+    for cut in (0, 1, 63, 64, 65, 700):
+        assert Sha256(Sha256().update(data[:cut]).state()).update(data[cut:]).hexdigest() == hashlib.sha256(data).hexdigest()
+
+
 def test_stream_build_exactly_once(spark):
     from quarry.streaming.incremental import stream_build
     src, out, ck = fresh(spark, "inbox"), fresh(spark, "sout"), fresh(spark, "ck")
