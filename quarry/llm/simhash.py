@@ -117,7 +117,8 @@ def candidate_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             diff = diff + F.bit_count(_segment(x, segs[(i + length - 1) % m]))
             ok = ok & (diff <= length * max_bits // m)
         chains = chains | ok
-    j = exact.join(near, (exact["i"] == near["i"]) & (exact["v"] == near["v"])
+    # Spark sizes both sides as if a node were one row; 68 keys a node are no table to broadcast
+    j = exact.hint("merge").join(near, (exact["i"] == near["i"]) & (exact["v"] == near["v"])
                    & (F.col("a") != F.col("b")) & (F.bit_count(x) <= max_bits))
     j = j.select(exact["i"].alias("i"), "a", "b").filter(chains)
     return j.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

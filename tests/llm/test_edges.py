@@ -84,6 +84,15 @@ def test_simhash_other_distances(spark, bits):
     assert got == want
 
 
+def test_simhash_keys_of_nodes_are_not_broadcast(spark, tmp_path):
+    # a small file by its size, but 68 keys a fingerprint on one side of the join
+    path = str(tmp_path / "fps")
+    spark.range(1000).select(F.xxhash64("id").alias("fp")).write.parquet(path)
+    links = simhash.candidate_links(spark.read.parquet(path))
+    links.collect()
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (200, 300)], "a long, b long")
     got = dict(rows(simhash.components(edges)))
