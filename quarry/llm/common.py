@@ -46,9 +46,11 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
 def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if rows x ``row_bytes`` is within ``bound``.
 
-    ``df`` should be a materialised table (its rows are counted).
+    Beyond it the join is a sort-merge join: the file sizes Spark goes by miss
+    what compression and an explode on either side hide. ``df`` should be a
+    materialised table (its rows are counted).
     """
-    return F.broadcast(df) if df.count() * row_bytes <= bound else df
+    return F.broadcast(df) if df.count() * row_bytes <= bound else df.hint("merge")
 
 
 def text_hash(c: Column) -> Column:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import ann, decontam, license, linededup, mixing, sharding, simhash, suffix, toxicity, urlfilter
+from quarry.llm import ann, common, decontam, license, linededup, mixing, sharding, simhash, suffix, toxicity, urlfilter
 from tests.llm import brute
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -110,6 +110,18 @@ def test_simhash_keep_one(docs, empty):
     assert rows(simhash.keep_one(empty)) == []
 
 
+def test_side_beyond_the_bound_is_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    spark.range(1000).write.parquet(path)
+    side = spark.read.parquet(path)
+    rows_ = spark.range(50).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("n"), "id")
+    for bound, there in ((8000, True), (7999, False)):
+        j = rows_.join(common.small(side, 8, bound), "id")
+        assert j.count() == 500
+        j.collect()
+        assert ("Broadcast" in j._jdf.queryExecution().executedPlan().toString()) == there
+
+
 # ------------------------------------------------------------------ suffix
 @pytest.mark.parametrize("block", [1 << 19, 700])
 def test_suffix_edges(docs, empty, texts, block, monkeypatch):
