@@ -104,6 +104,34 @@ def test_large_batch_is_scored_block_by_block(spark, monkeypatch, k, digits):
     assert "FlatMapCoGroupsInArrow" in executed(S.search_bm25(q, TM.SparseIndex(docs), p))   # no row per (query, document)
 
 
+def test_large_batch_is_scored_in_rounds(spark, monkeypatch):
+    """Same rows in rounds of one slice; only the last is left to the caller, whatever a slice's words or results are."""
+    rows = [(i, f"every tone{i % 7} rare{i} " + "deep " * (i % 3)) for i in range(60)]
+    rows += [(5, "tone1 every again"), (5, "tone1 every again"), (None, "tone2 tone3"), (1000, None), (1001, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    q = spark.createDataFrame([(i, f"tone{i} rare{3 * i} every absent") for i in range(6)] + [(None, "deep"), (7, "")],
+                              "query_id long, query string")
+    p = DEFAULT.with_(top_k=4)
+
+    def search(params=p):
+        return S.search_bm25(q, TM.SparseIndex(docs, "basic", params), params)
+
+    want = sorted(map(repr, search().collect()))
+    for name, value in (("BATCH_TERMS", 0), ("SLICE_TERMS", 10), ("BLOCK_POSTINGS", 60), ("ROUND_POSTINGS", 1)):
+        monkeypatch.setattr(S, name, value)
+    kept, store = [], S._stored
+    monkeypatch.setattr(S, "_stored", lambda df, name: kept.append(name) or store(df, name))
+    got = search()
+    assert kept.count("bm25-best") >= 1 and kept.count("bm25-documents") == 1
+    assert sorted(map(repr, got.collect())) == want
+    monkeypatch.setattr(S, "SLICE_TERMS", 1000)
+    monkeypatch.setattr(S, "SLICE_RESULTS", 10)
+    kept.clear()
+    assert sorted(map(repr, search(p.with_(broadcast_max_rows=2)).collect())) == want   # words joined by shuffle
+    assert kept.count("bm25-best") >= 1
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_full_profile_stays_in_tasks_of_few_documents(spark, monkeypatch, no_auto_broadcast):
     monkeypatch.setattr(TM, "DOCS_PER_TASK", 1)
     docs = spark.createDataFrame([(i, f"running tones{i} every every") for i in range(12)], "doc_id long, text string")
